@@ -24,6 +24,21 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draws.select(F.col("id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "copies")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.toxicity import toxicity_scores
+
+    out = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return out.select(F.col("id").alias("doc_id"), "held_out", "score", predicted, F.size("sentences").cast("long").alias("n_offending"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.quality import quality_scores
+
+    out = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annolake.llm.exact_dedup import exact_duplicates
 
@@ -61,6 +76,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_chat_format": op8_chat_format,
     "op10_sharding": op10_sharding,
