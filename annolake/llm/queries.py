@@ -17,6 +17,16 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.suffix_dedup import without_repeats
+
+    out = without_repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annolake.llm.mixing import mixed
 
@@ -75,6 +85,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
