@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import shared_path, stored
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State lives in RocksDB on the executors' disks; all stores of an executor share one bound of native memory.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+}
 
 
 def sha256_of(text: Column) -> Column:
@@ -55,8 +59,9 @@ def stream_state(arrivals: DataFrame, state_folder: str | None = None) -> DataFr
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/updates/epoch={epoch}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -67,7 +72,8 @@ def stream_state(arrivals: DataFrame, state_folder: str | None = None) -> DataFr
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     try:
         updates = spark.read.schema(shape).option("basePath", f"{folder}/updates").parquet(f"{folder}/updates")
     except Exception as error:

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from annolake.llm.common import mixed, partitions, prefix_hashes, slices, span_hash, stored, text_buffers
 from annolake.llm.graph import components
 
-SKETCH_BITS = 1024
+LEAST_BITS = 64
 CHUNK = 1 << 21  # bytes of text hashed at a time
+BLOCK = 4096  # members of a key held against each other at a time
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -89,12 +90,30 @@ def _class_ids(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _folded(hashes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """The parity sketch folded to SKETCH_BITS: a lower bound of the symmetric difference still."""
-    n = len(offsets) - 1
-    row = np.repeat(np.arange(n), np.diff(offsets))
-    bit = (hashes >> np.uint64(7)) % np.uint64(SKETCH_BITS)
-    odd = np.bincount(row * SKETCH_BITS + bit.astype(np.int64), minlength=n * SKETCH_BITS).reshape(n, SKETCH_BITS) & 1
-    return [x.tobytes() for x in np.packbits(odd.astype(np.uint8), axis=1)]
+    """The parity sketch folded to a power of two of bits, two for each n-gram or more: a lower bound still."""
+    n = np.diff(offsets)
+    bits = 2 ** np.ceil(np.log2(np.maximum(2 * n, LEAST_BITS))).astype(np.int64)
+    first = np.cumsum(bits) - bits
+    bit = (hashes >> np.uint64(7)) & (np.repeat(bits, n) - 1).astype(np.uint64)
+    odd = np.bincount(np.repeat(first, n) + bit.astype(np.int64), minlength=int(bits.sum())) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return [packed[a : a + k].tobytes() for a, k in zip(first // 8, bits // 8, strict=True)]
+
+
+def halved(sketches: np.ndarray) -> np.ndarray:
+    """Rows of sketches folded once more: bits that fall together cancel or stay, so distances only shrink."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
+def distance(a: bytes, b: bytes) -> int:
+    """Hamming distance of two folded sketches, the wider one folded to the other's width."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = halved(x)
+    while len(y) > len(x):
+        y = halved(y)
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def describe(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -280,8 +299,7 @@ def _within_bound(pairs: DataFrame, classes: DataFrame, t: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64) for c in ("sa", "sb"))
-            far = np.bitwise_count(sa ^ sb).sum(axis=1)
+            far = np.array([distance(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True)])
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
             near = pa.array(far * (1 + t) <= (1 - t) * total + 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "ra", "rb")], ["a", "b", "ra", "rb"]).filter(near)
@@ -289,6 +307,55 @@ def _within_bound(pairs: DataFrame, classes: DataFrame, t: float) -> DataFrame:
     return joined.select("a", "b", "ra", "rb", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, ra long, rb long")
 
 
+def _rest_of_groups(members: DataFrame, t: float) -> DataFrame:
+    """Pairs (a, b, ra, rb) of one key's members in different components that sizes and sketches allow.
+
+    Members outside their key's largest component are held against all others, in blocks of about BLOCK members, each
+    pair of blocks a group of its own: no task sees more than two blocks, however many members a key has.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select(
+        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", (F.col("root") != F.col("main")).alias("apart"), "n", "sketch", "rep"
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        node, root, n, rep, own, apart = (table.column(c).to_numpy() for c in ("node", "root", "n", "rep", "own", "apart"))
+        sketches = table.column("sketch").to_pylist()
+        width = np.array([len(x) // 8 for x in sketches])
+        by_width = {w: np.flatnonzero(width == w) for w in np.unique(width)}
+        place = np.zeros(len(width), np.int64)
+        held = {}
+        for w, rows in by_width.items():
+            place[rows] = np.arange(len(rows))
+            held[w, w] = np.frombuffer(b"".join(sketches[r] for r in rows), np.uint64).reshape(-1, w)
+            if w > 1:
+                held[w, w // 2] = halved(held[w, w])
+        mixed_blocks = table.column("x")[0].as_py() != table.column("y")[0].as_py()
+        found = []
+        for i in np.flatnonzero(apart):
+            ok = (root != root[i]) & (np.minimum(n, n[i]) >= t * np.maximum(n, n[i]) - 1e-9)
+            if mixed_blocks:
+                ok &= own != own[i]
+            j = np.flatnonzero(ok)
+            far = np.zeros(len(j))
+            for w in np.unique(width[j]):  # sizes are near, so widths are the same or differ by one fold
+                at, to = width[j] == w, min(w, width[i])
+                if (w, to) in held and (width[i], to) in held:
+                    own_sketch = held[width[i], to][place[i]]
+                    far[at] = np.bitwise_count(held[w, to][place[j[at]]] ^ own_sketch).sum(axis=1)
+            j = j[far * (1 + t) <= (1 - t) * (n[j] + n[i]) + 1e-9]
+            ends = np.stack([np.full(len(j), node[i]), node[j], np.full(len(j), rep[i]), rep[j]], axis=1)
+            swap = ends[:, 0] > ends[:, 1]
+            ends[swap] = ends[swap][:, [1, 0, 3, 2]]
+            found.append(ends)
+        ends = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
+        return pa.table(dict(zip(("a", "b", "ra", "rb"), ends.T, strict=True)))
+
+    return dealt.groupBy("key", "x", "y").applyInArrow(run, "a long, b long, ra long, rb long")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, t_percent: int, id_col: str, text_col: str) -> DataFrame:
     """Pairs (a, b) of classes whose sets have 100 * intersection >= t_percent * union, by the sets themselves."""
 
@@ -355,21 +422,12 @@ def near_duplicates(
     members = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
     labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     per_root = labelled.groupBy("key", "root").agg(F.count("*").alias("m"))
-    per_key = per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main")).where("roots > 1")
-    split = stored(labelled.join(per_key.select("key", "main"), "key"), "split")
-    rest = split.where("root <> main")
-    others = split.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    second = (
-        rest.join(others, "key")
-        .where("root <> other_root")
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        .distinct()
-    )
-    if not rest.isEmpty():
-        late = stored(_within_bound(second, classes, t), "pairs")
-        if not late.isEmpty():
-            links = stored(links.union(_verified(late, docs, width, percent, id_col, text_col)), "links")
-            roots = components(links)
+    per_key = per_root.groupBy("key").agg(F.sum("m").alias("m"), F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("roots"))
+    split = labelled.join(per_key.where("roots > 1"), "key").join(classes.withColumnRenamed("cls", "node"), "node")
+    late = stored(_rest_of_groups(split, t).distinct(), "pairs")
+    if not late.isEmpty():
+        links = stored(links.union(_verified(late, docs, width, percent, id_col, text_col)), "links")
+        roots = components(links)
 
     by_class = described.groupBy("cls").agg(F.min("id").alias("class_id"))
     classed = stored(by_class.join(roots, by_class.cls == roots.node, "left").select("cls", "class_id", F.coalesce("root", "cls").alias("root")), "classes")

@@ -75,6 +75,19 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.sp_viterbi import decode, encode
+
+    out = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.length("decoded").cast("long").alias("decoded_chars"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annolake.llm.sharding import sharded
 
@@ -91,6 +104,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_chat_format": op8_chat_format,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_sharding": op10_sharding,
 }
 
