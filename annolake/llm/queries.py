@@ -49,6 +49,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.common import stored
+    from annolake.llm.media import edited_copies, rendered
+
+    media = stored(rendered(table(spark, sf_dir, "embeddings")), "media")
+    out = edited_copies(media)
+    return out.select(F.col("id").alias("media_id"), "n_corners", "class_id", "component_id", "n_links")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annolake.llm.exact_dedup import exact_duplicates
 
@@ -102,6 +111,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_media": op6_media,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_sentencepiece": op9_sentencepiece,
