@@ -440,3 +440,12 @@ def near_duplicates(
         F.when(bare, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(bare, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with its own columns, without the rows whose id is not the smallest of its component.
+
+    Rows with a null id are no part of any group and stay.
+    """
+    gone = near_duplicates(docs, id_col=id_col, **options).where("id <> component_id").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
