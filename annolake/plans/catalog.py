@@ -2,16 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from annolake.plans import matching
+from annolake.plans.query import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-@dataclass(frozen=True)
-class Query:
-    run: Callable[[SparkSession, str], DataFrame]
-    sql: str | None = None
-
-
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = {**matching.QUERIES}
