@@ -101,7 +101,7 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DETECTIONS = """
 found as (
-  select user_id % 10 video, epoch_ms(ts) // 3600000 as hr, epoch_ms(ts) ms, event_id,
+  select user_id % 10 video, epoch_us(ts) // 3600000000 as hr, epoch_us(ts) // 1000 ms, event_id,
     case event_type when 'click' then 0 when 'view' then 0 when 'purchase' then 1 else 2 end cls,
     (event_id % 128) / 128.0::double conf, ((user_id * 97) % 800 + event_id % 8) / 1024.0::double x, ((user_id * 61) % 600 + event_id % 5) / 1024.0::double y,
     96 / 1024.0::double width, 192 / 1024.0::double height, user_id track
