@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from annolake.plans import matching, similarity, tracking
+from annolake.plans import curation, matching, similarity, tracking
 from annolake.plans.query import Query
 
-QUERIES: dict[str, Query] = {**matching.QUERIES, **tracking.QUERIES, **similarity.QUERIES}
+QUERIES: dict[str, Query] = {**matching.QUERIES, **tracking.QUERIES, **similarity.QUERIES, **curation.QUERIES}
