@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import shared_path, stored
 
-#: State lives in RocksDB on the executors' disks; all stores of an executor share one bound of native memory.
+#: State lives in RocksDB on the executors' disks; all stores of an executor share one bound of native memory, and none
+#: reserves disk before it has rows (4 MB a partition otherwise).
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
