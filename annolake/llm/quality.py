@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.llm.common import crc32_text, slices, text_buffers
+from annolake.llm.common import crc32_text, slices, stored, text_buffers
 from annolake.llm.ngram_jaccard import CHUNK, word_hashes
 
 STATISTICS = ("words", "word_length", "symbols", "upper", "digits", "marks", "lines", "vocabulary", "repeats", "trigrams", "longest", "spread")
@@ -133,13 +133,11 @@ def fit(found: dict, to_pooled: float = 0.1, to_identity: float = 0.02) -> Discr
     return Discriminant(share, np.stack([means[0], means[1]]), np.stack(whiten), float(constant))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, held_out: tuple[int, int]) -> Discriminant:
-    """The model of all labelled rows whose crc32(id as text) mod held_out[0] is not held_out[1]."""
-    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("known"), F.col(label_col).cast("int").alias("label"))
-    known = known.where(F.pmod(crc32_text("known"), F.lit(held_out[0])) != held_out[1]).dropDuplicates()
-    rows = docs.select(id_col, text_col)
-    x = described(rows.join(known.select("known").distinct(), F.col(id_col).cast("long") == F.col("known"), "left_semi"), id_col, text_col)
-    return fit(moments(x.join(known, F.col("id") == F.col("known")), len(STATISTICS)))
+def train(x: DataFrame, labels: DataFrame, *, id_col: str, label_col: str, held_out: tuple[int, int]) -> Discriminant:
+    """The model of all labelled rows of (id, x) whose crc32(id as text) mod held_out[0] is not held_out[1]."""
+    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
+    known = known.where(F.pmod(crc32_text("id"), F.lit(held_out[0])) != held_out[1]).dropDuplicates()
+    return fit(moments(x.join(known, "id"), len(STATISTICS)))
 
 
 def quality_scores(
@@ -152,18 +150,16 @@ def quality_scores(
     held_out: tuple[int, int] = (5, 0),
 ) -> DataFrame:
     """(id, held_out, score) for every row; rows with crc32(id as text) mod held_out[0] = held_out[1] never train."""
-    model = train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, held_out=held_out)
+    x = stored(described(docs, id_col, text_col), "statistics")
+    model = train(x, labels, id_col=id_col, label_col=label_col, held_out=held_out)
 
     def run(batches):
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
-            for a, b in slices(offsets, CHUNK):
-                x = statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(model.scores(x))], ["id", "score"])
+            values = batch.column(1).flatten().to_numpy().reshape(-1, len(STATISTICS))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(values))], ["id", "score"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     out = F.pmod(crc32_text("id"), F.lit(held_out[0])) == held_out[1]
-    return rows.mapInArrow(run, "id long, score double").select("id", F.coalesce(out, F.lit(False)).alias("held_out"), "score")
+    return x.mapInArrow(run, "id long, score double").select("id", F.coalesce(out, F.lit(False)).alias("held_out"), "score")
 
 
 def good_documents(
@@ -177,7 +173,8 @@ def good_documents(
     held_out: tuple[int, int] = (5, 0),
 ) -> DataFrame:
     """The rows of ``docs``, with their own columns, whose score is ``least`` or more."""
-    model = train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, held_out=held_out)
+    x = stored(described(docs, id_col, text_col), "statistics")
+    model = train(x, labels, id_col=id_col, label_col=label_col, held_out=held_out)
     at = docs.columns.index(text_col)
 
     def run(batches):
