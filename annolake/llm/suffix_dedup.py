@@ -13,6 +13,9 @@ pointers, about one position in eighty, rather than every suffix:
    follows it, and the pairs' ranks are the identifiers of blocks twice as long, used again until the length is
    reached. A start whose bucket still holds another position is covered.
 
+   A bucket with more than ``HOT`` borders and a two-thousandth of them all (a short line that many documents hold) is
+   not brought together: its starts are dealt out by the hash of their string, each batch settling what it can first.
+
 A bucket is never expanded into pairs, copies of a whole document are settled in step 2 by their hashes alone, and a
 border is at most 2 * ``length`` bytes whatever the documents' sizes.
 
@@ -32,6 +35,7 @@ from annolake.llm.common import mixed, partitions, prefix_hashes, slices, span_h
 
 CHUNK = 1 << 20
 GRAM = 32
+HOT = 2000  # borders
 PLACE_BITS = 26  # positions are told apart within 64 MB, far beyond the strings' length
 
 
@@ -212,12 +216,84 @@ def settled(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(run, "id long, start long, stop long")
 
 
+def _spans(ids: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, start, stop) of the runs of neighbouring string starts."""
+    order = np.lexsort((start, ids))
+    ids, start = ids[order], start[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (start[1:] > start[:-1] + 1)
+    a = np.flatnonzero(new)
+    b = np.append(a[1:], len(ids)) - 1 if len(a) else a
+    return ids[a], start[a], start[b] + length
+
+
+def settled_apart(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Covered (id, start, stop) as ``settled``, for borders of buckets too large to be brought together."""
+
+    def dealt(batches):
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("reach"))
+            ids, first = batch.column("id").to_numpy(), batch.column("start").to_numpy()
+            for a, b in slices(offsets, CHUNK):
+                part, cuts = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                size = np.diff(cuts) - length + 1
+                row = np.repeat(np.arange(b - a), size)
+                inner = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+                at = cuts[row] + inner
+                key = span_hash(prefix_hashes(part), at, at + length)
+                own, start = ids[a + row], first[a + row] + inner
+                order = np.lexsort((start, own, key))
+                key, own, start = key[order], own[order], start[order]
+                fresh = np.ones(len(key), bool)
+                fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | (start[1:] != start[:-1])
+                key, own, start = key[fresh], own[fresh], start[fresh]
+                new = np.concatenate([[True], key[1:] != key[:-1]])
+                shared = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
+                spans = _spans(own[shared], start[shared], length)
+                key, own, start = key[new], own[new], start[new]  # one of each string goes on
+                bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                cut = np.searchsorted(bucket, np.arange(buckets + 1))
+                full = np.flatnonzero(np.diff(cut))
+                n, k = len(spans[0]), len(full)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([np.full(n, -1), full]).astype(np.int32)),
+                        *(pa.concat_arrays([pa.array(x.astype(np.int64)), pa.nulls(k, pa.int64())]) for x in spans),
+                        *(pa.array([None] * n + [x[cut[f] : cut[f + 1]].tobytes() for f in full], pa.binary()) for x in (key, own, start)),
+                    ],
+                    ["bucket", "id", "start", "stop", "keys", "ids", "starts"],
+                )
+
+    def run(table: pa.Table) -> pa.Table:
+        key, own, start = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table.column(n)]) for n, k in (("keys", np.uint64), ("ids", np.int64), ("starts", np.int64)))
+        order = np.lexsort((start, own, key))
+        key, own, start = key[order], own[order], start[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | (start[1:] != start[:-1])
+        key, own, start = key[fresh], own[fresh], start[fresh]
+        of = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+        shared = np.bincount(of)[of] > 1
+        return pa.table(dict(zip(("id", "start", "stop"), _spans(own[shared], start[shared], length), strict=True)))
+
+    shape = "bucket int, id long, start long, stop long, keys binary, ids binary, starts binary"
+    parts = stored(fetched.select("id", "start", "reach").mapInArrow(dealt, shape), "strings")
+    met = parts.where("bucket >= 0").select("bucket", "keys", "ids", "starts").groupBy("bucket").applyInArrow(run, "id long, start long, stop long")
+    return parts.where("bucket < 0").select("id", "start", "stop").union(met)
+
+
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(id, start, stop) for (id, text): byte ranges covered by strings that also start elsewhere; ranges may overlap."""
     buckets = 4 * partitions(docs.sparkSession)
     found = stored(refined(_pointer_blocks(docs, length, buckets), length), "buckets")
-    late = stored(settled(_fetched(docs, found.where("kind > 0")), length, buckets), "borders")
-    return found.where("kind = 0").select("id", "start", "stop").union(late)
+    borders = found.where("kind > 0")
+    per_gram = borders.groupBy("gram").count()
+    most = max(HOT, borders.count() // HOT)
+    hot = F.broadcast(per_gram.where(F.col("count") > most).select("gram"))  # at most HOT rows, by the line above
+    fetched = stored(_fetched(docs, borders), "reaches")
+    late = stored(settled(fetched.join(hot, "gram", "left_anti"), length, buckets), "borders")
+    covered = found.where("kind = 0").select("id", "start", "stop").union(late)
+    large = fetched.join(hot, "gram", "left_semi")
+    return covered if hot.isEmpty() else covered.union(settled_apart(large, length, buckets))
 
 
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
