@@ -31,7 +31,11 @@ from annolake.llm.graph import components
 
 LEAST_BITS = 64
 CHUNK = 1 << 21  # bytes of text hashed at a time
-BLOCK = 4096  # members of a key held against each other at a time
+BLOCK = 2048  # members of a key held against each other at a time
+PAIRS_AT_ONCE = 1 << 15
+SIZE_STEP = 1.06
+RUNTIME_BITS = 1 << 24
+LEAST_ID = -(1 << 63)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -90,9 +94,9 @@ def _class_ids(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _folded(hashes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """The parity sketch folded to a power of two of bits, two for each n-gram or more: a lower bound still."""
+    """The parity sketch folded to a power of two of bits, one for each n-gram or more: a lower bound still."""
     n = np.diff(offsets)
-    bits = 2 ** np.ceil(np.log2(np.maximum(2 * n, LEAST_BITS))).astype(np.int64)
+    bits = 2 ** np.ceil(np.log2(np.maximum(n, LEAST_BITS))).astype(np.int64)
     first = np.cumsum(bits) - bits
     bit = (hashes >> np.uint64(7)) & (np.repeat(bits, n) - 1).astype(np.uint64)
     odd = np.bincount(np.repeat(first, n) + bit.astype(np.int64), minlength=int(bits.sum())) & 1
@@ -205,8 +209,28 @@ def piece_keys(hashes, offsets, t: float, hot: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def _size_steps(n: np.ndarray) -> np.ndarray:
+    """Sizes as one byte each: the logarithm to the base SIZE_STEP, the last step open upwards."""
+    return np.minimum(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP), 255).astype(np.uint8)
+
+
+def _may_fit(x: np.ndarray, y: np.ndarray, t: float) -> np.ndarray:
+    """Whether sizes of these steps can have the ratio ``t`` or more."""
+    apart = np.abs(x.astype(np.int64) - y)
+    return SIZE_STEP ** (apart - 1.0) <= 1 / t + 1e-9
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys byte plane by byte plane: the upper planes are long runs, which the shuffle's compression removes."""
+    return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: str, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Keys with (class representative, size), as one packed block for each batch and range of keys."""
+    """Keys with (class, step of its size), as one packed block for each batch and range of keys."""
 
     def run(batches):
         for batch in batches:
@@ -222,7 +246,7 @@ def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: st
                 k, o = piece_keys(hashes, offsets, t, hot)
                 keys.append(k)
                 classes.append(cls[o])
-                sizes.append(np.diff(offsets)[o].astype(np.int32))
+                sizes.append(_size_steps(np.diff(offsets))[o])
             if not keys:
                 continue
             key, cls, size = np.concatenate(keys), np.concatenate(classes), np.concatenate(sizes)
@@ -234,7 +258,7 @@ def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: st
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(own.astype(np.int32)),
-                    pa.array([key[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
+                    pa.array([_packed(key[cuts[x] : cuts[x + 1]]) for x in own], pa.binary()),
                     pa.array([cls[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
                     pa.array([size[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
                 ],
@@ -247,7 +271,7 @@ def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: st
 
 
 def _pairs_of_groups(key, cls, size, t: float, limit: int):
-    """Candidate pairs of small groups, star pairs of large ones, and the members of the large ones."""
+    """Candidate pairs of small groups, star pairs of large ones, and the members of the large ones; sizes are steps."""
     order = np.lexsort((cls, key))
     key, cls, size = key[order], cls[order], size[order]
     new = np.ones(len(key), bool)
@@ -260,35 +284,33 @@ def _pairs_of_groups(key, cls, size, t: float, limit: int):
         for j in range(k):
             s = at[(n > k) & (n <= limit)]
             x, y = s + j, s + k
-            fits = np.minimum(size[x], size[y]) >= t * np.maximum(size[x], size[y]) - 1e-9
+            fits = _may_fit(size[x], size[y], t)
             pairs.append(np.stack([cls[x[fits]], cls[y[fits]]]))
     large = np.flatnonzero(n > limit)
     take = np.concatenate([np.arange(at[g], at[g] + n[g]) for g in large]) if len(large) else np.zeros(0, np.int64)
     lead = np.repeat(at[large], n[large])
     pairs.append(np.stack([cls[lead], cls[take]])[:, lead != take])
     both = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
-    return both, key[take], cls[take], size[take]
+    return both, key[take], cls[take]
 
 
 def candidates(blocks: DataFrame, t: float, limit: int) -> DataFrame:
-    """kind 0: (a, b) candidate classes; kind 1: members (key, cls, n) of keys with more than ``limit`` classes."""
+    """kind 0: (a, b) candidate classes; kind 1: members (key, cls) of keys with more than ``limit`` classes."""
 
     def run(table: pa.Table) -> pa.Table:
-        def joined(name, kind):
-            return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
-
-        pairs, key, cls, size = _pairs_of_groups(joined("keys", np.uint64), joined("classes", np.int64), joined("sizes", np.int32), t, limit)
-        m, k = pairs.shape[1], len(key)
+        keys = np.concatenate([_unpacked(x.as_py()) for x in table.column("keys")])
+        classes = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("classes")])
+        steps = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("sizes")])
+        pairs, key, cls = _pairs_of_groups(keys, classes, steps, t, limit)
         return pa.table(
             {
-                "kind": pa.array(np.repeat(np.array([0, 1], np.int32), [m, k])),
+                "kind": pa.array(np.repeat(np.array([0, 1], np.int32), [pairs.shape[1], len(key)])),
                 "a": pa.array(np.concatenate([pairs[0], key.view(np.int64)])),
                 "b": pa.array(np.concatenate([pairs[1], cls])),
-                "n": pa.array(np.concatenate([np.zeros(m, np.int32), size])),
             }
         )
 
-    return blocks.groupBy("bucket").applyInArrow(run, "kind int, a long, b long, n int")
+    return blocks.groupBy("bucket").applyInArrow(run, "kind int, a long, b long")
 
 
 def _within_bound(pairs: DataFrame, classes: DataFrame, t: float) -> DataFrame:
@@ -307,83 +329,138 @@ def _within_bound(pairs: DataFrame, classes: DataFrame, t: float) -> DataFrame:
     return joined.select("a", "b", "ra", "rb", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, ra long, rb long")
 
 
-def _rest_of_groups(members: DataFrame, t: float) -> DataFrame:
+class _Sketches:
+    """Folded sketches of many rows, held by width, for distances of many pairs at once."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.width = np.array([len(x) // 8 for x in sketches])
+        self.place = np.zeros(len(sketches), np.int64)
+        self.held = {}
+        for w in np.unique(self.width):
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            self.held[w, w] = np.frombuffer(b"".join(sketches[r] for r in rows), np.uint64).reshape(-1, w)
+            while w > 1 and (self.width == w // 2).any():
+                self.held[self.width[rows[0]], w // 2] = halved(self.held[self.width[rows[0]], w])
+                w //= 2
+
+    def within(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Distances of the pairs, and infinity for those beyond ``most``."""
+        far = np.zeros(len(i))
+        for w, v in {*zip(self.width[i].tolist(), self.width[j].tolist(), strict=True)}:
+            at = np.flatnonzero((self.width[i] == w) & (self.width[j] == v))
+            x, y = (self.held.get((k, min(w, v))) for k in (w, v))
+            if x is not None and y is not None:  # sizes are near, so widths are the same or one fold apart
+                far[at] = np.bitwise_count(x[self.place[i[at]]] ^ y[self.place[j[at]]]).sum(axis=1)
+        return np.where(far <= most, far, np.inf)
+
+
+def _unlike_members(group: np.ndarray, n: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group whose sizes have the ratio ``t``, in parts; rows are sorted by group, then size."""
+    end = np.searchsorted(group, group, side="right")
+    live, k, parts, held = np.arange(len(group)), 0, [], 0
+    while len(live):
+        k += 1
+        live = live[live + k < end[live]]
+        live = live[n[live] >= t * n[live + k] - 1e-9]  # partners further on are larger still
+        parts.append((live, live + k))
+        held += len(live)
+        if held >= PAIRS_AT_ONCE or not len(live):
+            i, j = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            for a in range(0, len(i), PAIRS_AT_ONCE):
+                yield i[a : a + PAIRS_AT_ONCE], j[a : a + PAIRS_AT_ONCE]
+            parts, held = [], 0
+
+
+def _rest_of_groups(members: DataFrame, t: float, buckets: int, nearest: bool) -> DataFrame:
     """Pairs (a, b, ra, rb) of one key's members in different components that sizes and sketches allow.
 
-    Members outside their key's largest component are held against all others, in blocks of about BLOCK members, each
-    pair of blocks a group of its own: no task sees more than two blocks, however many members a key has.
+    Members are held against each other in blocks of about BLOCK, each pair of blocks of a key a group of its own, many
+    groups to a bucket: no group has more than two blocks, however many members a key has. With ``nearest`` each member
+    gives only its nearest partner of a group, else all.
     """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(
-        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", (F.col("root") != F.col("main")).alias("apart"), "n", "sketch", "rep"
-    )
+        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "n", "sketch", "rep"
+    ).withColumn("bucket", F.pmod(F.xxhash64("key", "x", "y"), F.lit(buckets)))
 
     def run(table: pa.Table) -> pa.Table:
-        node, root, n, rep, own, apart = (table.column(c).to_numpy() for c in ("node", "root", "n", "rep", "own", "apart"))
-        sketches = table.column("sketch").to_pylist()
-        width = np.array([len(x) // 8 for x in sketches])
-        by_width = {w: np.flatnonzero(width == w) for w in np.unique(width)}
-        place = np.zeros(len(width), np.int64)
-        held = {}
-        for w, rows in by_width.items():
-            place[rows] = np.arange(len(rows))
-            held[w, w] = np.frombuffer(b"".join(sketches[r] for r in rows), np.uint64).reshape(-1, w)
-            if w > 1:
-                held[w, w // 2] = halved(held[w, w])
-        mixed_blocks = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-        found = []
-        for i in np.flatnonzero(apart):
-            ok = (root != root[i]) & (np.minimum(n, n[i]) >= t * np.maximum(n, n[i]) - 1e-9)
-            if mixed_blocks:
-                ok &= own != own[i]
-            j = np.flatnonzero(ok)
-            far = np.zeros(len(j))
-            for w in np.unique(width[j]):  # sizes are near, so widths are the same or differ by one fold
-                at, to = width[j] == w, min(w, width[i])
-                if (w, to) in held and (width[i], to) in held:
-                    own_sketch = held[width[i], to][place[i]]
-                    far[at] = np.bitwise_count(held[w, to][place[j[at]]] ^ own_sketch).sum(axis=1)
-            j = j[far * (1 + t) <= (1 - t) * (n[j] + n[i]) + 1e-9]
-            ends = np.stack([np.full(len(j), node[i]), node[j], np.full(len(j), rep[i]), rep[j]], axis=1)
-            swap = ends[:, 0] > ends[:, 1]
-            ends[swap] = ends[swap][:, [1, 0, 3, 2]]
-            found.append(ends)
-        ends = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
+        key, x, y, own, node, root, n, rep = (table.column(c).to_numpy() for c in ("key", "x", "y", "own", "node", "root", "n", "rep"))
+        order = np.lexsort((n, y, x, key))
+        key, x, y, own, node, root, n, rep = (c[order] for c in (key, x, y, own, node, root, n, rep))
+        group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+        texts = table.column("sketch").to_pylist()
+        sketches = _Sketches([texts[k] for k in order])
+        best, partner, found = np.full(len(n), np.inf), np.zeros(len(n), np.int64), []
+        for i, j in _unlike_members(group, n, t):
+            new = (root[i] != root[j]) & ((x[i] == y[i]) | (own[i] != own[j]))
+            i, j = i[new], j[new]
+            total = n[i] + n[j]
+            far = sketches.within(i, j, ((1 - t) * total + 1e-9) / (1 + t))
+            near = np.isfinite(far)
+            i, j, share = i[near], j[near], (far / total)[near]
+            if nearest:
+                for p, q in ((i, j), (j, i)):
+                    first = np.lexsort((q, share, p))
+                    first = first[np.concatenate([[True], p[first][1:] != p[first][:-1]])] if len(p) else first
+                    first = first[share[first] < best[p[first]]]
+                    best[p[first]], partner[p[first]] = share[first], q[first]
+            else:
+                found.append(np.unique(np.stack([node[i], node[j], rep[i], rep[j]], axis=1), axis=0))
+        if nearest:
+            i = np.flatnonzero(np.isfinite(best))
+            found.append(np.stack([node[i], node[partner[i]], rep[i], rep[partner[i]]], axis=1))
+        ends = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+        swap = ends[:, 0] > ends[:, 1]
+        ends[swap] = ends[swap][:, [1, 0, 3, 2]]
+        ends = np.unique(ends, axis=0)
         return pa.table(dict(zip(("a", "b", "ra", "rb"), ends.T, strict=True)))
 
-    return dealt.groupBy("key", "x", "y").applyInArrow(run, "a long, b long, ra long, rb long")
+    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long, ra long, rb long")
+
+
+def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of the documents whose ``id`` is among ``ids``, written to the shared folder.
+
+    Spark's runtime filter, of RUNTIME_BITS whatever the input, drops most other texts before they are shuffled.
+    """
+    spark = docs.sparkSession
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g", "expectedNumItems": "4000000", "numBits": str(RUNTIME_BITS)}
+    before = {k: spark.conf.get(prefix + k) for k in wanted}
+    needed = stored(ids, "needed").where(F.col("id") >= LEAST_ID)  # Spark filters by a side that has a condition
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(prefix + k, v)
+        return stored(rows.dropDuplicates(["id"]), "texts")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(prefix + k, v)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, t_percent: int, id_col: str, text_col: str) -> DataFrame:
     """Pairs (a, b) of classes whose sets have 100 * intersection >= t_percent * union, by the sets themselves."""
 
-    def sets(batches):
-        for batch in batches:
-            for a, hashes, offsets in shingle_sets(batch.column(1), width):
-                n = len(offsets) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, n), pa.array([hashes[offsets[r] : offsets[r + 1]].tobytes() for r in range(n)], pa.binary())],
-                    ["id", "shingles"],
-                )
+    def sets(array):
+        return [hashes[offsets[r] : offsets[r + 1]] for _, hashes, offsets in shingle_sets(array, width) for r in range(len(offsets) - 1)]
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= t_percent * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    needed = pairs.select(F.explode(F.array("ra", "rb")).alias("id")).distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
-    held = stored(rows.mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id"]), "sets")
+            for first in range(0, batch.num_rows, 256):
+                part, keep = batch.slice(first, 256), []
+                for p, q in zip(sets(part.column("ta")), sets(part.column("tb")), strict=True):
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    keep.append(100 * both >= t_percent * (len(p) + len(q) - both))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    held = _texts(docs, pairs.select(F.explode(F.array("ra", "rb")).alias("id")).distinct(), id_col, text_col)
     return (
-        pairs.join(held.select(F.col("id").alias("ra"), F.col("shingles").alias("sa")), "ra")
-        .join(held.select(F.col("id").alias("rb"), F.col("shingles").alias("sb")), "rb")
-        .select("a", "b", "sa", "sb")
+        pairs.join(held.select(F.col("id").alias("ra"), F.col("text").alias("ta")), "ra")
+        .join(held.select(F.col("id").alias("rb"), F.col("text").alias("tb")), "rb")
+        .select("a", "b", "ta", "tb")
         .mapInArrow(run, "a long, b long")
     )
 
@@ -420,14 +497,14 @@ def near_duplicates(
     roots = components(links)
 
     members = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
-    labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    per_root = labelled.groupBy("key", "root").agg(F.count("*").alias("m"))
-    per_key = per_root.groupBy("key").agg(F.sum("m").alias("m"), F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("roots"))
-    split = labelled.join(per_key.where("roots > 1"), "key").join(classes.withColumnRenamed("cls", "node"), "node")
-    late = stored(_rest_of_groups(split, t).distinct(), "pairs")
-    if not late.isEmpty():
-        links = stored(links.union(_verified(late, docs, width, percent, id_col, text_col)), "links")
-        roots = components(links)
+    for nearest in (True, False):  # nearest partners join most components, so that few pairs are left for the second round
+        labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        per_key = labelled.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"))
+        split = labelled.join(per_key.where("low < high").select("key", "m"), "key").join(classes.withColumnRenamed("cls", "node"), "node")
+        late = stored(_rest_of_groups(split, t, 4 * partitions(spark), nearest).distinct(), "pairs")
+        if not late.isEmpty():
+            links = stored(links.union(_verified(late, docs, width, percent, id_col, text_col)), "links")
+            roots = components(links)
 
     by_class = described.groupBy("cls").agg(F.min("id").alias("class_id"))
     classed = stored(by_class.join(roots, by_class.cls == roots.node, "left").select("cls", "class_id", F.coalesce("root", "cls").alias("root")), "classes")
