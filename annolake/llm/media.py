@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import mixed, partitions, stored
 from annolake.llm.graph import components
-from annolake.llm.ngram_jaccard import candidates
+from annolake.llm.ngram_jaccard import BLOCKS, candidates, key_blocks
 
 LEVELS = ((1.0, 16), (2**-0.5, 10), (0.5, 6))  # scale, corners kept
 RADIUS = 9
@@ -170,15 +170,9 @@ def _tables(classes: DataFrame, buckets: int) -> DataFrame:
             parts = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
             key = mixed(parts ^ mixed(np.tile(np.arange(1, PARTS + 1, dtype=np.uint64), len(parts) // PARTS)))
             cls = np.repeat(batch.column("cls").to_numpy(), n * PARTS)
-            order = np.argsort(key)
-            key, cls = key[order], cls[order]
-            bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            own = np.flatnonzero(np.diff(cuts))
-            columns = [[x[cuts[k] : cuts[k + 1]].tobytes() for k in own] for x in (key, cls, np.ones(len(key), np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *(pa.array(x, pa.binary()) for x in columns)], ["bucket", "keys", "classes", "sizes"])
-
-    return classes.select("cls", "n", "bits").mapInArrow(run, "bucket int, keys binary, classes binary, sizes binary")
+            yield key_blocks(key, cls, np.ones(len(key)), buckets)
+
+    return classes.select("cls", "n", "bits").mapInArrow(run, BLOCKS)
 
 
 def _corners(points, bits) -> tuple[np.ndarray, np.ndarray]:

@@ -36,6 +36,7 @@ PAIRS_AT_ONCE = 1 << 15
 SIZE_STEP = 1.06
 RUNTIME_BITS = 1 << 24
 LEAST_ID = -(1 << 63)
+BLOCKS = "bucket int, keys binary, classes binary, sizes binary"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -229,6 +230,24 @@ def _unpacked(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
+def key_blocks(key: np.ndarray, cls: np.ndarray, size: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Keys with (class, step of its size, one byte), as one packed block for each range of keys; ``candidates`` reads them."""
+    order = np.argsort(key)
+    key, cls, size = key[order], cls[order], size[order].astype(np.uint8)
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    own = np.flatnonzero(np.diff(cuts))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(own.astype(np.int32)),
+            pa.array([_packed(key[cuts[x] : cuts[x + 1]]) for x in own], pa.binary()),
+            pa.array([cls[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
+            pa.array([size[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
+        ],
+        ["bucket", "keys", "classes", "sizes"],
+    )
+
+
 def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: str, hot: np.ndarray, buckets: int) -> DataFrame:
     """Keys with (class, step of its size), as one packed block for each batch and range of keys."""
 
@@ -250,23 +269,10 @@ def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: st
             if not keys:
                 continue
             key, cls, size = np.concatenate(keys), np.concatenate(classes), np.concatenate(sizes)
-            order = np.argsort(key)
-            key, cls, size = key[order], cls[order], size[order]
-            bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            own = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(own.astype(np.int32)),
-                    pa.array([_packed(key[cuts[x] : cuts[x + 1]]) for x in own], pa.binary()),
-                    pa.array([cls[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
-                    pa.array([size[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
-                ],
-                ["bucket", "keys", "classes", "sizes"],
-            )
+            yield key_blocks(key, cls, size, buckets)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "bucket int, keys binary, classes binary, sizes binary"
+        run, BLOCKS
     )
 
 

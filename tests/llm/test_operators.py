@@ -93,6 +93,15 @@ def test_copies_of_pictures(spark):
     assert media.edited_copies(df.limit(0)).count() == 0
 
 
+def test_tables_of_descriptors_are_read_as_written(spark):
+    rng = np.random.default_rng(8)
+    words = rng.integers(0, 1 << 63, (20, 4), dtype=np.uint64)
+    words[7, 2] = words[3, 2]
+    rows = [(i, 1, w.tobytes()) for i, w in enumerate(words)]
+    blocks = media._tables(spark.createDataFrame(rows, "cls long, n int, bits binary"), 3)
+    assert [tuple(r) for r in ngram_jaccard.candidates(blocks, 0.75, 8).where("kind = 0").select("a", "b").collect()] == [(3, 7)]
+
+
 def test_reply_trees(spark):
     rows = [(1, 1, None, "user", "a|b", 0.0), (1, 2, 1, "assistant", "x\\", 1.0), (1, 3, 1, "assistant", "<|end|>", 3.0), (1, 4, 3, None, None, 0.0), (2, 9, 77, "user", "q", 0.0), (3, 1, 2, "user", "", 0.0), (3, 2, 1, "user", "", 0.0)]
     out = chat.conversations(spark.createDataFrame(rows, "conv long, msg long, parent long, role string, text string, score double"))
