@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
-A sentence's score is a logistic regression over the words in it and their beginnings; a document's score joins its
-sentences' by noisy-or, 1 - prod(1 - p). The weights are trained through the noisy-or from document labels alone, on
-a bounded sample of labelled rows (``max_labelled`` of each class, drawn by hash). Scoring reads every sentence of
-every text and gives the offending ones with their places.
+A sentence's score is a logistic regression over the words in it and their beginnings, less what the bias alone gives:
+a sentence without a known feature scores 0. A document's score joins its sentences' and, once, the bias's by noisy-or,
+1 - (1 - p0) prod(1 - p), so that sentences in which nothing was found add nothing, however many they are. The weights
+and the bias are trained through the noisy-or from document labels alone, on a bounded sample of labelled rows
+(``max_labelled`` of each class, drawn by hash). Scoring reads every sentence of every text and gives the offending
+ones with their places.
 
 Null and empty texts have no sentence: their score is that of a document in which nothing was found. Without both
 classes among the labels the score is the smoothed share of ones. Repeated rows score alike, rows with a null id are
@@ -80,7 +82,7 @@ def matched(features: np.ndarray, owner: np.ndarray, hashes: np.ndarray) -> tupl
 
 @dataclass(frozen=True)
 class NoisyOr:
-    """Weights of known features (sorted by hash) and the bias of every sentence."""
+    """Weights of known features (sorted by hash) and the bias, which a document bears once."""
 
     share: float
     bias: float = 0.0
@@ -90,11 +92,19 @@ class NoisyOr:
     def sentence_scores(self, count: int, owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         owner, place = matched(self.features, owner, hashes)
         z = self.bias + np.bincount(owner, self.weights[place], minlength=count)
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        return -np.expm1(-_beyond(z, self.bias))
+
+    def document_scores(self, count: int, doc: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return -np.expm1(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=count) - np.logaddexp(0, self.bias))
+
+
+def _beyond(z: np.ndarray, bias: float) -> np.ndarray:
+    """-log(1 - p) of sentences: what their features add to the bias, 0 without any or with mild ones only."""
+    return np.maximum(np.logaddexp(0, np.clip(z, -50, 50)) - np.logaddexp(0, bias), 0)
 
 
 def fit(doc_of, owner, place, features, label, weight, *, rounds: int = 200, rate: float = 1.0, l1: float = 1e-4, bias: float = -7.0) -> NoisyOr:
-    """Weights of ``features`` by proximal gradient steps through the noisy-or.
+    """Weights of ``features`` and the bias, from ``bias`` on, by proximal gradient steps through the noisy-or.
 
     doc_of: document of each sentence; (owner, place): sentence and feature of each occurrence, each once; label and
     weight: of each document.
@@ -105,16 +115,21 @@ def fit(doc_of, owner, place, features, label, weight, *, rounds: int = 200, rat
     if not n or label.min() == label.max():
         return NoisyOr(share)
     count, m = len(doc_of), len(features)
-    w, squares = np.zeros(m), np.full(m, 1e-12)
+    w, squares, bias_squares = np.zeros(m), np.full(m, 1e-12), 1e-12
     for _ in range(rounds):
         z = np.clip(bias + np.bincount(owner, w[place], minlength=count), -30, 30)
-        clean = np.exp(np.bincount(doc_of, -np.logaddexp(0, z), minlength=n))  # prod(1 - p)
+        clean = np.exp(np.bincount(doc_of, -_beyond(z, bias), minlength=n) - np.logaddexp(0, bias))  # (1 - p0) prod(1 - p)
         slope = np.where(label == 1, -clean / np.clip(1 - clean, 1e-9, 1), 1.0) * weight
-        step = np.bincount(place, ((1 / (1 + np.exp(-z))) * slope[doc_of])[owner], minlength=m)
+        rise, base = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
+        rise[z < bias] = 0  # at the bias itself the weights must be able to start
+        step = np.bincount(place, (rise * slope[doc_of])[owner], minlength=m)
+        bias_step = float(base * slope.sum() + (np.where(z > bias, rise - base, 0) * slope[doc_of]).sum())
+        bias_squares += bias_step**2
         squares += step**2
         pace = rate / np.sqrt(squares)
         w = w - pace * step
         w = np.sign(w) * np.maximum(np.abs(w) - pace * l1, 0)
+        bias = float(np.clip(bias - rate / np.sqrt(bias_squares) * bias_step, -30, 30))
     used = np.abs(w) > 1e-6
     return NoisyOr(share, bias, features[used], w[used])
 
@@ -217,7 +232,7 @@ def toxicity_scores(
                 n = b - a
                 doc, start, end, owner, hashes = sentences(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 p = model.sentence_scores(len(doc), owner, hashes)
-                score = -np.expm1(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n)) if not flat else np.full(n, model.share)
+                score = model.document_scores(n, doc, p) if not flat else np.full(n, model.share)
                 worst = np.flatnonzero(p >= offending) if not flat else np.zeros(0, np.int64)
                 cuts = np.searchsorted(doc[worst], np.arange(n + 1)).astype(np.int32)
                 spans = pa.StructArray.from_arrays([pa.array(start[worst]), pa.array(end[worst]), pa.array(p[worst])], ["start", "end", "score"])

@@ -175,6 +175,24 @@ def test_classifiers_find_held_out_labels(spark):
         assert held and sum((r.score >= 0.3) == bool(marks[r.id][k]) for r in held) >= 0.95 * len(held)
 
 
+def test_long_clean_texts_are_not_toxic(spark):
+    rng, rows, marks = random.Random(5), [], []
+    for i in range(300):
+        body = [" ".join(rng.choice(["calm", "day", "tree", "river", "stone"]) for _ in range(8)) for _ in range(5)]
+        if i % 5 == 0:
+            body[i % 4] += " vilewords"
+        rows.append((i, ". ".join(body)))
+        marks.append((i, int(i % 5 == 0)))
+    long = ". ".join(["calm day tree river stone"] * 4000)  # 20,000 words
+    rows += [(1000, "calm day"), (1001, long), (1002, long + ". vilewords")]
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    found = {r.id: r.score for r in toxicity.toxicity_scores(df, labels).collect()}
+    assert found[1001] == pytest.approx(found[1000], abs=1e-6) and found[1001] < 0.1 and found[1002] > 0.3
+    doc, owner, place, label = np.arange(40), np.arange(20), np.zeros(20, np.int64), np.repeat([1, 0, 1], [20, 18, 2])
+    model = toxicity.fit(doc, owner, place, np.array([5], np.uint64), label, np.ones(40))
+    assert 0.05 < 1 / (1 + np.exp(-model.bias)) < 0.2  # 2 of 20 documents without the feature are toxic
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
