@@ -9,8 +9,7 @@ mutually nearest descriptors each propose a shift, turn and scaling, and the pai
 with one proposal.
 
 Pictures of equal pixels are one class throughout, so copies are never expanded into pairs. A key that more than
-``group_limit`` classes hold is linked as a star first; members that the star leaves in other components are compared
-with the rest of the key in blocks, pair of blocks by pair of blocks.
+``group_limit`` classes hold is dealt into blocks, and all its members are compared, pair of blocks by pair of blocks.
 
 Null, empty or unreadable media and pictures without corners have no descriptors: they link with nothing, though equal
 pictures stay one class. Rows with a null id are left out, repeated rows (same id) count once, extra columns are
@@ -193,24 +192,24 @@ def _linked(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "da", "pb", "db").mapInArrow(run, "a long, b long")
 
 
-def _rest_of_groups(members: DataFrame, least: int) -> DataFrame:
-    """Links between members of one key in different components: those outside the key's largest one against all others."""
+def _links_of_groups(members: DataFrame, least: int) -> DataFrame:
+    """Links between all members of one key, held against each other pair of blocks by pair of blocks."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    apart = (F.col("root") != F.col("main")).alias("apart")
-    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", apart, "points", "bits")
+    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "points", "bits")
 
     def run(table: pa.Table) -> pa.Table:
-        node, root, own, apart = (table.column(c).to_numpy() for c in ("node", "root", "own", "apart"))
+        node, own = (table.column(c).to_numpy() for c in ("node", "own"))
         corners = [_corners(p, d) for p, d in zip(table.column("points"), table.column("bits"), strict=True)]
         two = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-        found = set()
-        for i in np.flatnonzero(apart):
-            others = (root != root[i]) & ((own != own[i]) if two else True)
-            for j in np.flatnonzero(others):
-                ends = (min(node[i], node[j]), max(node[i], node[j]))
-                if ends not in found and agreeing(*corners[i], *corners[j]) >= least:
-                    found.add(ends)
+        found = []
+        for i in range(len(node)):
+            for j in range(i + 1, len(node)):
+                if two and own[i] == own[j]:
+                    continue
+                p, q = (i, j) if node[i] < node[j] else (j, i)  # the same order as elsewhere, whichever key they share
+                if agreeing(*corners[p], *corners[q]) >= least:
+                    found.append((node[p], node[q]))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return dealt.groupBy("key", "x", "y").applyInArrow(run, "a long, b long")
@@ -220,26 +219,20 @@ def edited_copies(media: DataFrame, *, id_col: str = "media_id", media_col: str
     """(id, n_corners, class_id, component_id, n_links) for every row with an id.
 
     class_id: the smallest id with the same pixels; component_id: the smallest id reachable by links; both the id itself
-    without a picture. n_links: other classes that the row's class is linked with. ``group_limit`` changes no component.
+    without a picture. n_links: other classes that the row's class is linked with. ``group_limit`` changes no result.
     """
     found = stored(described(media, id_col, media_col).dropDuplicates(["id"]), "corners")
     by_class = found.where("cls is not null").groupBy("cls")
     classes = stored(by_class.agg(F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("points").alias("points"), F.first("bits").alias("bits")), "pictures")
     blocks = _tables(classes.where("n > 0"), 4 * partitions(media.sparkSession))
     joined = stored(candidates(blocks, 0.75, group_limit), "candidates")
-    links = stored(_linked(joined.where("kind = 0").select("a", "b").distinct(), classes, least), "links")
+    small = _linked(joined.where("kind = 0").select("a", "b").distinct(), classes, least)
+    members = joined.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    members = members.join(members.groupBy("key").agg(F.count("*").alias("m")), "key")
+    large = _links_of_groups(members.join(classes.select(F.col("cls").alias("node"), "points", "bits"), "node"), least)
+    links = stored(small.union(large).distinct(), "links")
     roots = components(links)
 
-    labelled = joined.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).join(roots, "node", "left")
-    labelled = labelled.select("key", "node", F.coalesce("root", "node").alias("root"))
-    per_root = labelled.groupBy("key", "root").agg(F.count("*").alias("m"))
-    per_key = per_root.groupBy("key").agg(F.sum("m").alias("m"), F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("roots"))
-    split = labelled.join(per_key.where("roots > 1"), "key").join(classes.select(F.col("cls").alias("node"), "points", "bits"), "node")
-    late = stored(_rest_of_groups(split, least).distinct(), "links")
-    if not late.isEmpty():
-        links = stored(links.union(late).distinct(), "links")
-        roots = components(links)
-
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     rooted = classes.select("cls", "class_id").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "class_id", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "classes")

@@ -93,6 +93,16 @@ def test_copies_of_pictures(spark):
     assert media.edited_copies(df.limit(0)).count() == 0
 
 
+def test_links_of_many_edits_of_one_picture(spark):
+    x = media.picture(np.random.default_rng(6).normal(size=64).astype(np.float32)).astype(int)
+    rows = [(i, media.to_pgm(np.clip(x + 2 * i, 0, 255))) for i in range(12)]
+    brute = {i: media.describe(media.from_pgm(raw)) for i, raw in rows}
+    degree = {a: sum(a != b and media.agreeing(*brute[min(a, b)], *brute[max(a, b)]) >= 4 for b in brute) for a in brute}
+    assert set(degree.values()) == {11}
+    df = spark.createDataFrame(rows, "media_id long, media binary")
+    assert {r.id: r.n_links for r in media.edited_copies(df).collect()} == degree
+
+
 def test_tables_of_descriptors_are_read_as_written(spark):
     rng = np.random.default_rng(8)
     words = rng.integers(0, 1 << 63, (20, 4), dtype=np.uint64)
