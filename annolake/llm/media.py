@@ -1,6 +1,7 @@
 """Local image descriptors: cropped, turned or edited copies in a media column.
 
-A media value is a binary PGM picture (``P5``, 8 bits). Corners are sought at three scales; each is given the direction
+A media value is a binary PGM picture (``P5``, 8 bits). Corners are sought at three scales, the strongest
+of each cell of a grid, so that their number grows with the picture and a crop shares those of its part; each is given the direction
 of its surroundings' centre of brightness, and 256 comparisons of pixel pairs, turned by that direction, make its
 descriptor. Descriptors are cut into four parts of 64 bits; two descriptors at most 3 bits apart agree in one part, and
 of the many corners that copies share some do, so tables keyed by (part, its bits) join pictures that may share a
@@ -29,7 +30,9 @@ from annolake.llm.common import mixed, partitions, stored
 from annolake.llm.graph import components
 from annolake.llm.ngram_jaccard import BLOCKS, candidates, key_blocks
 
-LEVELS = ((1.0, 16), (2**-0.5, 10), (0.5, 6))  # scale, corners kept
+LEVELS = ((1.0, 16), (2**-0.5, 10), (0.5, 6))  # scale, corners kept in each cell
+ONE_CELL, CELL = 96, 64  # pixels: sides up to the first are one cell, longer ones are cut into cells of the second or less
+ROWS = 1024  # corners of a large picture compared at a time
 RADIUS = 9
 PARTS = 4
 NEAR = 40  # bits of 256 within which descriptors may match
@@ -95,9 +98,13 @@ def describe(pixels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inner = strength[m:-m, m:-m]
         top = np.max([strength[m + dy : x.shape[0] - m + dy, m + dx : x.shape[1] - m + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=0)
         peak = np.flatnonzero((inner == top) & (inner > 25.0))
-        peak = peak[np.argsort(-inner.ravel()[peak], kind="stable")[:most]]
         if not len(peak):
             continue
+        cells = [1 if n <= ONE_CELL else -(-n // CELL) for n in pixels.shape]
+        cell = peak // inner.shape[1] * cells[0] // inner.shape[0] * cells[1] + peak % inner.shape[1] * cells[1] // inner.shape[1]
+        order = np.lexsort((-inner.ravel()[peak], cell))
+        peak, cell = peak[order], cell[order]
+        peak = peak[np.arange(len(peak)) - np.searchsorted(cell, cell) < most]
         py, px = peak // inner.shape[1] + m, peak % inner.shape[1] + m
         disc = x[py[:, None] + _DISC[0], px[:, None] + _DISC[1]]
         turn = np.arctan2((disc * _DISC[0]).sum(axis=1), (disc * _DISC[1]).sum(axis=1))
@@ -118,9 +125,16 @@ def agreeing(pa_, da, pb, db, reach: float = 4.0) -> int:
     """Corners of two pictures that one shift, turn and scaling brings together."""
     if not len(da) or not len(db):
         return 0
-    far = np.bitwise_count(da[:, None] ^ db[None]).sum(axis=2)
-    i, j = np.arange(len(da)), far.argmin(axis=1)
-    good = (far[i, j] <= NEAR) & (far.argmin(axis=0)[j] == i)
+    i, j, near = np.arange(len(da)), np.zeros(len(da), np.int64), np.zeros(len(da), np.int64)
+    back, least = np.zeros(len(db), np.int64), np.full(len(db), 257)
+    for k in range(0, len(da), ROWS):
+        far = np.zeros((len(da[k : k + ROWS]), len(db)), np.int64)
+        for word in range(PARTS):
+            far += np.bitwise_count(da[k : k + ROWS, None, word] ^ db[None, :, word])
+        j[k : k + ROWS], near[k : k + ROWS] = far.argmin(axis=1), far.min(axis=1)
+        closer = far.min(axis=0) < least
+        back[closer], least[closer] = far.argmin(axis=0)[closer] + k, far.min(axis=0)[closer]
+    good = (near <= NEAR) & (back[j] == i)
     i, j = i[good], j[good]
     if len(i) < 2:
         return len(i)
@@ -128,8 +142,12 @@ def agreeing(pa_, da, pb, db, reach: float = 4.0) -> int:
     scale, turn = q[:, 3] / p[:, 3], q[:, 2] - p[:, 2]
     z, w = p[:, 0] + 1j * p[:, 1], q[:, 0] + 1j * q[:, 1]
     move = scale * np.exp(1j * turn)
-    miss = np.abs(move[:, None] * (z[None] - z[:, None]) + w[:, None] - w[None])
-    return int((miss <= reach).sum(axis=1).max())
+    most = 0
+    for k in range(0, len(i), ROWS):
+        own = slice(k, k + ROWS)
+        miss = np.abs(move[own, None] * (z[None] - z[own, None]) + w[own, None] - w[None])
+        most = max(most, int((miss <= reach).sum(axis=1).max()))
+    return most
 
 
 def described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:

@@ -93,6 +93,13 @@ def test_copies_of_pictures(spark):
     assert media.edited_copies(df.limit(0)).count() == 0
 
 
+def test_small_crops_of_large_pictures():
+    pictures = [media.picture(v, 288) for v in np.random.default_rng(11).normal(size=(20, 64)).astype(np.float32)]
+    both = [(media.describe(x), media.describe(x[101:181, 90:170])) for x in pictures]
+    assert sum(media.agreeing(*a, *b) >= 4 for a, b in both) >= 18
+    assert all(media.agreeing(*a, *both[k - 1][1]) < 4 for k, (a, _) in enumerate(both))
+
+
 def test_links_of_many_edits_of_one_picture(spark):
     x = media.picture(np.random.default_rng(6).normal(size=64).astype(np.float32)).astype(int)
     rows = [(i, media.to_pgm(np.clip(x + 2 * i, 0, 255))) for i in range(12)]
