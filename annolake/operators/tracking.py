@@ -1,8 +1,8 @@
 """Tracks over frames: assignment of ids, pose gating, timelines and presence.
 
 A video is one state: its frames depend on all earlier ones, so trackers run once per video, frame after frame, and
-videos are spread over the cluster. Each step function is shared by the batch and the streaming form. Everything that
-does not depend on order of assignment is relational.
+videos are spread over the cluster. The box tracker's step is shared by the batch and the streaming form; the others
+run in batches only. Everything that does not depend on order of assignment is relational.
 """
 
 from __future__ import annotations
