@@ -9,7 +9,7 @@ backslash and each ``|``, so no control string can stand in a text, and ``unesca
 
 A parent that is missing or null makes its message a root; messages on a cycle have no root and are left out. Null
 roles and texts count as empty. Repeated rows (same conversation and message id) are one message, the least by role
-and text. Extra columns are ignored; an empty table gives an empty result.
+and text. Rows with a null conversation id are one conversation; rows with a null message id are left out. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:
     m = messages.groupBy("conv", "msg").agg(
         F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "parent", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("m")
     )
-    m = stored(m.select("conv", "msg", "m.*"), "messages")
+    m = stored(m.select(F.struct(F.col("conv").alias("id")).alias("conv"), "msg", "m.*"), "messages")  # joins match structs of null
     steps = paths(m)
     turns = steps.join(m.select("conv", "msg", "role", "text", "score"), ["conv", "msg"])
     head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit(TEXT))
@@ -82,7 +82,7 @@ def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:
     whole = turns.groupBy("conv", "leaf").agg(F.avg("score").alias("score"), F.array_sort(F.collect_list(row)).alias("rows"))
     branch = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("score"), "leaf"))
     out = whole.select(
-        "conv",
+        F.col("conv.id").alias("conv"),
         "leaf",
         branch.alias("branch"),
         F.size("rows").cast("long").alias("n_turns"),

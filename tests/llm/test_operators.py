@@ -131,6 +131,14 @@ def test_reply_trees(spark):
     }
 
 
+def test_messages_without_conversation_id_are_one_conversation(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, 0, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.conversations(chat.linear(df, "conv_id", "turn", "role", "text"))
+    found = {r.conv: [tuple(t) for t in r.turns] for r in out.select("conv", chat.turns_of(out.formatted).alias("turns")).collect()}
+    assert found == {None: [("user", "a"), ("assistant", "b")], 1: [("user", "c")]}
+
+
 def best_score(word, pieces, unknown):
     top = [0.0] + [-1e18] * len(word)
     for j in range(1, len(word) + 1):
