@@ -14,7 +14,7 @@ star first; only members that the star leaves in other components are compared w
 groups of copies never become all pairs while no link between components is lost.
 
 Nulls, empty texts and texts without words have no n-grams and link with nothing; repeated rows (same id) are one
-document, whose set comes from each row alone; extra columns are ignored; an empty table gives an empty result.
+document, whose set comes from each row alone; rows with a null id are left out; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
