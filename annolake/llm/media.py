@@ -10,11 +10,13 @@ mutually nearest descriptors each propose a shift, turn and scaling, and the pai
 with one proposal.
 
 Pictures of equal pixels are one class throughout, so copies are never expanded into pairs. A key that more than
-``group_limit`` classes hold is dealt into blocks, and all its members are compared, pair of blocks by pair of blocks.
+``group_limit`` classes hold is linked as a star; where its members stay in several components it is dealt into blocks,
+and each pair of blocks compares members of different components and returns a spanning forest of their links. Links
+are not counted.
 
 Null, empty or unreadable media and pictures without corners have no descriptors: they link with nothing, though equal
-pictures stay one class. Rows with a null id are left out, repeated rows (same id) count once, extra columns are
-ignored and an empty table gives an empty result.
+pictures stay one class. Rows with a null id are left out; repeated rows (same id) give one row, that of one of their
+pictures, while all of them link. Extra columns are ignored and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import mixed, partitions, stored
 from annolake.llm.graph import components
-from annolake.llm.ngram_jaccard import BLOCKS, candidates, key_blocks
+from annolake.llm.ngram_jaccard import BLOCKS, apart, candidates, dealt, in_order, key_blocks
 
 LEVELS = ((1.0, 16), (2**-0.5, 10), (0.5, 6))  # scale, corners kept in each cell
 ONE_CELL, CELL = 96, 64  # pixels: sides up to the first are one cell, longer ones are cut into cells of the second or less
@@ -36,7 +38,6 @@ ROWS = 1024  # corners of a large picture compared at a time
 RADIUS = 9
 PARTS = 4
 NEAR = 40  # bits of 256 within which descriptors may match
-BLOCK = 256  # members of a key held against each other at a time
 
 _rng = np.random.default_rng(2024)
 _first = _rng.normal(0, 4.0, (256, 2))
@@ -178,7 +179,7 @@ def described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     return rows.mapInArrow(run, "id long, cls long, n int, points binary, bits binary")
 
 
-def _tables(classes: DataFrame, buckets: int) -> DataFrame:
+def _tables(classes: DataFrame, buckets: int, limit: int) -> DataFrame:
     """Keys (part, its 64 bits) with their classes, as one packed block for each batch and range of keys."""
 
     def run(batches):
@@ -187,7 +188,7 @@ def _tables(classes: DataFrame, buckets: int) -> DataFrame:
             parts = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
             key = mixed(parts ^ mixed(np.tile(np.arange(1, PARTS + 1, dtype=np.uint64), len(parts) // PARTS)))
             cls = np.repeat(batch.column("cls").to_numpy(), n * PARTS)
-            yield key_blocks(key, cls, np.ones(len(key)), buckets)
+            yield key_blocks(key, cls, np.ones(len(key)), buckets, limit)
 
     return classes.select("cls", "n", "bits").mapInArrow(run, BLOCKS)
 
@@ -210,58 +211,63 @@ def _linked(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "da", "pb", "db").mapInArrow(run, "a long, b long")
 
 
-def _links_of_groups(members: DataFrame, least: int) -> DataFrame:
-    """Links between all members of one key, held against each other pair of blocks by pair of blocks."""
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "points", "bits")
+def _forests(members: DataFrame, least: int) -> DataFrame:
+    """(a, b): links that join components, a spanning forest from each pair of blocks of a key's members."""
 
     def run(table: pa.Table) -> pa.Table:
-        node, own = (table.column(c).to_numpy() for c in ("node", "own"))
-        corners = [_corners(p, d) for p, d in zip(table.column("points"), table.column("bits"), strict=True)]
-        two = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-        found = []
-        for i in range(len(node)):
-            for j in range(i + 1, len(node)):
-                if two and own[i] == own[j]:
-                    continue
-                p, q = (i, j) if node[i] < node[j] else (j, i)  # the same order as elsewhere, whichever key they share
-                if agreeing(*corners[p], *corners[q]) >= least:
-                    found.append((node[p], node[q]))
+        table, group, c = in_order(table, "key")
+        corners = [_corners(p, d) for p, d in zip(table.column("points").combine_chunks(), table.column("bits").combine_chunks(), strict=True)]
+        held = np.concatenate([d for _, d in corners])
+        cuts = np.concatenate([[0], np.cumsum([len(d) for _, d in corners])])
+        root, found = c["root"].copy(), []
+        for i in range(len(root)):
+            end = np.searchsorted(group, group[i], side="right")
+            j = np.arange(i + 1, end)
+            j = j[(root[j] != root[i]) & apart(c, np.full(len(j), i), j)]
+            if not len(j):
+                continue
+            mine, first = corners[i][1], cuts[i + 1]
+            far = sum(np.bitwise_count(mine[:, None, w] ^ held[None, first : cuts[end], w]).astype(np.int16) for w in range(PARTS))
+            near = np.add.reduceat(far <= NEAR, cuts[i + 1 : end] - first, axis=1) > 0
+            for k in j[near.sum(axis=0)[j - i - 1] >= least]:  # fewer corners than ``least`` near each other cannot agree
+                p, q = (i, k) if c["node"][i] < c["node"][k] else (k, i)
+                if root[i] != root[k] and agreeing(*corners[p], *corners[q]) >= least:
+                    found.append((c["node"][p], c["node"][q]))
+                    root[root == root[k]] = root[i]
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return dealt.groupBy("key", "x", "y").applyInArrow(run, "a long, b long")
+    return dealt(members, "key", ["root", "points", "bits"]).groupBy("bucket").applyInArrow(run, "a long, b long")
 
 
 def edited_copies(media: DataFrame, *, id_col: str = "media_id", media_col: str = "media", least: int = 4, group_limit: int = 8) -> DataFrame:
-    """(id, n_corners, class_id, component_id, n_links) for every row with an id.
+    """(id, n_corners, class_id, component_id) for every id.
 
     class_id: the smallest id with the same pixels; component_id: the smallest id reachable by links; both the id itself
-    without a picture. n_links: other classes that the row's class is linked with. ``group_limit`` changes no result.
+    without a picture. ``group_limit`` changes no result.
     """
-    found = stored(described(media, id_col, media_col).dropDuplicates(["id"]), "corners")
+    found = stored(described(media, id_col, media_col), "corners")
     by_class = found.where("cls is not null").groupBy("cls")
     classes = stored(by_class.agg(F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("points").alias("points"), F.first("bits").alias("bits")), "pictures")
-    blocks = _tables(classes.where("n > 0"), 4 * partitions(media.sparkSession))
+    blocks = _tables(classes.where("n > 0"), 4 * partitions(media.sparkSession), group_limit)
     joined = stored(candidates(blocks, 0.75, group_limit), "candidates")
-    small = _linked(joined.where("kind = 0").select("a", "b").distinct(), classes, least)
-    members = joined.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
-    members = members.join(members.groupBy("key").agg(F.count("*").alias("m")), "key")
-    large = _links_of_groups(members.join(classes.select(F.col("cls").alias("node"), "points", "bits"), "node"), least)
-    links = stored(small.union(large).distinct(), "links")
+    members = stored(joined.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct(), "members")
+    star = members.join(members.groupBy("key").agg(F.min("node").alias("a")), "key").where("a <> node").select("a", F.col("node").alias("b"))
+    links = stored(_linked(joined.where("kind = 0").select("a", "b").union(star).distinct(), classes, least), "links")
     roots = components(links)
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    split = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    rest = labelled.join(split.select("key"), "key").join(classes.select(F.col("cls").alias("node"), F.col("n").cast("long").alias("n"), "points", "bits"), "node")
+    late = stored(_forests(rest, least), "links")
+    if not late.isEmpty():
+        roots = components(links.union(late))
+
     rooted = classes.select("cls", "class_id").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "class_id", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "classes")
-    least_id = rooted.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = rooted.join(least_id, "root").join(degree, F.col("cls") == F.col("node"), "left").select("cls", "class_id", "component_id", "n_links")
-    return found.select("id", "cls", "n").join(named, "cls", "left").select(
-        "id",
-        F.col("n").alias("n_corners"),
-        F.coalesce("class_id", "id").alias("class_id"),
-        F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+    named = rooted.join(rooted.groupBy("root").agg(F.min("class_id").alias("component_id")), "root").select("cls", "class_id", "component_id")
+    rows = found.groupBy("id").agg(F.min(F.struct("cls", "n")).alias("p")).select("id", "p.cls", "p.n")
+    return rows.join(named, "cls", "left").select(
+        "id", F.col("n").alias("n_corners"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id")
     )
 
 

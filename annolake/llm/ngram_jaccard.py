@@ -9,12 +9,18 @@ the first D + 1 filled pieces of each: joining those D + 1 keys per size band mi
 documents hold sort their pieces last, which keeps them out of the keys. Candidates must then pass a folded sketch's
 Hamming bound, and at last the sets themselves are compared.
 
-Groups of identical sets are one class throughout. A key that more than ``group_limit`` classes share is linked as a
-star first; only members that the star leaves in other components are compared with the rest of their key, so large
-groups of copies never become all pairs while no link between components is lost.
+Groups of identical sets are one class throughout. A key of up to ``group_limit`` classes gives all its pairs. A larger
+one is linked as a star first; keys whose members stay in several components are then dealt into blocks, and pairs of
+blocks are held against each other: once by sketches, each member giving its nearest partner elsewhere, and at last by
+the sets themselves, where a pair of blocks returns a spanning forest of its links and never their pairs. Links are
+counted in the same way, component by component.
+
+Sets are compared by 64-bit hashes of their n-grams. Two sets are one class if two sums of 64 bits agree: where only the
+first does, all is done anew with other sums.
 
 Nulls, empty texts and texts without words have no n-grams and link with nothing; repeated rows (same id) are one
-document, whose set comes from each row alone; rows with a null id are left out; extra columns are ignored; an empty table gives an empty result.
+document, whose set comes from each row alone; rows with a null id are left out; extra columns, whatever their names,
+are ignored; texts of any length are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,12 +37,13 @@ from annolake.llm.graph import components
 
 LEAST_BITS = 64
 CHUNK = 1 << 21  # bytes of text hashed at a time
-BLOCK = 2048  # members of a key held against each other at a time
+BLOCK, BLOCK_HASHES = 2048, 1 << 19  # members of a group, and n-grams of them, held against each other at a time
+DEALT = 100_000  # rows of blocks in one task, or n-grams of them times 32
 PAIRS_AT_ONCE = 1 << 15
 SIZE_STEP = 1.06
 RUNTIME_BITS = 1 << 24
 LEAST_ID = -(1 << 63)
-BLOCKS = "bucket int, keys binary, classes binary, sizes binary"
+BLOCKS = "bucket int, sure boolean, keys binary, classes binary, sizes binary"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -85,10 +92,10 @@ def shingle_sets(array: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray,
         yield a, np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum(sizes)
 
 
-def _class_ids(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One 64-bit id for each set, the same for equal sets (0 for the empty one)."""
+def _class_ids(hashes: np.ndarray, offsets: np.ndarray, salt: int) -> np.ndarray:
+    """One 64-bit id for each set, the same for equal sets (0 for the empty one); other salts give other ids."""
     sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(mixed(hashes ^ np.uint64(0xA0761D6478BD642F)), out=sums[1:])
+    np.cumsum(mixed(hashes ^ mixed(np.array([0xA0761D6478BD642F + salt], np.uint64))), out=sums[1:])
     n = np.diff(offsets).astype(np.uint64)
     ids = mixed(sums[offsets[1:]] - sums[offsets[:-1]] + n * np.uint64(0xE7037ED1A0B428DB))
     return np.where(n == 0, 0, ids.view(np.int64))
@@ -121,8 +128,9 @@ def distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def describe(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, cls, sketch) per row, and (hash, n) rows with kind 1 for n-grams that are frequent within a batch."""
+def describe(docs: DataFrame, width: int, salt: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, cls, sums, sketch) per row, and (hash, n) rows with kind 1 for n-grams that are frequent within a batch."""
+    names = ["kind", "id", "n", "cls", "sums", "sketch"]
 
     def run(batches):
         for batch in batches:
@@ -135,10 +143,11 @@ def describe(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                         pa.array(np.zeros(n, np.int32)),
                         batch.column(0).slice(a, n),
                         pa.array(np.diff(offsets)),
-                        pa.array(_class_ids(hashes, offsets)),
+                        pa.array(_class_ids(hashes, offsets, salt)),
+                        pa.array(_class_ids(hashes, offsets, ~salt & 0xFFFF)),
                         pa.array(_folded(hashes, offsets), pa.binary()),
                     ],
-                    ["kind", "id", "n", "cls", "sketch"],
+                    names,
                 )
             values, counts = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.uint64), return_counts=True)
             often = counts >= max(16, batch.num_rows // 500)
@@ -149,13 +158,14 @@ def describe(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                     pa.array(values[often].view(np.int64)),
                     pa.array(counts[often].astype(np.int64)),
                     pa.nulls(k, pa.int64()),
+                    pa.nulls(k, pa.int64()),
                     pa.nulls(k, pa.binary()),
                 ],
-                ["kind", "id", "n", "cls", "sketch"],
+                names,
             )
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "kind int, id long, n long, cls long, sketch binary"
+        run, "kind int, id long, n long, cls long, sums long, sketch binary"
     )
 
 
@@ -230,32 +240,50 @@ def _unpacked(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
-def key_blocks(key: np.ndarray, cls: np.ndarray, size: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Keys with (class, step of its size, one byte), as one packed block for each range of keys; ``candidates`` reads them."""
-    order = np.argsort(key)
-    key, cls, size = key[order], cls[order], size[order].astype(np.uint8)
-    bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+def _distinct_members(key: np.ndarray, cls: np.ndarray, size: np.ndarray):
+    """(key, cls, size), each member of a key once and in order, and the place of each member within its key."""
+    order = np.lexsort((cls, key))
+    key, cls, size = key[order], cls[order], size[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+    key, cls, size = key[new], cls[new], size[new]
+    return key, cls, size, np.arange(len(key)) - np.searchsorted(key, key)
+
+
+def key_blocks(key: np.ndarray, cls: np.ndarray, size: np.ndarray, buckets: int, limit: int) -> pa.RecordBatch:
+    """Keys with (class, step of its size, one byte), as one packed block for each range of keys; ``candidates`` reads them.
+
+    A batch gives ``limit`` + 1 members of a key to the key's range. Those beyond it, whose key is large already, are
+    ``sure`` members and go to any range, so that no range gets more than a few members of one key from a batch.
+    """
+    key, cls, size, place = _distinct_members(key, cls, size.astype(np.uint8))
+    sure = place > limit
+    home = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    bucket = np.where(sure, (cls.view(np.uint64) % np.uint64(buckets)).astype(np.int64), home) * 2 + sure
+    order = np.argsort(bucket, kind="stable")
+    key, cls, size, bucket = key[order], cls[order], size[order], bucket[order]
+    cuts = np.searchsorted(bucket, np.arange(2 * buckets + 1))
     own = np.flatnonzero(np.diff(cuts))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(own.astype(np.int32)),
+            pa.array((own // 2).astype(np.int32)),
+            pa.array(own % 2 == 1),
             pa.array([_packed(key[cuts[x] : cuts[x + 1]]) for x in own], pa.binary()),
             pa.array([cls[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
             pa.array([size[cuts[x] : cuts[x + 1]].tobytes() for x in own], pa.binary()),
         ],
-        ["bucket", "keys", "classes", "sizes"],
+        ["bucket", "sure", "keys", "classes", "sizes"],
     )
 
 
-def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: str, hot: np.ndarray, buckets: int) -> DataFrame:
+def _key_blocks(docs: DataFrame, width: int, t: float, salt: int, id_col: str, text_col: str, hot: np.ndarray, buckets: int, limit: int) -> DataFrame:
     """Keys with (class, step of its size), as one packed block for each batch and range of keys."""
 
     def run(batches):
         for batch in batches:
-            keys, owners, sizes, classes = [], [], [], []
+            keys, sizes, classes = [], [], []
             for _, hashes, offsets in shingle_sets(batch.column(1), width):
-                cls = _class_ids(hashes, offsets)
+                cls = _class_ids(hashes, offsets, salt)
                 _, firsts = np.unique(cls, return_index=True)
                 firsts = np.sort(firsts)  # copies within the batch give keys once
                 if len(firsts) < len(cls):
@@ -266,53 +294,40 @@ def _key_blocks(docs: DataFrame, width: int, t: float, id_col: str, text_col: st
                 keys.append(k)
                 classes.append(cls[o])
                 sizes.append(_size_steps(np.diff(offsets))[o])
-            if not keys:
-                continue
-            key, cls, size = np.concatenate(keys), np.concatenate(classes), np.concatenate(sizes)
-            yield key_blocks(key, cls, size, buckets)
-
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, BLOCKS
-    )
-
+            if keys:
+                yield key_blocks(np.concatenate(keys), np.concatenate(classes), np.concatenate(sizes), buckets, limit)
 
-def _pairs_of_groups(key, cls, size, t: float, limit: int):
-    """Candidate pairs of small groups, star pairs of large ones, and the members of the large ones; sizes are steps."""
-    order = np.lexsort((cls, key))
-    key, cls, size = key[order], cls[order], size[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-    key, cls, size = key[new], cls[new], size[new]
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    n = np.diff(np.append(at, len(key)))
-    pairs = []
-    for k in range(1, limit):
-        for j in range(k):
-            s = at[(n > k) & (n <= limit)]
-            x, y = s + j, s + k
-            fits = _may_fit(size[x], size[y], t)
-            pairs.append(np.stack([cls[x[fits]], cls[y[fits]]]))
-    large = np.flatnonzero(n > limit)
-    take = np.concatenate([np.arange(at[g], at[g] + n[g]) for g in large]) if len(large) else np.zeros(0, np.int64)
-    lead = np.repeat(at[large], n[large])
-    pairs.append(np.stack([cls[lead], cls[take]])[:, lead != take])
-    both = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
-    return both, key[take], cls[take]
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, BLOCKS)
 
 
 def candidates(blocks: DataFrame, t: float, limit: int) -> DataFrame:
-    """kind 0: (a, b) candidate classes; kind 1: members (key, cls) of keys with more than ``limit`` classes."""
+    """kind 0: (a, b) candidate classes of keys with up to ``limit`` of them; kind 1: members (key, cls) of larger keys.
+
+    A member may be given more than once.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([_unpacked(x.as_py()) for x in table.column("keys")])
-        classes = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("classes")])
-        steps = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("sizes")])
-        pairs, key, cls = _pairs_of_groups(keys, classes, steps, t, limit)
+        keys = [_unpacked(x.as_py()) for x in table.column("keys")]
+        sure = np.repeat(table.column("sure").to_numpy(), [len(k) for k in keys])
+        key, cls = np.concatenate(keys), np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("classes")])
+        size = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("sizes")])
+        passed = (key[sure], cls[sure])
+        key, cls, size, _ = _distinct_members(key[~sure], cls[~sure], size[~sure])
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        n = np.diff(np.append(at, len(key)))
+        pairs = [np.zeros((2, 0), np.int64)]
+        for k in range(1, limit):
+            s = at[(n > k) & (n <= limit)]
+            for j in range(k):
+                fits = _may_fit(size[s + j], size[s + k], t)
+                pairs.append(np.stack([cls[s + j][fits], cls[s + k][fits]]))
+        both = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        large = np.repeat(n > limit, n)
         return pa.table(
             {
-                "kind": pa.array(np.repeat(np.array([0, 1], np.int32), [pairs.shape[1], len(key)])),
-                "a": pa.array(np.concatenate([pairs[0], key.view(np.int64)])),
-                "b": pa.array(np.concatenate([pairs[1], cls])),
+                "kind": pa.array(np.repeat(np.array([0, 1, 1], np.int32), [both.shape[1], large.sum(), len(passed[0])])),
+                "a": pa.array(np.concatenate([both[0], key[large].view(np.int64), passed[0].view(np.int64)])),
+                "b": pa.array(np.concatenate([both[1], cls[large], passed[1]])),
             }
         )
 
@@ -320,9 +335,9 @@ def candidates(blocks: DataFrame, t: float, limit: int) -> DataFrame:
 
 
 def _within_bound(pairs: DataFrame, classes: DataFrame, t: float) -> DataFrame:
-    """Pairs whose sizes and folded sketches still allow the similarity; with both representatives' ids."""
-    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"), F.col("rep").alias("ra"))
-    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"), F.col("rep").alias("rb"))
+    """Pairs whose sizes and folded sketches still allow the similarity."""
+    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= t * F.greatest("na", "nb"))
 
     def run(batches):
@@ -330,9 +345,9 @@ def _within_bound(pairs: DataFrame, classes: DataFrame, t: float) -> DataFrame:
             far = np.array([distance(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True)])
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
             near = pa.array(far * (1 + t) <= (1 - t) * total + 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "ra", "rb")], ["a", "b", "ra", "rb"]).filter(near)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(near)
 
-    return joined.select("a", "b", "ra", "rb", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, ra long, rb long")
+    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 class _Sketches:
@@ -361,7 +376,34 @@ class _Sketches:
         return np.where(far <= most, far, np.inf)
 
 
-def _unlike_members(group: np.ndarray, n: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class _Sets:
+    """Sets of many rows as bits, one for each n-gram that two of them hold, for intersections of many pairs at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        sizes = np.array([len(x) for x in sets])
+        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = times > 1
+        place = np.cumsum(shared) - 1
+        row, column = np.repeat(np.arange(len(sets)), sizes)[shared[column]], place[column[shared[column]]]
+        words = max(1, -(-int(shared.sum()) // 64))
+        code = np.unique(row * (words * 64) + column)
+        at, new = code >> 6, np.ones(len(code), bool)
+        new[1:] = at[1:] != at[:-1]
+        self.bits = np.zeros(len(sets) * words, np.uint64)
+        if len(code):
+            first = np.flatnonzero(new)
+            self.bits[at[first]] = np.bitwise_or.reduceat(np.uint64(1) << (code & 63).astype(np.uint64), first)
+        self.bits = self.bits.reshape(len(sets), words)
+
+    def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out, step = np.zeros(len(i), np.int64), max(1, (1 << 22) // self.bits.shape[1])
+        for a in range(0, len(i), step):
+            own = slice(a, a + step)
+            out[own] = np.bitwise_count(self.bits[i[own]] & self.bits[j[own]]).sum(axis=1)
+        return out
+
+
+def _pairs_by_size(group: np.ndarray, n: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one group whose sizes have the ratio ``t``, in parts; rows are sorted by group, then size."""
     end = np.searchsorted(group, group, side="right")
     live, k, parts, held = np.arange(len(group)), 0, [], 0
@@ -378,97 +420,192 @@ def _unlike_members(group: np.ndarray, n: np.ndarray, t: float) -> Iterator[tupl
             parts, held = [], 0
 
 
-def _rest_of_groups(members: DataFrame, t: float, buckets: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b, ra, rb) of one key's members in different components that sizes and sketches allow.
+def dealt(members: DataFrame, by: str, carried: list[str]) -> DataFrame:
+    """Members (``by``, node, n, ...) of groups dealt into blocks, a row for each pair of blocks that a member is in.
 
-    Members are held against each other in blocks of about BLOCK, each pair of blocks of a key a group of its own, many
-    groups to a bucket: no group has more than two blocks, however many members a key has. With ``nearest`` each member
-    gives only its nearest partner of a group, else all.
+    A block has about BLOCK members and BLOCK_HASHES n-grams at most, however large its group; ``bucket`` brings many
+    pairs of blocks together, of about DEALT rows or 32 times as many n-grams in all.
+    """
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_HASHES, F.lit(1))).cast("int")
+    per_group = stored(members.groupBy(by).agg(blocks.alias("blocks"), F.count("*").alias("m"), F.sum("n").alias("grams")), "groups")
+    load = per_group.agg(F.coalesce(F.sum(F.col("blocks") * F.greatest(F.col("m"), F.col("grams") / 32)), F.lit(0))).first()[0]
+    buckets = max(4 * partitions(members.sparkSession), int(load // DEALT))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = members.join(per_group.select(by, "blocks"), by).withColumn("own", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(by, F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "n", *carried)
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(by, "x", "y"), F.lit(buckets)))
+
+
+def in_order(table: pa.Table, by: str) -> tuple[pa.Table, np.ndarray, dict[str, np.ndarray]]:
+    """A bucket's rows by pair of blocks and size, each member once; the number of its pair of blocks; its number columns."""
+    c = {k: table.column(k).to_numpy() for k in (by, "x", "y", "node", "n")}
+    order = np.lexsort((c["node"], c["n"], c["y"], c["x"], c[by]))
+    c = {k: v[order] for k, v in c.items()}
+    new = np.ones(len(order), bool)
+    new[1:] = (c[by][1:] != c[by][:-1]) | (c["x"][1:] != c["x"][:-1]) | (c["y"][1:] != c["y"][:-1])
+    once = new.copy()
+    once[1:] |= c["node"][1:] != c["node"][:-1]
+    table = table.take(pa.array(order[once]))
+    return table, np.cumsum(new)[once], {k: table.column(k).to_numpy() for k in table.column_names if pa.types.is_integer(table.schema.field(k).type)}
+
+
+def apart(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether this pair of blocks is the one that holds the two rows against each other."""
+    return (c["x"][i] == c["y"][i]) | (c["own"][i] != c["own"][j])
+
+
+def _nearest_partners(members: DataFrame, t: float, limit: int) -> DataFrame:
+    """kind 0: pairs (a, b) of one key's members in different components that the sketches allow; kind 1: (key, node).
+
+    Of a member with up to ``limit`` such partners, all its pairs are given, of others that with the nearest partner;
+    kind 1 names the members that have more.
     """
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select(
-        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "n", "sketch", "rep"
-    ).withColumn("bucket", F.pmod(F.xxhash64("key", "x", "y"), F.lit(buckets)))
 
     def run(table: pa.Table) -> pa.Table:
-        key, x, y, own, node, root, n, rep = (table.column(c).to_numpy() for c in ("key", "x", "y", "own", "node", "root", "n", "rep"))
-        order = np.lexsort((n, y, x, key))
-        key, x, y, own, node, root, n, rep = (c[order] for c in (key, x, y, own, node, root, n, rep))
-        group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-        texts = table.column("sketch").to_pylist()
-        sketches = _Sketches([texts[k] for k in order])
-        best, partner, found = np.full(len(n), np.inf), np.zeros(len(n), np.int64), []
-        for i, j in _unlike_members(group, n, t):
-            new = (root[i] != root[j]) & ((x[i] == y[i]) | (own[i] != own[j]))
+        table, group, c = in_order(table, "key")
+        node, root, n = c["node"], c["root"], c["n"]
+        sketches = _Sketches(table.column("sketch").to_pylist())
+        best, partner, count, few = np.full(len(n), np.inf), np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), []
+        for i, j in _pairs_by_size(group, n, t):
+            new = (root[i] != root[j]) & apart(c, i, j)
             i, j = i[new], j[new]
             total = n[i] + n[j]
             far = sketches.within(i, j, ((1 - t) * total + 1e-9) / (1 + t))
             near = np.isfinite(far)
             i, j, share = i[near], j[near], (far / total)[near]
-            if nearest:
-                for p, q in ((i, j), (j, i)):
-                    first = np.lexsort((q, share, p))
-                    first = first[np.concatenate([[True], p[first][1:] != p[first][:-1]])] if len(p) else first
-                    first = first[share[first] < best[p[first]]]
-                    best[p[first]], partner[p[first]] = share[first], q[first]
-            else:
-                found.append(np.unique(np.stack([node[i], node[j], rep[i], rep[j]], axis=1), axis=0))
-        if nearest:
-            i = np.flatnonzero(np.isfinite(best))
-            found.append(np.stack([node[i], node[partner[i]], rep[i], rep[partner[i]]], axis=1))
-        ends = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
-        swap = ends[:, 0] > ends[:, 1]
-        ends[swap] = ends[swap][:, [1, 0, 3, 2]]
-        ends = np.unique(ends, axis=0)
-        return pa.table(dict(zip(("a", "b", "ra", "rb"), ends.T, strict=True)))
+            for p, q in ((i, j), (j, i)):
+                first = np.lexsort((q, share, p))
+                first = first[np.concatenate([[True], p[first][1:] != p[first][:-1]])] if len(p) else first
+                first = first[share[first] < best[p[first]]]
+                best[p[first]], partner[p[first]] = share[first], q[first]
+            count += np.bincount(i, minlength=len(n)) + np.bincount(j, minlength=len(n))
+            kept = (count[i] <= limit) | (count[j] <= limit)
+            few.append(np.stack([i[kept], j[kept]]))
+        i = np.flatnonzero(np.isfinite(best))
+        few = np.concatenate([*few, np.zeros((2, 0), np.int64)], axis=1)
+        few = few[:, (count[few] <= limit).any(axis=0)]
+        ends = np.concatenate([node[few], np.stack([node[i], node[partner[i]]])], axis=1)
+        ends = np.unique(np.sort(ends, axis=0), axis=1)
+        many = count > limit
+        return pa.table(
+            {
+                "kind": np.repeat(np.array([0, 1], np.int32), [ends.shape[1], many.sum()]),
+                "a": np.concatenate([ends[0], c["key"][many]]),
+                "b": np.concatenate([ends[1], node[many]]),
+            }
+        )
+
+    return dealt(members, "key", ["root", "sketch"]).groupBy("bucket").applyInArrow(run, "kind int, a long, b long")
+
+
+def _linked(table: pa.Table, group: np.ndarray, n: np.ndarray, t: float, percent: int, wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of rows of one group, in parts, by their sets; ``wanted`` says which pairs (i, j) are looked at."""
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    sketches = _Sketches(_folded(np.concatenate(sets), offsets))
+    for g in np.unique(group):
+        a, b = np.searchsorted(group, [g, g + 1])
+        bits = None
+        for i, j in _pairs_by_size(group[a:b], n[a:b], t):
+            i, j = i + a, j + a
+            keep = wanted(i, j)
+            i, j = i[keep], j[keep]
+            total = n[i] + n[j]
+            near = np.isfinite(sketches.within(i, j, ((1 - t) * total + 1e-9) / (1 + t)))
+            i, j = i[near], j[near]
+            if not len(i):
+                continue
+            bits = bits or _Sets(sets[a:b])
+            both = bits.common(i - a, j - a)
+            link = 100 * both >= percent * (n[i] + n[j] - both)
+            yield i[link], j[link]
+
 
-    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long, ra long, rb long")
+def _forests(members: DataFrame, t: float, percent: int) -> DataFrame:
+    """(a, b): links that join components, a spanning forest from each pair of blocks of a key; members have their sets."""
 
+    def run(table: pa.Table) -> pa.Table:
+        table, group, c = in_order(table, "key")
+        _, part = np.unique(c["root"], return_inverse=True)
+        above = list(range(part.max(initial=-1) + 1))
+
+        def top(x: int) -> int:
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            return x
+
+        label, found = part.copy(), []
+        for i, j in _linked(table, group, c["n"], t, percent, lambda i, j: (label[i] != label[j]) & apart(c, i, j)):
+            _, first = np.unique(np.stack([label[i], label[j]], axis=1), axis=0, return_index=True)
+            for k in first:
+                x, y = sorted((top(int(label[i[k]])), top(int(label[j[k]]))))
+                if x != y:
+                    above[y] = x
+                    found.append((c["node"][i[k]], c["node"][j[k]]))
+            label[:] = np.array([top(x) for x in range(len(above))])[part]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return dealt(members, "key", ["root", "hashes"]).groupBy("bucket").applyInArrow(run, "a long, b long")
 
-def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) of the documents whose ``id`` is among ``ids``, written to the shared folder.
+
+def _link_counts(members: DataFrame, t: float, percent: int) -> DataFrame:
+    """(node, n_links) of the members (root, node, n, hashes) of components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table, group, c = in_order(table, "root")
+        links = np.zeros(len(group), np.int64)
+        for i, j in _linked(table, group, c["n"], t, percent, lambda i, j: apart(c, i, j)):
+            links += np.bincount(i, minlength=len(links)) + np.bincount(j, minlength=len(links))
+        some = links > 0
+        return pa.table({"node": c["node"][some], "links": links[some]})
+
+    parts = dealt(members, "root", ["hashes"]).groupBy("bucket").applyInArrow(run, "node long, links long")
+    return parts.groupBy("node").agg(F.sum("links").alias("n_links"))
+
+
+def _sets_of(wanted: DataFrame, docs: DataFrame, width: int, salt: int, id_col: str, text_col: str) -> DataFrame:
+    """(cls, hashes): the sets of the classes (cls, rep), from the texts of their representatives, in the shared folder.
 
     Spark's runtime filter, of RUNTIME_BITS whatever the input, drops most other texts before they are shuffled.
     """
     spark = docs.sparkSession
     prefix = "spark.sql.optimizer.runtime.bloomFilter."
-    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g", "expectedNumItems": "4000000", "numBits": str(RUNTIME_BITS)}
-    before = {k: spark.conf.get(prefix + k) for k in wanted}
-    needed = stored(ids, "needed").where(F.col("id") >= LEAST_ID)  # Spark filters by a side that has a condition
+    settings = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g", "expectedNumItems": "4000000", "numBits": str(RUNTIME_BITS)}
+    before = {k: spark.conf.get(prefix + k) for k in settings}
+    needed = stored(wanted.select(F.col("rep").alias("id")).distinct(), "needed").where(F.col("id") >= LEAST_ID)  # Spark filters by a side that has a condition
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
+
+    def run(batches):
+        for batch in batches:
+            for _, hashes, offsets in shingle_sets(batch.column("text"), width):
+                sets = [hashes[offsets[r] : offsets[r + 1]].tobytes() for r in range(len(offsets) - 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(_class_ids(hashes, offsets, salt)), pa.array(sets, pa.binary())], ["cls", "hashes"])
+
     try:
-        for k, v in wanted.items():
+        for k, v in settings.items():
             spark.conf.set(prefix + k, v)
-        return stored(rows.dropDuplicates(["id"]), "texts")
+        return stored(rows.mapInArrow(run, "cls long, hashes binary"), "sets")
     finally:
         for k, v in before.items():
             spark.conf.set(prefix + k, v)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, t_percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs (a, b) of classes whose sets have 100 * intersection >= t_percent * union, by the sets themselves."""
-
-    def sets(array):
-        return [hashes[offsets[r] : offsets[r + 1]] for _, hashes, offsets in shingle_sets(array, width) for r in range(len(offsets) - 1)]
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes whose sets have 100 * intersection >= percent * union."""
 
     def run(batches):
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part, keep = batch.slice(first, 256), []
-                for p, q in zip(sets(part.column("ta")), sets(part.column("tb")), strict=True):
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    keep.append(100 * both >= t_percent * (len(p) + len(q) - both))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    held = _texts(docs, pairs.select(F.explode(F.array("ra", "rb")).alias("id")).distinct(), id_col, text_col)
-    return (
-        pairs.join(held.select(F.col("id").alias("ra"), F.col("text").alias("ta")), "ra")
-        .join(held.select(F.col("id").alias("rb"), F.col("text").alias("tb")), "rb")
-        .select("a", "b", "ta", "tb")
-        .mapInArrow(run, "a long, b long")
-    )
+            keep = []
+            for x, y in zip(batch.column("ha"), batch.column("hb"), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = np.count_nonzero(q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p)
+                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    joined = pairs.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a")
+    joined = joined.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b")
+    return joined.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -479,49 +616,84 @@ def near_duplicates(
     width: int = 5,
     percent: int = 75,
     group_limit: int = 8,
+    count_links: bool = False,
 ) -> DataFrame:
-    """(id, n_shingles, class_id, component_id) per document; links are 100 * intersection >= percent * union.
+    """(id, n_shingles, class_id, component_id[, n_links]) per document; links are 100 * intersection >= percent * union.
 
     class_id is the smallest id with the same set, component_id the smallest id reachable by links; both are the id
-    itself for documents without words. ``group_limit`` only sets from which size a group of classes is linked as a
-    star first; it changes no result.
+    itself for documents without words. With ``count_links``, n_links is the number of other classes that the row's
+    class is linked with. ``group_limit`` only sets from which size a group of classes is linked as a star first; it
+    changes no result.
     """
     spark = docs.sparkSession
     t = percent / 100
-    facts = stored(describe(docs, width, id_col, text_col), "sketches")
-    described = facts.where("kind = 0 and id is not null")
+    for salt in range(8):
+        facts = stored(describe(docs, width, salt, id_col, text_col), "sketches")
+        described = facts.where("kind = 0 and id is not null")
+        by_class = described.where("n > 0").groupBy("cls")
+        torn = (F.min("sums") != F.max("sums")).alias("torn")
+        classes = stored(by_class.agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("id").alias("rep"), torn), "classes")
+        if classes.where("torn").isEmpty():
+            break
     n_docs = described.count()
     # n-grams of one document in a thousand and more: at most a thousand times a document's mean size, whatever the input
     frequent = facts.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") * 1000 >= n_docs)
     hot = np.array([r.id for r in frequent.orderBy(F.desc("n"), "id").limit(200_000).collect()], np.int64).view(np.uint64)
-    classes = described.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("id").alias("rep"))
 
-    blocks = _key_blocks(docs, width, t, id_col, text_col, hot, 4 * partitions(spark))
+    held = None
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        nonlocal held
+        held = with_sets(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+        return _verified(pairs, held, percent)
+
+    def with_sets(wanted: DataFrame) -> DataFrame:
+        wanted = wanted if held is None else wanted.join(held.select("cls"), "cls", "left_anti")
+        more = _sets_of(wanted.join(classes.select("cls", "rep"), "cls"), docs, width, salt, id_col, text_col)
+        return more if held is None else held.union(more)
+
+    blocks = _key_blocks(docs, width, t, salt, id_col, text_col, hot, 4 * partitions(spark), group_limit)
     found = stored(candidates(blocks, t, group_limit), "candidates")
-    first = _within_bound(found.where("kind = 0").select("a", "b").distinct(), classes, t)
-    links = stored(_verified(stored(first, "pairs"), docs, width, percent, id_col, text_col), "links")
+    members = stored(found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct(), "members")
+    # of keys with the same members, long documents' keys mostly, one is enough: they are told apart by 128 bits
+    told = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    per_key = members.groupBy("key").agg(F.count("*").alias("m"), *told, F.min("node").alias("a"))
+    one_of_them = per_key.groupBy("m", "x", "y").agg(F.min(F.struct("key", "a")).alias("k")).select("k.key", "k.a")
+    members = members.join(one_of_them, "key").join(classes.select(F.col("cls").alias("node"), "n"), "node")
+    members = stored(members, "members")
+    star = members.where("a <> node").select("a", F.col("node").alias("b"))
+    first = found.where("kind = 0").select("a", "b").union(star).distinct()
+    links = stored(verified(stored(_within_bound(first, classes, t), "pairs")), "links")
     roots = components(links)
 
-    members = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
-    for nearest in (True, False):  # nearest partners join most components, so that few pairs are left for the second round
-        labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        per_key = labelled.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"))
-        split = labelled.join(per_key.where("low < high").select("key", "m"), "key").join(classes.withColumnRenamed("cls", "node"), "node")
-        late = stored(_rest_of_groups(split, t, 4 * partitions(spark), nearest).distinct(), "pairs")
+    def split_members() -> DataFrame:
+        """Members of keys that have members in several components."""
+        labelled = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        split = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return stored(labelled.join(split.select("key"), "key"), "apart")
+
+    near = _nearest_partners(split_members().join(classes.select(F.col("cls").alias("node"), "sketch"), "node"), t, group_limit)
+    near = stored(near.distinct(), "pairs")
+    if not near.isEmpty():
+        links = stored(links.union(verified(near.where("kind = 0").select("a", "b"))), "links")
+        roots = components(links)
+        # the pairs of all other members have been looked at, and components only grow
+        members = members.join(near.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")), ["key", "node"], "left_semi")
+        late = stored(_forests(split_members().join(held.withColumnRenamed("cls", "node"), "node"), t, percent), "links")
         if not late.isEmpty():
-            links = stored(links.union(_verified(late, docs, width, percent, id_col, text_col)), "links")
+            links = links.union(late)
             roots = components(links)
 
-    by_class = described.groupBy("cls").agg(F.min("id").alias("class_id"))
-    classed = stored(by_class.join(roots, by_class.cls == roots.node, "left").select("cls", "class_id", F.coalesce("root", "cls").alias("root")), "classes")
-    least = classed.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = classed.join(least, "root").select("cls", "class_id", "component_id")
-    bare = F.col("n") == 0
-    return described.join(named, "cls").select(
-        "id",
-        F.col("n").alias("n_shingles"),
-        F.when(bare, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(bare, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    named = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", F.col("rep").alias("class_id"), F.coalesce("root", "cls").alias("root"))
+    named = stored(named, "named")
+    named = named.join(named.groupBy("root").agg(F.min("class_id").alias("component_id")), "root").select("cls", "class_id", "component_id")
+    extra = []
+    if count_links:
+        rooted = roots.join(classes.select(F.col("cls").alias("node"), "n"), "node").join(held.withColumnRenamed("cls", "node"), "node")
+        named = named.join(_link_counts(rooted, t, percent), F.col("cls") == F.col("node"), "left").drop("node")
+        extra = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")]
+    return described.join(named, "cls", "left").select(
+        "id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"), *extra
     )
 
 

@@ -13,8 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annolake.llm.ngram_jaccard import near_duplicates
 
-    out = near_duplicates(table(spark, sf_dir, "documents"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
+    out = near_duplicates(table(spark, sf_dir, "documents"), count_links=True)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,12 +50,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from annolake.llm.common import stored
     from annolake.llm.media import edited_copies, rendered
 
-    media = stored(rendered(table(spark, sf_dir, "embeddings")), "media")
-    out = edited_copies(media)
-    return out.select(F.col("id").alias("media_id"), "n_corners", "class_id", "component_id", "n_links")
+    out = edited_copies(rendered(table(spark, sf_dir, "embeddings")))
+    return out.select(F.col("id").alias("media_id"), "n_corners", "class_id", "component_id")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,9 +134,12 @@ reach as (
   select doc_id, doc_id r from documents
   union select reach.doc_id, both_ways.b from reach join both_ways on reach.r = both_ways.a),
 class_of as (
-  select doc_id, min(doc_id) over (partition by s) class_id from (select doc_id, list(g order by g) s from grams group by doc_id))
-select d.doc_id, coalesce(s.n, 0)::bigint n_shingles, c.component_id, coalesce(k.class_id, d.doc_id) class_id
-from documents d left join sizes s using (doc_id) left join class_of k using (doc_id)
+  select doc_id, min(doc_id) over (partition by s) class_id from (select doc_id, list(g order by g) s from grams group by doc_id)),
+degree as (
+  select l.a doc_id, count(distinct y.class_id) n from both_ways l join class_of x on x.doc_id = l.a join class_of y on y.doc_id = l.b
+  where x.class_id <> y.class_id group by l.a)
+select d.doc_id, coalesce(s.n, 0)::bigint n_shingles, c.component_id, coalesce(k.class_id, d.doc_id) class_id, coalesce(l.n, 0)::bigint n_links
+from documents d left join sizes s using (doc_id) left join class_of k using (doc_id) left join degree l using (doc_id)
 join (select doc_id, min(r) component_id from reach group by doc_id) c using (doc_id)
 """,
     "op7_exact_dedup": """

@@ -48,12 +48,50 @@ def components(rows):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("limit", [8, 2])
+def word_sets(rows):
+    out = {}
+    for i, text, *_ in rows:
+        w = (text or "").lower().split()
+        out[i] = frozenset({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    return out
+
+
+@pytest.mark.parametrize("limit", [8, 1])
 def test_near_duplicates(spark, limit):
-    rows = corpus()
-    found = ngram_jaccard.near_duplicates(spark.createDataFrame(rows, DOCS), group_limit=limit).collect()
+    rows = corpus(7, 200)
+    sets = word_sets(rows)
+    linked = {s: sum(1 for q in set(sets.values()) if q and s and q != s and 100 * len(q & s) >= 75 * len(q | s)) for s in set(sets.values())}
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], DOCS + ", cls int, key int")
+    found = ngram_jaccard.near_duplicates(df, group_limit=limit, count_links=True).collect()
     assert {r.id: (r.n_shingles, r.component_id) for r in found} == components(rows)
+    assert {r.id: r.n_links for r in found} == {i: linked[s] for i, s in sets.items()}
+
+
+def test_near_duplicates_of_odd_tables(spark):
     assert ngram_jaccard.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+    rng = random.Random(3)
+    long = [f"w{rng.randrange(3000)}" for _ in range(30_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long, "end"])), (2, " ".join([*long, "end"])), (None, " ".join(long)), (3, None)]
+    found = ngram_jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.id, r.component_id) for r in found) == [(1, 1), (2, 1), (2, 1), (3, 3)]
+
+
+def test_a_large_group_of_near_copies_is_not_squared(spark):
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = []
+    for i in range(3000):
+        own = list(base)
+        for k in rng.sample(range(120), rng.choice([1, 3, 5])):
+            own[k] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {r.id: (r.component_id, r.n_links) for r in ngram_jaccard.near_duplicates(df, count_links=True).collect()}
+    sets = word_sets(rows)
+    some = rng.sample(range(3000), 20)
+    for i in some:
+        others = {j for j in range(3000) if sets[j] != sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+        assert found[i][1] == len({sets[j] for j in others}) and all(found[j][0] == found[i][0] for j in others)
 
 
 def test_exact_duplicates(spark):
@@ -100,14 +138,27 @@ def test_small_crops_of_large_pictures():
     assert all(media.agreeing(*a, *both[k - 1][1]) < 4 for k, (a, _) in enumerate(both))
 
 
-def test_links_of_many_edits_of_one_picture(spark):
-    x = media.picture(np.random.default_rng(6).normal(size=64).astype(np.float32)).astype(int)
-    rows = [(i, media.to_pgm(np.clip(x + 2 * i, 0, 255))) for i in range(12)]
-    brute = {i: media.describe(media.from_pgm(raw)) for i, raw in rows}
-    degree = {a: sum(a != b and media.agreeing(*brute[min(a, b)], *brute[max(a, b)]) >= 4 for b in brute) for a in brute}
-    assert set(degree.values()) == {11}
-    df = spark.createDataFrame(rows, "media_id long, media binary")
-    assert {r.id: r.n_links for r in media.edited_copies(df).collect()} == degree
+@pytest.mark.parametrize("limit", [8, 1])
+def test_many_edits_of_one_picture_are_one_component(spark, limit):
+    rng = np.random.default_rng(6)
+    rows = []
+    for base in (0, 100):
+        x = media.picture(rng.normal(size=64).astype(np.float32)).astype(int)
+        rows += [(base + i, media.to_pgm(np.clip(x + 2 * i, 0, 255))) for i in range(12)]
+    df = spark.createDataFrame(rows + [rows[3], (None, rows[0][1])], "media_id long, media binary")
+    found = media.edited_copies(df, group_limit=limit).collect()
+    assert sorted((r.id, r.component_id) for r in found) == [(i, i // 100 * 100) for i, _ in rows]
+
+
+def test_recall_of_planted_edits_on_the_tables(spark):
+    found = media.edited_copies(media.rendered(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"))).collect()
+    root = {r.id: r.component_id for r in found}
+    copies = [i for i in root if i % 2]
+    assert len(copies) >= 60
+    for kind in range(4):
+        own = [root[i] == root[i - 1] for i in copies if i // 16 % 4 == kind]
+        assert sum(own) >= 0.9 * len(own)
+    assert sum(root[i] not in (i, i - 1) and root[i] != i + 0 for i in root) <= 0.02 * len(root)
 
 
 def test_tables_of_descriptors_are_read_as_written(spark):
@@ -115,7 +166,7 @@ def test_tables_of_descriptors_are_read_as_written(spark):
     words = rng.integers(0, 1 << 63, (20, 4), dtype=np.uint64)
     words[7, 2] = words[3, 2]
     rows = [(i, 1, w.tobytes()) for i, w in enumerate(words)]
-    blocks = media._tables(spark.createDataFrame(rows, "cls long, n int, bits binary"), 3)
+    blocks = media._tables(spark.createDataFrame(rows, "cls long, n int, bits binary"), 3, 8)
     assert [tuple(r) for r in ngram_jaccard.candidates(blocks, 0.75, 8).where("kind = 0").select("a", "b").collect()] == [(3, 7)]
 
 
