@@ -148,37 +148,44 @@ def _sample(docs, labels, id_col, text_col, label_col, held_out, max_labelled):
     return stored(drawn.select("text", "label", "weight"), "labelled")
 
 
-def _screened(sample: DataFrame, least: int, lift: float, most: int) -> np.ndarray:
-    """Features of at least ``least`` toxic documents whose share of toxic ones is ``lift`` times the sample's."""
+def _screened(sample: DataFrame, least: int, lift: float) -> np.ndarray:
+    """Features of at least ``least`` toxic documents whose odds of a toxic document are ``lift`` times those of all.
+
+    Odds are of weighted documents, so they are those of all labelled rows, and smoothed by one document of either
+    class; as odds have no upper end, ``lift`` can be met whatever the share of toxic documents.
+    """
 
     def run(batches):
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
-            label = batch.column("label").to_numpy()
+            label, weight = batch.column("label").to_numpy(), batch.column("weight").to_numpy()
             for a, b in slices(offsets, CHUNK):
                 doc, _, _, owner, hashes = sentences(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 values, index = np.unique(hashes, return_inverse=True)
                 held = np.unique(index * (b - a) + doc[owner])
-                place, toxic = held // (b - a), label[a + held % (b - a)]
+                place, of = held // (b - a), a + held % (b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(values.view(np.int64)),
-                        pa.array(np.bincount(place, toxic, minlength=len(values)).astype(np.int64)),
-                        pa.array(np.bincount(place, minlength=len(values)).astype(np.int64)),
+                        pa.array(np.bincount(place, label[of], minlength=len(values)).astype(np.int64)),
+                        pa.array(np.bincount(place, label[of] * weight[of], minlength=len(values))),
+                        pa.array(np.bincount(place, (1 - label[of]) * weight[of], minlength=len(values))),
                     ],
-                    ["feature", "toxic", "docs"],
+                    ["feature", "toxic", "ones", "zeros"],
                 )
 
-    share = sample.agg(F.avg("label")).first()[0] or 0.0
-    counted = sample.mapInArrow(run, "feature long, toxic long, docs long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
-    chosen = counted.where((F.col("toxic") >= least) & (F.col("toxic") >= F.lit(lift * share) * F.col("docs")))
-    rows = chosen.orderBy(F.desc("toxic"), "feature").limit(most).select("feature").collect()
-    return np.sort(np.array([r.feature for r in rows], np.int64).view(np.uint64))
+    every = sample.agg(F.sum(F.col("label") * F.col("weight")), F.sum((1 - F.col("label")) * F.col("weight"))).first()
+    odds = ((every[0] or 0.0) + 1) / ((every[1] or 0.0) + 1)
+    counted = sample.mapInArrow(run, "feature long, toxic long, ones double, zeros double").groupBy("feature")
+    counted = counted.agg(F.sum("toxic").alias("toxic"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    chosen = counted.where((F.col("toxic") >= least) & (F.col("ones") + 1 >= F.lit(lift * odds) * (F.col("zeros") + 1)))
+    return np.sort(np.array([r.feature for r in chosen.select("feature").collect()], np.int64).view(np.uint64))
 
 
-def train(docs, labels, *, id_col, text_col, label_col, held_out, max_labelled, most_features: int = 20_000) -> NoisyOr:
+def train(docs, labels, *, id_col, text_col, label_col, held_out, max_labelled) -> NoisyOr:
+    """The model of a bounded sample; its features are no more than the sample has words and beginnings of words."""
     sample = _sample(docs, labels, id_col, text_col, label_col, held_out, max_labelled)
-    features = _screened(sample, least=3, lift=3.0, most=most_features)
+    features = _screened(sample, least=3, lift=4.0)
 
     def run(batches):
         for batch in batches:
