@@ -6,7 +6,10 @@ segmentation of a text is that of its words. The distinct words of a block of te
 out depth first: each word takes over the forward scores and the open pieces of the prefix that it shares with the
 word before it and goes on from there. Among segmentations of equal score the one with the longer last piece wins.
 
-Pieces and scores come from a SentencePiece model file. A character that no piece holds is given by its bytes at the
+Pieces and scores come from a SentencePiece model file. A unigram model's scores are log probabilities and are used as
+they are. A byte-pair model's are merge ranks, which cannot be added up: its piece of rank r gets the logarithm of
+1 / (r + ZIPF), the law that frequencies by rank follow, so that a few frequent pieces beat many short ones. Ids are
+then those of the best segmentation under these scores, not those that the model's merges give. A character that no piece holds is given by its bytes at the
 score of the unknown piece, ten below the least; a literal word mark (U+2581) too, so that decoding gives every text
 back exactly. Null text gives null, an empty text no pieces. Repeated rows encode alike, extra columns go through
 untouched and an empty table gives an empty result.
@@ -14,6 +17,7 @@ untouched and an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +29,7 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+ZIPF = 100.0
 BLOCK = 1 << 23  # characters of text whose words are sorted together
 _WORDS = re.compile(r" *[^ \n]+| +|\n+")
 
@@ -49,6 +54,8 @@ class Vocabulary:
                 at_byte[int(piece[3:5], 16)] = i
             elif not (model.is_unknown(i) or model.is_control(i) or model.is_unused(i)):
                 pieces.append((piece.replace(MARK, " "), model.get_score(i), i))
+        if all(s <= 0 and s == int(s) for _, s, _ in pieces):  # merge ranks
+            pieces = [(p, -math.log(ZIPF - s), i) for p, s, i in pieces]
         return Vocabulary(tuple(pieces), tuple(at_byte[b] for b in range(256)), min(s for _, s, _ in pieces) - 10.0)
 
     def trie(self) -> dict:
