@@ -6,13 +6,14 @@ reaches the families beside it, one level up: shortages stay among siblings befo
 a closed form over the siblings sorted by capacity for each unit of weight, so no level is iterated.
 
 A leaf's budget is cut from its seeded epochs: in each epoch its documents come in the order of
-md5(seed:epoch:id); whole epochs are taken whole, and of the last one the longest prefix of documents that fits.
+md5(seed:epoch:id:md5 of the text); whole epochs are taken whole, and of the last one the longest prefix of documents that fits.
 Sums over buckets of that order find the bucket in which the prefix ends, so only that bucket's rows are put in order,
 however large the leaf is.
 
 Null text has no tokens; documents without tokens are never drawn. Null language or source forms a leaf of its own.
-Repeated rows are separate documents of one leaf and come in and go out together with their order's ties. An empty
-table gives an empty result. Extra columns are carried through ``mixed`` untouched.
+A document is its id (null too) and its text: rows that share both are separate documents that stand next to each other
+in the order. Texts of any length are counted whole. An empty table gives an empty result. ``mixed`` returns columns of
+its own; extra columns come back from ``drawn_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,19 +29,27 @@ ROWS_PER_BUCKET = 4096
 
 
 def token_count(text: Column) -> Column:
-    """Words between white space."""
-    words = F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+")
-    return (F.size(words) - F.when(words[0] == "", 1).otherwise(0) - F.when((F.size(words) > 1) & (F.element_at(words, -1) == ""), 1).otherwise(0)).cast("long")
+    """Words between white space, counted by their beginnings."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D]++")).cast("long")
+
+
+def _number(name: Column) -> Column:
+    """The first 32 bits of a name's md5 (null: of an empty name)."""
+    return F.conv(F.substring(F.md5(F.coalesce(name, F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def domain_of(source: Column) -> Column:
     """Domain of a source: the sources are dealt over a few domains by their checksum."""
-    return F.concat(F.lit("domain"), F.coalesce(F.pmod(F.crc32(source.cast("binary")), F.lit(DOMAINS)), F.lit(0)).cast("string"))
+    return F.concat(F.lit("domain"), (_number(source) % DOMAINS).cast("string"))
+
+
+def digest_of(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 def level_weight(name: Column) -> Column:
     """Default target weight of a child, 1 to 4, by its name; callers may put any positive expression in its place."""
-    return (F.pmod(F.crc32(F.coalesce(name, F.lit("")).cast("binary")), F.lit(4)) + 1).cast("double")
+    return (_number(name) % 4 + 1).cast("double")
 
 
 def _spread(nodes: DataFrame, parent: list[str], child: str) -> DataFrame:
@@ -89,12 +98,13 @@ def mixed(
     lang_col: str = "lang",
     source_col: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
-    """(draws, budgets): draws has (id, domain, lang, source, n_tokens, copies), copies the epochs a document is drawn in.
+    """(draws, budgets): draws has (id, digest, domain, lang, source, n_tokens, copies), copies the epochs a row is drawn in.
 
     The budget is ``share`` of all tokens of ``docs``.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
+        digest_of(F.col(text_col)).alias("digest"),
         domain_of(F.col(source_col)).alias("domain"),
         F.col(lang_col).alias("lang"),
         F.col(source_col).alias("source"),
@@ -113,7 +123,7 @@ def mixed(
         F.greatest(F.ceil(F.col("docs") / ROWS_PER_BUCKET), F.lit(1)).alias("buckets"),
     )
     on = (F.col("domain") == F.col("b_domain")) & F.col("lang").eqNullSafe(F.col("b_lang")) & F.col("source").eqNullSafe(F.col("b_source"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("")), "digest").cast("binary"))
     drawn = rows.join(plan, on).withColumn("key", key)
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     drawn = drawn.withColumn("bucket", F.floor(place * F.col("buckets") / F.lit(1 << 32))).drop("b_domain", "b_lang", "b_source", "buckets")
@@ -134,18 +144,22 @@ def mixed(
     marked = drawn.join(marks, same, "left")
     # only rows of the bucket in which a prefix ends are put in order
     edge = marked.where("state = 0")
-    order = W.partitionBy(*leaf, "bucket").orderBy("key", F.col("id").asc_nulls_first()).rangeBetween(W.unboundedPreceding, W.currentRow)
+    order = W.partitionBy(*leaf, "bucket").orderBy("key", F.col("id").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = edge.withColumn("inside", (F.col("start") + F.sum("n_tokens").over(order)) <= F.col("rest"))
     plain = marked.where("state is null or state = 1").withColumn("inside", F.coalesce(F.col("state"), F.lit(0)) == 1)
     both = plain.unionByName(edge)
     copies = (F.col("full") + F.col("inside").cast("int")).cast("int")
-    return both.select("id", *leaf, "n_tokens", copies.alias("copies")).where("copies > 0"), budgets
+    return both.select("id", "digest", *leaf, "n_tokens", copies.alias("copies")).where("copies > 0"), budgets
 
 
-def drawn_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+def drawn_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` as often as the mix draws each of them, with its own columns."""
-    draws, _ = mixed(docs, id_col=id_col, **options)
-    times = draws.groupBy("id").agg(F.max("copies").alias("_copies")).withColumnRenamed("id", "_id")
-    joined = docs.join(times, F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
-    epochs = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return joined.select(*[docs[c] for c in docs.columns], epochs.alias("_epoch")).drop("_epoch")
+    draws, _ = mixed(docs, id_col=id_col, text_col=text_col, **options)
+    # rows of one id and text are alike but for other columns: the k-th of them takes the k-th draw
+    of_draws = W.partitionBy("id", "digest").orderBy(F.desc("copies"))
+    drawn = draws.select(F.struct("id", "digest", F.row_number().over(of_draws).alias("nr")).alias("_row"), F.col("copies").alias("_copies"))
+    named = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).cast("long").alias("_id"), digest_of(F.col(text_col)).alias("_digest"))
+    nr = F.row_number().over(W.partitionBy("_id", "_digest").orderBy(F.xxhash64(*[f"_doc.`{c}`" for c in docs.columns])))
+    named = named.select("_doc", F.struct(F.col("_id").alias("id"), F.col("_digest").alias("digest"), nr.alias("nr")).alias("_row"))
+    joined = named.join(drawn, "_row").select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return joined.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -117,6 +117,47 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": r"""
+with named as (
+  select doc_id, lang, source, md5(coalesce(text, '')) digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) n_tokens,
+    'domain' || (('0x' || substr(md5(coalesce(source, '')), 1, 8))::bigint % 4) domain from documents),
+rows as (select * from named where n_tokens > 0),
+leaves as (
+  select domain, lang, source, sum(n_tokens) tokens, 3.0::double * sum(n_tokens) cap,
+    (('0x' || substr(md5(coalesce(source, '')), 1, 8))::bigint % 4 + 1)::double weight from rows group by all),
+langs as (
+  select domain, lang, sum(cap) cap, (('0x' || substr(md5(coalesce(lang, '')), 1, 8))::bigint % 4 + 1)::double weight from leaves group by domain, lang),
+domains as (select domain, sum(cap) cap, (('0x' || substr(md5(domain), 1, 8))::bigint % 4 + 1)::double weight from langs group by domain),
+top as (
+  select *, (amount - coalesce(sum(cap) over w, 0)) / (sum(weight) over () - coalesce(sum(weight) over w, 0)) level
+  from (select *, (select 0.5::double * sum(n_tokens) from rows) amount from domains)
+  window w as (order by cap / weight, domain rows between unbounded preceding and 1 preceding)),
+top_budget as (
+  select t.domain, least(t.cap, coalesce((select min_by(u.level, (u.cap / u.weight, u.domain)) from top u where u.cap / u.weight > u.level) * t.weight, t.cap)) amount
+  from top t),
+mid as (
+  select l.*, amount, (amount - coalesce(sum(cap) over w, 0)) / (sum(weight) over (partition by domain) - coalesce(sum(weight) over w, 0)) level
+  from langs l join top_budget using (domain)
+  window w as (partition by domain order by cap / weight, lang nulls first rows between unbounded preceding and 1 preceding)),
+mid_level as (select domain, min_by(level, (cap / weight, lang)) level from mid where cap / weight > level group by domain),
+mid_budget as (select m.domain, m.lang, least(m.cap, coalesce(k.level * m.weight, m.cap)) amount from mid m left join mid_level k using (domain)),
+low as (
+  select l.*, amount, (amount - coalesce(sum(cap) over w, 0)) / (sum(weight) over (partition by l.domain, l.lang) - coalesce(sum(weight) over w, 0)) level
+  from leaves l join mid_budget b on b.domain = l.domain and b.lang is not distinct from l.lang
+  window w as (partition by l.domain, l.lang order by cap / weight, source nulls first rows between unbounded preceding and 1 preceding)),
+low_level as (select domain, lang, min_by(level, (cap / weight, source)) level from low where cap / weight > level group by domain, lang),
+budgets as (
+  select l.domain, l.lang, l.source, l.tokens, floor(least(l.cap, coalesce(k.level * l.weight, l.cap)))::bigint budget
+  from low l left join low_level k on k.domain = l.domain and k.lang is not distinct from l.lang),
+placed as (
+  select r.*, (b.budget // b.tokens)::bigint whole, (b.budget % b.tokens)::bigint rest,
+    md5('7:' || (b.budget // b.tokens)::bigint || ':' || coalesce(r.doc_id::varchar, '') || ':' || digest) place
+  from rows r join budgets b on b.domain = r.domain and b.lang is not distinct from r.lang and b.source is not distinct from r.source),
+drawn as (
+  select *, whole + (sum(n_tokens) over (partition by domain, lang, source order by place, doc_id rows between unbounded preceding and current row) <= rest)::int copies
+  from placed)
+select doc_id, domain, lang, source, n_tokens::bigint n_tokens, copies::int copies from drawn where copies > 0
+""",
     "op1_ngram_jaccard": r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
