@@ -30,6 +30,9 @@ STATE_CONF = {
 }
 
 
+HOT, SALTS = 10_000, 64
+
+
 def sha256_of(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -106,16 +109,28 @@ def exact_duplicates(
     arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max_files).parquet(path)
     state = stored(stream_state(arrivals), "state")
 
-    hits = state.where("group_size > 1").select("digest")
+    # digests of more than a ten-thousandth of all rows, fewer than HOT of them: their rows are dealt over SALTS parts
+    n_rows = state.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    hot = F.broadcast(state.where(F.col("group_size") > max(SALTS, n_rows / HOT)).select("digest", F.lit(True).alias("hot")))
+
+    def salted(df: DataFrame, salt: Column) -> DataFrame:
+        return df.join(hot, "digest", "left").withColumn("salt", F.when(F.col("hot"), salt).otherwise(0)).drop("hot")
+
+    def on_all_salts(df: DataFrame) -> DataFrame:
+        salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        return df.join(hot, "digest", "left").withColumn("salt", F.explode(salts)).drop("hot")
+
+    hits = on_all_salts(state.where("group_size > 1").select("digest"))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     content = docs.select(F.col(id_col).cast("long").alias("id"), digest(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"), text.alias("bytes"))
-    bytes_of_hits = content.join(hits, "digest")
-    differing = bytes_of_hits.groupBy("digest").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high")).where("low <> high")
+    bytes_of_hits = salted(content, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(hits, ["digest", "salt"])
+    parts = bytes_of_hits.groupBy("digest", "salt").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
+    differing = parts.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
     shared = stored(differing.select("digest"), "shared-digests")
 
-    out = rows.join(state, "digest").select(
-        "id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest", state["locator"]
-    )
+    known = on_all_salts(state.withColumnRenamed("locator", "keep_locator"))
+    out = salted(rows, F.pmod("row", F.lit(SALTS)).cast("int")).join(known, ["digest", "salt"])
+    out = out.select("id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest", F.col("keep_locator").alias("locator"))
     if shared.isEmpty():
         return out
     # one digest, several texts: these rows are grouped by their bytes
