@@ -78,7 +78,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -94,14 +93,14 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
+def prefix_hashes(data: np.ndarray, base: int = BASE) -> np.ndarray:
     """Running polynomial hash; ``span_hash`` turns two of its entries into the hash of the bytes between."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=out[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data)), out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for each pair; equal bytes get equal hashes wherever they stand."""
-    inverse = powers(BASE_INVERSE, len(prefix))
+def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BASE) -> np.ndarray:
+    """Hash of data[start:end] for each pair; equal bytes get equal hashes wherever they stand. ``base``: that of ``prefix``."""
+    inverse = powers(pow(base, -1, 1 << 64), len(prefix))
     return mixed((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))

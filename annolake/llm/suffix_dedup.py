@@ -21,11 +21,17 @@ border is at most 2 * ``length`` bytes whatever the documents' sizes.
 
 Null text counts as empty; texts shorter than ``length`` bytes lose nothing. An id stands for one document: repeated
 rows count as one and are reported each; rows with a null id are neither searched nor returned. An empty table gives
-an empty result; extra columns are ignored. Hashes of steps 1 and 2 have 64 bits; step 3 compares the bytes.
+an empty result; extra columns are ignored. Step 2 takes strings for equal when two 64-bit hashes agree, whose bases
+are drawn anew in each call, so that no text can be made to collide; where only the first agrees, step 3 decides. Step 3
+compares the bytes, or for buckets beyond ``HOT`` both hashes. A q-gram that many documents hold (``MANY`` pointers in
+one batch) leaves a few pointers in its bucket; the others are refined in buckets chosen by their reach, as borders at
+least.
 """
 
 from __future__ import annotations
 
+import secrets
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,21 +42,23 @@ from annolake.llm.common import mixed, partitions, prefix_hashes, slices, span_h
 CHUNK = 1 << 20
 GRAM = 32
 HOT = 2000  # borders
+MANY = 64  # pointers of one gram and batch
 PLACE_BITS = 26  # positions are told apart within 64 MB, far beyond the strings' length
 
 
-def pointers(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(row, first start, last start, pointer, gram hash, reach hash): runs of string starts with one pointer.
+def pointers(data: np.ndarray, offsets: np.ndarray, length: int, bases: tuple[int, int]):
+    """(row, first start, last start, pointer, gram hash, two reach hashes): runs of string starts with one pointer.
 
     Starts and pointers are offsets within their row's text.
     """
     none = np.zeros(0, np.int64)
     n = len(data)
+    nothing = (none,) * 4 + (none.astype(np.uint64),) * 3
     if n < length:
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    prefix = prefix_hashes(data)
+        return nothing
+    prefix, second = (prefix_hashes(data, base) for base in bases)
     at = np.arange(n - GRAM + 1)
-    gram = span_hash(prefix, at, at + GRAM)
+    gram = span_hash(prefix, at, at + GRAM, bases[0])
     mask = np.uint64((1 << PLACE_BITS) - 1)
     least = (gram & ~mask) | (at.astype(np.uint64) & mask)
     window, size = length - GRAM + 1, 1
@@ -64,20 +72,26 @@ def pointers(data: np.ndarray, offsets: np.ndarray, length: int):
     inside = start + length <= offsets[row + 1]
     start, row = start[inside], row[inside]
     if not len(start):
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return nothing
     pointer = start + (((least[inside] & mask).astype(np.int64) - start) & int(mask))
     new = np.ones(len(start), bool)
     new[1:] = (pointer[1:] != pointer[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
     a, b, p, r = start[first], start[last], pointer[first], row[first]
-    reach = mixed(span_hash(prefix, a, b + length) ^ mixed((p - a).astype(np.uint64)))
-    base = offsets[r]
-    return r, a - base, b - base, p - base, gram[p], reach
+    place = mixed((p - a).astype(np.uint64))
+    reach, check = (mixed(span_hash(x, a, b + length, base) ^ place) for x, base in zip((prefix, second), bases, strict=True))
+    begin = offsets[r]
+    return r, a - begin, b - begin, p - begin, gram[p], reach, check
+
+
+def new_bases() -> tuple[int, int]:
+    """Two odd numbers whose powers modulo 2 ** 64 repeat late."""
+    return secrets.randbits(61) * 8 + 3, secrets.randbits(61) * 8 + 3
 
 
-def _pointer_blocks(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Pointers packed as one block for each batch and range of gram hashes."""
+def _pointer_blocks(docs: DataFrame, length: int, buckets: int, bases: tuple[int, int]) -> DataFrame:
+    """Pointers packed as one block for each batch and range of gram hashes; ``sure`` ones by their reach instead."""
 
     def run(batches):
         for batch in batches:
@@ -85,25 +99,29 @@ def _pointer_blocks(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             data, offsets = text_buffers(batch.column(1))
             found = []
             for a, b in slices(offsets, CHUNK):
-                r, s, e, p, gram, reach = pointers(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length)
-                found.append((gram, reach, ids[a + r], s.astype(np.int32), (p - s).astype(np.int16), (e - s).astype(np.int16)))
+                r, s, e, p, gram, reach, check = pointers(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, bases)
+                found.append((gram, reach, check, ids[a + r], s.astype(np.int32), (p - s).astype(np.int16), (e - s).astype(np.int16)))
             if not found:
                 continue
             columns = [np.concatenate(x) for x in zip(*found, strict=True)]
             order = np.argsort(columns[0])
             columns = [x[order] for x in columns]
-            bucket = ((columns[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            gram, reach = columns[:2]
+            sure = np.arange(len(gram)) - np.searchsorted(gram, gram) >= MANY
+            bucket = ((np.where(sure, reach, gram) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64) * 2 + sure
+            order = np.argsort(bucket, kind="stable")
+            columns, bucket = [x[order] for x in columns], bucket[order]
+            cuts = np.searchsorted(bucket, np.arange(2 * buckets + 1))
             own = np.flatnonzero(np.diff(cuts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own.astype(np.int32))] + [pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in own], pa.binary()) for x in columns],
-                ["bucket", "gram", "reach", "id", "start", "ahead", "more"],
+                [pa.array((own // 2).astype(np.int32)), pa.array(own % 2 == 1)] + [pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in own], pa.binary()) for x in columns],
+                ["bucket", "sure", *KINDS],
             )
 
-    return docs.mapInArrow(run, "bucket int, gram binary, reach binary, id binary, start binary, ahead binary, more binary")
+    return docs.mapInArrow(run, "bucket int, sure boolean, gram binary, reach binary, check binary, id binary, start binary, ahead binary, more binary")
 
 
-KINDS = {"gram": np.uint64, "reach": np.uint64, "id": np.int64, "start": np.int32, "ahead": np.int16, "more": np.int16}
+KINDS = {"gram": np.uint64, "reach": np.uint64, "check": np.uint64, "id": np.int64, "start": np.int32, "ahead": np.int16, "more": np.int16}
 
 
 def refined(blocks: DataFrame, length: int) -> DataFrame:
@@ -114,6 +132,7 @@ def refined(blocks: DataFrame, length: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         c = {n: np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table.column(n)]) for n, k in KINDS.items()}
+        c["sure"] = np.repeat(table.column("sure").to_numpy(), [len(x.as_buffer()) // 8 for x in table.column("gram")])
         order = np.lexsort((c["start"], c["id"], c["reach"], c["gram"]))
         c = {n: x[order] for n, x in c.items()}
         fresh = np.ones(len(order), bool)  # a repeated row's positions count once
@@ -123,9 +142,12 @@ def refined(blocks: DataFrame, length: int) -> DataFrame:
         reach_new = gram_new | np.concatenate([[True], c["reach"][1:] != c["reach"][:-1]])
         of_gram, of_reach = np.cumsum(gram_new) - 1, np.cumsum(reach_new) - 1
         in_gram, in_reach = np.bincount(of_gram)[of_gram], np.bincount(of_reach)[of_reach]
-        whole = in_reach > 1
-        border = ~whole & (in_gram > 1)
-        has_border = np.bincount(of_gram, border)[of_gram] > 0
+        unlike = np.zeros(len(of_reach), bool)  # the first hash agrees with the row before, the second does not
+        unlike[1:] = ~reach_new[1:] & (c["check"][1:] != c["check"][:-1])
+        whole = (in_reach > 1) & (np.bincount(of_reach, unlike)[of_reach] == 0)
+        sure = np.bincount(of_gram, c["sure"])[of_gram] > 0
+        border = ~whole & ((in_gram > 1) | sure)
+        has_border = sure | (np.bincount(of_gram, border)[of_gram] > 0)
         witness = whole & reach_new & has_border
         take = np.concatenate([np.flatnonzero(whole), np.flatnonzero(border), np.flatnonzero(witness)])
         kind = np.repeat(np.array([0, 1, 2], np.int32), [whole.sum(), border.sum(), witness.sum()])
@@ -227,7 +249,19 @@ def _spans(ids: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray,
     return ids[a], start[a], start[b] + length
 
 
-def settled_apart(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
+def _by_string(key, check, own, start):
+    """Starts by string and place, each once; whether each is the first of its string; whether its string has others."""
+    order = np.lexsort((start, own, check, key))
+    key, check, own, start = key[order], check[order], own[order], start[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])])
+    fresh = new.copy()
+    fresh[1:] |= (own[1:] != own[:-1]) | (start[1:] != start[:-1])
+    key, check, own, start, new = (x[fresh] for x in (key, check, own, start, new))
+    of = np.cumsum(new) - 1
+    return key, check, own, start, new, np.bincount(of)[of] > 1
+
+
+def settled_apart(fetched: DataFrame, length: int, buckets: int, bases: tuple[int, int]) -> DataFrame:
     """Covered (id, start, stop) as ``settled``, for borders of buckets too large to be brought together."""
 
     def dealt(batches):
@@ -240,17 +274,10 @@ def settled_apart(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
                 row = np.repeat(np.arange(b - a), size)
                 inner = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
                 at = cuts[row] + inner
-                key = span_hash(prefix_hashes(part), at, at + length)
-                own, start = ids[a + row], first[a + row] + inner
-                order = np.lexsort((start, own, key))
-                key, own, start = key[order], own[order], start[order]
-                fresh = np.ones(len(key), bool)
-                fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | (start[1:] != start[:-1])
-                key, own, start = key[fresh], own[fresh], start[fresh]
-                new = np.concatenate([[True], key[1:] != key[:-1]])
-                shared = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
+                key, check = (span_hash(prefix_hashes(part, base), at, at + length, base) for base in bases)
+                key, check, own, start, new, shared = _by_string(key, check, ids[a + row], first[a + row] + inner)
                 spans = _spans(own[shared], start[shared], length)
-                key, own, start = key[new], own[new], start[new]  # one of each string goes on
+                key, check, own, start = key[new], check[new], own[new], start[new]  # one of each string goes on
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 cut = np.searchsorted(bucket, np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cut))
@@ -259,32 +286,27 @@ def settled_apart(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
                     [
                         pa.array(np.concatenate([np.full(n, -1), full]).astype(np.int32)),
                         *(pa.concat_arrays([pa.array(x.astype(np.int64)), pa.nulls(k, pa.int64())]) for x in spans),
-                        *(pa.array([None] * n + [x[cut[f] : cut[f + 1]].tobytes() for f in full], pa.binary()) for x in (key, own, start)),
+                        *(pa.array([None] * n + [x[cut[f] : cut[f + 1]].tobytes() for f in full], pa.binary()) for x in (key, check, own, start)),
                     ],
-                    ["bucket", "id", "start", "stop", "keys", "ids", "starts"],
+                    ["bucket", "id", "start", "stop", "keys", "checks", "ids", "starts"],
                 )
 
     def run(table: pa.Table) -> pa.Table:
-        key, own, start = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table.column(n)]) for n, k in (("keys", np.uint64), ("ids", np.int64), ("starts", np.int64)))
-        order = np.lexsort((start, own, key))
-        key, own, start = key[order], own[order], start[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | (start[1:] != start[:-1])
-        key, own, start = key[fresh], own[fresh], start[fresh]
-        of = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
-        shared = np.bincount(of)[of] > 1
+        kinds = {"keys": np.uint64, "checks": np.uint64, "ids": np.int64, "starts": np.int64}
+        _, _, own, start, _, shared = _by_string(*(np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table.column(n)]) for n, k in kinds.items()))
         return pa.table(dict(zip(("id", "start", "stop"), _spans(own[shared], start[shared], length), strict=True)))
 
-    shape = "bucket int, id long, start long, stop long, keys binary, ids binary, starts binary"
+    shape = "bucket int, id long, start long, stop long, keys binary, checks binary, ids binary, starts binary"
     parts = stored(fetched.select("id", "start", "reach").mapInArrow(dealt, shape), "strings")
-    met = parts.where("bucket >= 0").select("bucket", "keys", "ids", "starts").groupBy("bucket").applyInArrow(run, "id long, start long, stop long")
+    met = parts.where("bucket >= 0").select("bucket", "keys", "checks", "ids", "starts").groupBy("bucket").applyInArrow(run, "id long, start long, stop long")
     return parts.where("bucket < 0").select("id", "start", "stop").union(met)
 
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(id, start, stop) for (id, text): byte ranges covered by strings that also start elsewhere; ranges may overlap."""
     buckets = 4 * partitions(docs.sparkSession)
-    found = stored(refined(_pointer_blocks(docs, length, buckets), length), "buckets")
+    bases = new_bases()
+    found = stored(refined(_pointer_blocks(docs, length, buckets, bases), length), "buckets")
     borders = found.where("kind > 0")
     per_gram = borders.groupBy("gram").count()
     most = max(HOT, borders.count() // HOT)
@@ -293,7 +315,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     late = stored(settled(fetched.join(hot, "gram", "left_anti"), length, buckets), "borders")
     covered = found.where("kind = 0").select("id", "start", "stop").union(late)
     large = fetched.join(hot, "gram", "left_semi")
-    return covered if hot.isEmpty() else covered.union(settled_apart(large, length, buckets))
+    return covered if hot.isEmpty() else covered.union(settled_apart(large, length, buckets, bases))
 
 
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:

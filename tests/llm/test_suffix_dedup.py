@@ -49,7 +49,10 @@ def held(spark, rows, length):
 @pytest.mark.parametrize("hot", [2000, 3])
 def test_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)  # 3: most buckets are settled apart
+    monkeypatch.setattr(suffix_dedup, "MANY", hot)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 1 << 14)  # a text longer than what is hashed at a time
     rows = corpus(hot)
+    rows.append((61, "".join(random.Random(1).choice("abcd ") for _ in range(40_000)) + rows[60][1]))
     expected = brute(rows, 200)
     assert any(x[1] for x in expected.values())
     assert {i: x[0] for i, x in held(spark, rows, 200).items()} == expected
