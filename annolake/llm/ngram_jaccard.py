@@ -10,10 +10,10 @@ documents hold sort their pieces last, which keeps them out of the keys. Candida
 Hamming bound, and at last the sets themselves are compared.
 
 Groups of identical sets are one class throughout. A key of up to ``group_limit`` classes gives all its pairs. A larger
-one is linked as a star first; keys whose members stay in several components are then dealt into blocks, and pairs of
-blocks are held against each other: once by sketches, each member giving its nearest partner elsewhere, and at last by
-the sets themselves, where a pair of blocks returns a spanning forest of its links and never their pairs. Links are
-counted in the same way, component by component.
+one is dealt into blocks, and pairs of blocks are held against each other: first by sketches, where a member gives its
+partners if they are few and else its nearest one; then, for members of many partners whose key still has several
+components, by the sets themselves, where a pair of blocks returns a spanning forest of its links and never their pairs.
+Links are counted in the same way, component by component.
 
 Sets are compared by 64-bit hashes of their n-grams. Two sets are one class if two sums of 64 bits agree: where only the
 first does, all is done anew with other sums.
@@ -456,7 +456,7 @@ def apart(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _nearest_partners(members: DataFrame, t: float, limit: int) -> DataFrame:
-    """kind 0: pairs (a, b) of one key's members in different components that the sketches allow; kind 1: (key, node).
+    """kind 0: pairs (a, b) of one key's members that the sketches allow; kind 1: (key, node).
 
     Of a member with up to ``limit`` such partners, all its pairs are given, of others that with the nearest partner;
     kind 1 names the members that have more.
@@ -464,11 +464,11 @@ def _nearest_partners(members: DataFrame, t: float, limit: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         table, group, c = in_order(table, "key")
-        node, root, n = c["node"], c["root"], c["n"]
+        node, n = c["node"], c["n"]
         sketches = _Sketches(table.column("sketch").to_pylist())
         best, partner, count, few = np.full(len(n), np.inf), np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), []
         for i, j in _pairs_by_size(group, n, t):
-            new = (root[i] != root[j]) & apart(c, i, j)
+            new = apart(c, i, j)
             i, j = i[new], j[new]
             total = n[i] + n[j]
             far = sketches.within(i, j, ((1 - t) * total + 1e-9) / (1 + t))
@@ -496,7 +496,7 @@ def _nearest_partners(members: DataFrame, t: float, limit: int) -> DataFrame:
             }
         )
 
-    return dealt(members, "key", ["root", "sketch"]).groupBy("bucket").applyInArrow(run, "kind int, a long, b long")
+    return dealt(members, "key", ["sketch"]).groupBy("bucket").applyInArrow(run, "kind int, a long, b long")
 
 
 def _linked(table: pa.Table, group: np.ndarray, n: np.ndarray, t: float, percent: int, wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -622,8 +622,7 @@ def near_duplicates(
 
     class_id is the smallest id with the same set, component_id the smallest id reachable by links; both are the id
     itself for documents without words. With ``count_links``, n_links is the number of other classes that the row's
-    class is linked with. ``group_limit`` only sets from which size a group of classes is linked as a star first; it
-    changes no result.
+    class is linked with. ``group_limit`` only sets how many partners are given as pairs; it changes no result.
     """
     spark = docs.sparkSession
     t = percent / 100
@@ -640,56 +639,35 @@ def near_duplicates(
     frequent = facts.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") * 1000 >= n_docs)
     hot = np.array([r.id for r in frequent.orderBy(F.desc("n"), "id").limit(200_000).collect()], np.int64).view(np.uint64)
 
-    held = None
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        nonlocal held
-        held = with_sets(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
-        return _verified(pairs, held, percent)
-
-    def with_sets(wanted: DataFrame) -> DataFrame:
-        wanted = wanted if held is None else wanted.join(held.select("cls"), "cls", "left_anti")
-        more = _sets_of(wanted.join(classes.select("cls", "rep"), "cls"), docs, width, salt, id_col, text_col)
-        return more if held is None else held.union(more)
-
     blocks = _key_blocks(docs, width, t, salt, id_col, text_col, hot, 4 * partitions(spark), group_limit)
     found = stored(candidates(blocks, t, group_limit), "candidates")
-    members = stored(found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct(), "members")
-    # of keys with the same members, long documents' keys mostly, one is enough: they are told apart by 128 bits
-    told = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
-    per_key = members.groupBy("key").agg(F.count("*").alias("m"), *told, F.min("node").alias("a"))
-    one_of_them = per_key.groupBy("m", "x", "y").agg(F.min(F.struct("key", "a")).alias("k")).select("k.key", "k.a")
-    members = members.join(one_of_them, "key").join(classes.select(F.col("cls").alias("node"), "n"), "node")
-    members = stored(members, "members")
-    star = members.where("a <> node").select("a", F.col("node").alias("b"))
-    first = found.where("kind = 0").select("a", "b").union(star).distinct()
-    links = stored(verified(stored(_within_bound(first, classes, t), "pairs")), "links")
+    members = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
+    members = members.join(classes.select(F.col("cls").alias("node"), "n", "sketch"), "node")
+    near = stored(_nearest_partners(members, t, group_limit), "partners")
+    small = _within_bound(found.where("kind = 0").select("a", "b").distinct(), classes, t)
+    pairs = stored(small.union(near.where("kind = 0").select("a", "b")).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "rep"), "cls")
+    sets = _sets_of(wanted, docs, width, salt, id_col, text_col)
+    links = stored(_verified(pairs, sets, percent), "links")
     roots = components(links)
 
-    def split_members() -> DataFrame:
-        """Members of keys that have members in several components."""
-        labelled = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        split = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        return stored(labelled.join(split.select("key"), "key"), "apart")
-
-    near = _nearest_partners(split_members().join(classes.select(F.col("cls").alias("node"), "sketch"), "node"), t, group_limit)
-    near = stored(near.distinct(), "pairs")
-    if not near.isEmpty():
-        links = stored(links.union(verified(near.where("kind = 0").select("a", "b"))), "links")
-        roots = components(links)
-        # the pairs of all other members have been looked at, and components only grow
-        members = members.join(near.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")), ["key", "node"], "left_semi")
-        late = stored(_forests(split_members().join(held.withColumnRenamed("cls", "node"), "node"), t, percent), "links")
+    # all pairs of the other members of large keys have been looked at; of these, only those in different components matter
+    many = near.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
+    many = many.join(classes.select(F.col("cls").alias("node"), "n"), "node").join(roots, "node", "left")
+    many = many.select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    split = many.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    many = stored(many.join(split.select("key"), "key"), "apart")
+    if not many.isEmpty():
+        late = stored(_forests(many.join(sets.withColumnRenamed("cls", "node"), "node"), t, percent), "links")
         if not late.isEmpty():
-            links = links.union(late)
-            roots = components(links)
+            roots = components(links.union(late))
 
     named = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", F.col("rep").alias("class_id"), F.coalesce("root", "cls").alias("root"))
     named = stored(named, "named")
     named = named.join(named.groupBy("root").agg(F.min("class_id").alias("component_id")), "root").select("cls", "class_id", "component_id")
     extra = []
     if count_links:
-        rooted = roots.join(classes.select(F.col("cls").alias("node"), "n"), "node").join(held.withColumnRenamed("cls", "node"), "node")
+        rooted = roots.join(classes.select(F.col("cls").alias("node"), "n"), "node").join(sets.withColumnRenamed("cls", "node"), "node")
         named = named.join(_link_counts(rooted, t, percent), F.col("cls") == F.col("node"), "left").drop("node")
         extra = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")]
     return described.join(named, "cls", "left").select(
