@@ -87,3 +87,70 @@ def inside_polygon(x: Column, y: Column, polygon: Column) -> Column:
 
     hits = F.aggregate(F.transform(polygon, crosses), F.lit(0), lambda a, b: a + b)
     return F.when(n < 3, F.lit(False)).otherwise(hits % 2 == 1)
+
+
+def iou_of_rects(a: Box, b: Box) -> Column:
+    """Intersection over union of (x, y, w, h) boxes; 0 where they do not overlap."""
+    x1, y1 = F.greatest(a[0], b[0]), F.greatest(a[1], b[1])
+    x2, y2 = F.least(a[0] + a[2], b[0] + b[2]), F.least(a[1] + a[3], b[1] + b[3])
+    shared = (x2 - x1) * (y2 - y1)
+    return F.when((x2 <= x1) | (y2 <= y1), 0.0).otherwise(shared / (a[2] * a[3] + b[2] * b[3] - shared))
+
+
+def rect_of_yolo(cx: Column, cy: Column, w: Column, h: Column) -> Box:
+    """(x, y, w, h) inside the unit square; sizes of 0 or less are for the caller to drop."""
+    x1, y1, x2, y2 = corners_of_yolo(cx, cy, w, h)
+    x1, y1, x2, y2 = F.greatest(F.lit(0.0), x1), F.greatest(F.lit(0.0), y1), F.least(F.lit(1.0), x2), F.least(F.lit(1.0), y2)
+    return x1, y1, x2 - x1, y2 - y1
+
+
+def whole_corners(x: Column, y: Column, w: Column, h: Column) -> Box:
+    """Corners of an (x, y, w, h) box in whole pixels, cut towards zero."""
+    return x.cast("long"), y.cast("long"), (x + w).cast("long"), (y + h).cast("long")
+
+
+def widened(b: Box, left: float, top: float, right: float, bottom: float) -> Box:
+    """A corner box with each side moved outwards by a part of the width or height."""
+    w, h = b[2] - b[0], b[3] - b[1]
+    return b[0] - w * left, b[1] - h * top, b[2] + w * right, b[3] + h * bottom
+
+
+def padded_in_turn(b: Box, pad: float, width: Column, height: Column) -> Box:
+    """A pixel box padded at left and top, then at right and bottom by parts of the wider box, cut at the picture."""
+    x1, y1 = b[0] - (b[2] - b[0]) * pad, b[1] - (b[3] - b[1]) * pad
+    x2, y2 = b[2] + (b[2] - x1) * pad, b[3] + (b[3] - y1) * pad
+    return F.greatest(F.lit(0.0), x1), F.greatest(F.lit(0.0), y1), F.least(width, x2), F.least(height, y2)
+
+
+def padded_evenly(cx: Column, cy: Column, w: Column, h: Column, pad: float, width: Column, height: Column) -> Box:
+    """A YOLO box padded alike on all sides, in pixels, cut at the picture."""
+    x1, y1 = F.greatest(F.lit(0.0), (cx - w / 2 - w * pad) * width), F.greatest(F.lit(0.0), (cy - h / 2 - h * pad) * height)
+    return x1, y1, F.least(width, (cx + w / 2 + w * pad) * width), F.least(height, (cy + h / 2 + h * pad) * height)
+
+
+def region_window(b: Box, width: Column, height: Column, grow: int = 4, step: int = 4) -> Box:
+    """Window (x, y, w, h) of a normalised region: grown by pixels, cut at the picture, sizes down to multiples of ``step``."""
+    x1, y1 = F.greatest(F.lit(0.0), b[0] * width - grow), F.greatest(F.lit(0.0), b[1] * height - grow)
+    x2, y2 = F.least(width, b[2] * width + grow), F.least(height, b[3] * height + grow)
+    w, h = (F.floor(v.cast("long") / step) * step for v in (x2 - x1, y2 - y1))
+    return x1 / width, y1 / height, w / width, h / height
+
+
+def in_window(points: Column, window: Box) -> Column:
+    """An array of (x, y) seen from a window (x, y, w, h)."""
+    x, y, w, h = window
+    return F.transform(points, lambda p: F.struct(((p["x"] - x) / w).alias("x"), ((p["y"] - y) / h).alias("y")))
+
+
+def moved(points: Column, dx: Column, dy: Column) -> Column:
+    return F.transform(points, lambda p: F.struct((p["x"] + dx).alias("x"), (p["y"] + dy).alias("y")))
+
+
+def vertexes(b: Box) -> Column:
+    """Corner points of a box, clockwise from the upper left one."""
+    return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((b[0], b[1]), (b[2], b[1]), (b[2], b[3]), (b[0], b[3]))])
+
+
+def remapped(points: Column, x0: Column, y0: Column, width: Column, height: Column) -> Column:
+    """Points in pixels of a crop at (x0, y0) as parts of the whole picture; null stays null."""
+    return F.transform(points, lambda p: F.struct(((p["x"] + x0) / width).alias("x"), ((p["y"] + y0) / height).alias("y")))
