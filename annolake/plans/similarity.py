@@ -22,6 +22,8 @@ def kept(df):
     spark = df.sparkSession
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="annolake-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
