@@ -17,10 +17,12 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only for a local master without it."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="annolake-"))
         atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)

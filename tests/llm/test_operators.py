@@ -200,6 +200,20 @@ def best_score(word, pieces, unknown):
     return top[-1]
 
 
+def test_whole_texts_get_the_best_score_and_words_stay_whole(spark):
+    v = sp_viterbi.Vocabulary.load()
+    pieces, score_of = {t: s for t, s, _ in v.pieces}, {i: s for _, s, i in v.pieces}
+    texts = ["the theory of everything", "Several members expressed reservations about the plan.", "un deux trois\nquatre"]
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] * 2, "doc_id long, text string, ids int")
+    for r in sp_viterbi.encode(df).collect():
+        text = " " + texts[r.doc_id]
+        best = sum(best_score(w, pieces, v.unknown_score) for w in sp_viterbi._WORDS.findall(text))
+        assert sum(score_of.get(i, v.unknown_score) for i in r.ids) == pytest.approx(best)  # a line break is a byte
+    (_, ids), = sp_viterbi.segmented([" theory"], v, v.trie())
+    assert len(ids) == 1
+    assert sp_viterbi.encode(df.limit(0)).count() == 0
+
+
 def test_encoding(spark):
     v = sp_viterbi.Vocabulary.load()
     texts = [None, "", " ", "a  b\n\nc ", "Étion dans 日本 ▁x", "the theory of thermal therapy", "x" * 3000]
@@ -269,6 +283,64 @@ def test_long_clean_texts_are_not_toxic(spark):
     assert 0.05 < 1 / (1 + np.exp(-model.bias)) < 0.2  # 2 of 20 documents without the feature are toxic
 
 
+def test_toxicity_learns_when_labels_are_plentiful(spark):
+    rng, rows, marks = random.Random(6), [], []
+    for i in range(400):
+        body = [" ".join(rng.choice(["calm", "day", "tree", "river", "stone"]) for _ in range(8)) for _ in range(3)]
+        if i % 2:
+            body[1] += " vilewords"
+        rows.append((i, ". ".join(body), 1.0, "x"))
+        marks.append((i, i % 2))
+    rows += [(None, "calm day", 1.0, "x"), (7, "calm day", 1.0, "x"), (500, "Calm day. All VILEWORDS here! Tree", 1.0, "x")]
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string, score double, sentences string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    found = toxicity.toxicity_scores(df, labels, max_labelled=40).collect()  # both classes have more
+    assert len(found) == len(rows)
+    held = [r for r in found if r.held_out and r.id is not None and r.id < 400 and r.id != 7]
+    assert held and all((r.score >= 0.3) == bool(r.id % 2) for r in held)
+    places = next(r.sentences for r in found if r.id == 500)
+    assert [(p.start, p.end) for p in places] == [(10, 28)]
+
+
+def test_noisy_or_scores_by_hand():
+    model = toxicity.NoisyOr(0.5, -2.0, np.array([5, 9], np.uint64), np.array([3.0, 1.0]))
+    p = model.sentence_scores(3, np.array([0, 0, 1, 2]), np.array([5, 9, 7, 9], np.uint64))
+    base = 1 / (1 + np.exp(2.0))
+
+    def beyond(z):  # a sentence's probability, less what the bias alone gives
+        return 1 - (1 - 1 / (1 + np.exp(-z))) / (1 - base)
+
+    assert p == pytest.approx([beyond(2.0), 0.0, beyond(-1.0)])
+    score = model.document_scores(2, np.array([0, 0, 1]), p)
+    assert score == pytest.approx([1 - (1 - base) * (1 - p[0]), 1 - (1 - base) * (1 - p[2])])
+
+
+def test_quadratic_discriminant_by_densities():
+    rng = np.random.default_rng(5)
+    zeros, ones = rng.normal(0, 1, (200, 3)), rng.normal([1, 0, -1], [1, 2, 0.5], (300, 3))
+    model = quality.fit({k: (float(len(x)), x.sum(axis=0), x.T @ x) for k, x in ((0, zeros), (1, ones))}, 0.1, 0.02)
+    own = [np.cov(x.T, bias=True) for x in (zeros, ones)]
+    pooled = (own[0] * 200 + own[1] * 300) / 500
+    x, density = rng.normal(size=(20, 3)), []
+    for data, c in zip((zeros, ones), own, strict=True):
+        c = 0.88 * c + 0.1 * pooled + 0.02 * np.diag(np.diag(pooled) + 1e-6)
+        d = x - data.mean(axis=0)
+        density.append(-0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d) - 0.5 * np.linalg.slogdet(c)[1])
+    share = 301 / 502
+    assert model.scores(x) == pytest.approx(1 / (1 + np.exp(density[0] - density[1] - np.log(share / (1 - share)))))
+
+
+def test_drawn_rows_of_shared_and_null_ids(spark):
+    text = " ".join(["w"] * 20)
+    rows = [(None, f"{text} {k}", "en", "a", k) for k in range(6)] + [(1, text, "en", "a", 9), (1, text, "en", "a", 9), (1, text + " x", "en", "a", 9), (2, "", "en", "a", 9)]
+    df = spark.createDataFrame(rows, DOCS + ", bucket int")
+    draws, budgets = mixing.mixed(df)
+    budget, drawn = budgets.first().budget, sum(r.n_tokens * r.copies for r in draws.collect())
+    assert budget - 21 <= drawn <= budget
+    out = mixing.drawn_documents(df)
+    assert out.columns == df.columns
+    assert sum(len(r.text.split()) for r in out.collect()) == drawn
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
