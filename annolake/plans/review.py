@@ -10,7 +10,10 @@ from annolake.operators import review
 from annolake.plans.fixtures import BOXES, boxes, table
 from annolake.plans.query import Query
 
-WIDTH, HEIGHT = F.lit(640.0), F.lit(480.0)
+
+def picture():
+    """Width and height; columns can only be made once there is a session."""
+    return F.lit(640.0), F.lit(480.0)
 
 
 def nine(**columns):
@@ -46,7 +49,7 @@ def rect_forms(spark, d):
     s = _of(spark, d, 1).selectExpr("image_id", "idx", "x1 * 500 - 20 as x", "y1 * 500 - 20 as y", "(x2 - x1) * 500 as w", "(y2 - y1) * 500 as h")
     rect = tuple(F.col(c) for c in "xywh")
     whole = [c.alias(n) for c, n in zip(geo.whole_corners(*rect), ("px1", "py1", "px2", "py2"), strict=True)]
-    return s.select("image_id", "idx", *named(geo.yolo_plain(*rect, WIDTH, HEIGHT), ("cx", "cy", "bw", "bh")), *whole)
+    return s.select("image_id", "idx", *named(geo.yolo_plain(*rect, *picture()), ("cx", "cy", "bw", "bh")), *whole)
 
 
 def border_extend(spark, d):
@@ -55,19 +58,19 @@ def border_extend(spark, d):
 
 def padded_crop(spark, d):
     x1, y1, x2, y2 = geo.corners()
-    box = geo.padded_in_turn((x1 * 640, y1 * 480, x2 * 640, y2 * 480), 0.25, WIDTH, HEIGHT)
+    box = geo.padded_in_turn((x1 * 640, y1 * 480, x2 * 640, y2 * 480), 0.25, *picture())
     return _of(spark, d, 2).select("image_id", "idx", *named(box))
 
 
 def even_crop(spark, d):
-    box = geo.padded_evenly(F.col("cx"), F.col("cy"), F.col("w"), F.col("h"), 0.125, WIDTH, HEIGHT)
+    box = geo.padded_evenly(F.col("cx"), F.col("cy"), F.col("w"), F.col("h"), 0.125, *picture())
     rows = _yolo(_of(spark, d, 1)).select("image_id", "idx", *[c.alias(n) for c, n in zip(box, ("x1", "y1", "x2", "y2"), strict=True)])
     rows = rows.where("x2 - x1 >= 96 and y2 - y1 >= 72")
     return rows.select("image_id", "idx", *[F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
 
 
 def roi_crop(spark, d):
-    window = geo.region_window(geo.corners(), WIDTH, HEIGHT)
+    window = geo.region_window(geo.corners(), *picture())
     seen = geo.in_window(F.array(F.struct(((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))), window)
     return _of(spark, d, 0).select("image_id", "idx", *[c.alias(n) for c, n in zip(window, "xywh", strict=True)], seen[0]["x"].alias("px"), seen[0]["y"].alias("py"))
 
@@ -80,7 +83,7 @@ def polygon_moves(spark, d):
 
 def keypoint_remap(spark, d):
     points = F.when(F.col("idx") != 2, F.array(F.struct((F.col("x1") * 64).alias("x"), (F.col("y1") * 64).alias("y"))))
-    out = geo.remapped(points, F.lit(10), F.lit(20), WIDTH, HEIGHT)
+    out = geo.remapped(points, F.lit(10), F.lit(20), *picture())
     return _of(spark, d, 0).select("image_id", "idx", out[0]["x"].alias("x"), out[0]["y"].alias("y"))
 
 
