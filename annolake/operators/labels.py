@@ -32,7 +32,7 @@ def darknet_lines(files: DataFrame, text: str = "text", strict: bool = True) ->
 
 
 def yolo_text(cls: Column, box: tuple[Column, ...]) -> Column:
-    """A label line. Numbers are rounded half up from their shortest form; ``sinks.yolo_files`` writes them exactly."""
+    """A label line. Numbers are rounded half up from their shortest form; ``sinks.exact_line`` writes them exactly."""
     return F.concat_ws(" ", cls.cast("string"), *[F.format_string("%.6f", v) for v in box])
 
 
@@ -45,7 +45,7 @@ def canonical_class(name: Column, money: bool = True) -> Column:
 
 def weights(text: Column) -> Column:
     """map of ``name:weight,...``; blanks and empty parts do not matter, later names win."""
-    parts = F.filter(F.transform(F.split(text, ","), F.trim), lambda p: p.contains(":"))
+    parts = F.filter(F.transform(F.split(text, ","), lambda p: F.trim(p)), lambda p: p.contains(":"))
     pairs = F.transform(parts, lambda p: F.struct(F.trim(F.substring_index(p, ":", 1)).alias("k"), F.trim(F.substring_index(p, ":", -1)).cast("double").alias("v")))
     none = F.create_map().cast("map<string,double>")
     return F.aggregate(pairs, none, lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != p["k"]), F.create_map(p["k"], p["v"])))

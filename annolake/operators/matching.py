@@ -142,13 +142,15 @@ def review_set(scored: DataFrame, ratio: float, key: str = "image_id") -> DataFr
     """``scored`` with ``route``: l0 without doubt, review for the top ``ratio`` of doubtful rows, l1 for the others.
 
     The cut is found from counts of distinct scores, so no window holds all rows; only rows of the score at which the
-    cut falls are put in order, by key.
+    cut falls are put in order, by key; rows of other scores are dealt over parts, where their order does not count.
     """
     counts = scored.where("score > 0").groupBy("score").agg(F.count("*").alias("n"))
     above = W.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy(F.lit(1))
-    ranked = counts.select("score", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"), F.floor(F.sum("n").over(everything) * ratio).alias("want"))
+    ranked = counts.select("score", "n", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"), F.floor(F.sum("n").over(everything) * ratio).alias("want"))
     tied = scored.join(ranked, "score", "left")
-    nth = F.row_number().over(W.partitionBy("score").orderBy(key))
+    cut = (F.col("before") < F.col("want")) & (F.col("before") + F.col("n") > F.col("want"))
+    part = F.when(cut, -1).otherwise(F.pmod(F.xxhash64(key), F.lit(4096)))
+    nth = F.row_number().over(W.partitionBy("score", part).orderBy(key))
     route = F.when(F.col("score") <= 0, "l0").when(F.col("before") >= F.col("want"), "l1").when(F.col("before") + nth <= F.col("want"), "review").otherwise("l1")
     return tied.withColumn("route", route).select(*scored.columns, "route")

@@ -33,3 +33,14 @@ def write_kitti(rows: DataFrame, path: str) -> None:
 def write_features(rows: DataFrame, vector: str, size: int, label: str, path: str) -> None:
     """c0, c1, ... and the label, with a header."""
     rows.select(*[F.col(vector)[k].alias(f"c{k}") for k in range(size)], label).write.mode("errorifexists").option("header", True).csv(path)
+
+
+@F.pandas_udf(StringType())
+def short_line(cls: pd.Series, cx: pd.Series, cy: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
+    """A label line with six digits each and a blank at its end."""
+    return pd.Series(["%g %g %g %g %g " % row for row in zip(cls, cx, cy, w, h, strict=True)])
+
+
+def write_records(rows: DataFrame, path: str) -> None:
+    """One JSON object a line, nulls kept; an existing folder is an error."""
+    rows.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
