@@ -103,6 +103,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.decontamination import contaminated
+
+    out = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -114,6 +128,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_sharding": op10_sharding,
+    "op12_decontamination": op12_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -197,5 +212,25 @@ select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || c
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) loss_sha256,
   sum(23 + length(regexp_replace(role, '([\\|])', 'x\1', 'g')) + length(regexp_replace(text, '([\\|])', 'x\1', 'g')))::bigint formatted_chars
 from c group by conv_id
+""",
+    "op12_decontamination": r"""
+with d as (
+  select row_number() over () row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark),
+sized as (select item_id, w, least(len(w), 10) n from b where len(w) > 0),
+windows as (
+  select distinct item_id, n, t from (select item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i+n-1], ' '))) t from sized)),
+widths as (select distinct n from windows),
+places as (select row, n, w, unnest(range(1, len(w) - n + 2)) i from d, widths where len(w) >= n),
+hits as materialized (
+  select row, i, x.n, item_id from (select row, n, i, array_to_string(w[i:i+n-1], ' ') t from places) x join windows y on x.n = y.n and x.t = y.t),
+covered as (select row, count(distinct p) n_hit from (select row, unnest(range(i, i + n)) p from hits) group by row),
+held as (select row, count(*) n_items, string_agg(s, ',' order by s) ids from (select distinct row, item_id::varchar s from hits) group by row)
+select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items, sha256(coalesce(ids, '')) items_sha256,
+  coalesce(n_hit, 0) > 0 contaminated
+from d left join covered using (row) left join held using (row)
 """,
 }
