@@ -103,6 +103,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.ranked_search import search
+
+    out = search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+    return out.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annolake.llm.decontamination import contaminated
 
@@ -128,6 +135,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_sharding": op10_sharding,
+    "op11_ranked_search": op11_ranked_search,
     "op12_decontamination": op12_decontamination,
 }
 
@@ -212,6 +220,26 @@ select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || c
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) loss_sha256,
   sum(23 + length(regexp_replace(role, '([\\|])', 'x\1', 'g')) + length(regexp_replace(text, '([\\|])', 'x\1', 'g')))::bigint formatted_chars
 from c group by conv_id
+""",
+    "op11_ranked_search": r"""
+with t as (
+  select r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from (select row_number() over () r, * from documents)),
+q as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from benchmark),
+p as (select r, doc_id, term, count(*) tf from t group by r, doc_id, term),
+lengths as (select r, sum(tf)::bigint n from p group by r),
+total as (select count(*) docs, sum(n)::bigint terms from lengths),
+m as (select r, 50 + (50 * n * docs) // terms m from lengths, total),
+weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint w
+  from (select term, count(*) df from p where term in (select term from q) group by term), total),
+scored as (
+  select item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint score
+  from q join weights using (term) join p using (term) join m using (r) group by item_id, doc_id, r),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id, r) k from scored where score > 0)
+select item_id, k::int "rank", doc_id, score from ranked where k <= 50
 """,
     "op12_decontamination": r"""
 with d as (
