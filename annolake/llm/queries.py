@@ -124,6 +124,13 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.llm.alignment import aligned
+
+    out = aligned(table(spark, sf_dir, "documents"), digest=lambda text: F.sha2(text, 256))
+    return out.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -137,6 +144,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_ranked_search": op11_ranked_search,
     "op12_decontamination": op12_decontamination,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
