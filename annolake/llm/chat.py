@@ -2,12 +2,13 @@
 
 ``ancestors`` doubles: a join of the table of 2**k-th ancestors with itself gives the 2**(k+1)-th, so the number of
 joins grows with the logarithm of the deepest reply. From each leaf the same tables, largest first, enumerate every
-message of its path exactly once. Branches of a conversation are ranked by the mean score of their messages.
+message of its path exactly once. Branches of a conversation are ranked by the mean score of their messages (ties: the
+smaller leaf), and only the texts of the chosen ones are brought in and formatted.
 
 The template is ``<|turn|>role<|text|>text<|end|>`` for each turn. Inside roles and texts a backslash goes before each
 backslash and each ``|``, so no control string can stand in a text, and ``unescaped`` takes them away again.
 
-A parent that is missing or null makes its message a root; messages on a cycle have no root and are left out. Null
+A parent that is missing or null makes its message a root; messages on a cycle, and those that hang on one, have no root and are left out. Null
 roles and texts count as empty. Repeated rows (same conversation and message id) are one message, the least by role
 and text. Rows with a null conversation id are one conversation; rows with a null message id are left out. Extra columns are ignored; an empty table gives an empty result.
 """
@@ -57,7 +58,9 @@ def paths(messages: DataFrame) -> DataFrame:
     for k in reversed(range(len(jumps))):
         step = found.join(jumps[k], ["conv", "msg"]).select("conv", "leaf", (F.col("up") + 2**k).alias("up"), F.col("ancestor").alias("msg"))
         found = stored(found.union(step), "paths")
-    return found
+    # a path that hangs on a cycle goes round and never comes to a root
+    roots = nodes.select("conv", "msg").join(jumps[0].select("conv", "msg"), ["conv", "msg"], "left_anti")
+    return found.join(found.join(roots, ["conv", "msg"]).select("conv", "leaf"), ["conv", "leaf"], "left_semi")
 
 
 def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:
@@ -70,26 +73,29 @@ def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:
         F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "parent", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("m")
     )
     m = stored(m.select(F.struct(F.col("conv").alias("id")).alias("conv"), "msg", "m.*"), "messages")  # joins match structs of null
-    steps = paths(m)
-    turns = steps.join(m.select("conv", "msg", "role", "text", "score"), ["conv", "msg"])
+    steps = stored(paths(m), "steps")
+    scores = steps.join(m.select("conv", "msg", "score"), ["conv", "msg"]).groupBy("conv", "leaf").agg(F.avg("score").alias("mean"), F.count("*").alias("n"))
+    branch = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("mean"), "leaf"))
+    chosen = scores.withColumn("branch", branch)
+    if best is not None:
+        chosen = chosen.where(F.col("branch") <= best)
+    turns = steps.join(chosen.drop("mean"), ["conv", "leaf"]).join(m.select("conv", "msg", "role", "text"), ["conv", "msg"])
     head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit(TEXT))
-    turns = turns.select("conv", "leaf", "up", "score", "role", head.alias("head"), escaped(F.col("text")).alias("body"))
+    turns = turns.select("conv", "leaf", "branch", "n", "up", "role", head.alias("head"), escaped(F.col("text")).alias("body"))
     turns = turns.withColumn("size", F.length("head") + F.length("body") + F.lit(len(END)))
     down = W.partitionBy("conv", "leaf").orderBy(F.desc("up"))
     turns = turns.withColumn("start", F.sum("size").over(down) - F.col("size") + F.length("head"))
     span = F.when(F.col("role") == "assistant", F.struct(F.col("start").cast("long").alias("start"), F.length("body").cast("long").alias("length")))
     row = F.struct(F.negative("up").alias("down"), F.concat("head", "body", F.lit(END)).alias("turn"), span.alias("span"))
-    whole = turns.groupBy("conv", "leaf").agg(F.avg("score").alias("score"), F.array_sort(F.collect_list(row)).alias("rows"))
-    branch = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("score"), "leaf"))
-    out = whole.select(
+    whole = turns.groupBy("conv", "leaf", "branch", "n").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    return whole.select(
         F.col("conv.id").alias("conv"),
         "leaf",
-        branch.alias("branch"),
-        F.size("rows").cast("long").alias("n_turns"),
+        "branch",
+        F.col("n").alias("n_turns"),
         F.concat_ws("", F.col("rows.turn")).alias("formatted"),
         F.filter(F.col("rows.span"), lambda s: s.isNotNull()).alias("loss"),
     )
-    return out if best is None else out.where(F.col("branch") <= best)
 
 
 def turns_of(formatted: Column) -> Column:

@@ -41,6 +41,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named(column: str) -> Column:
+    """The column of just this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct, so that columns of our own beside it clash with none; ``select("x.*")`` gives them back."""
+    return F.struct(*[named(c).alias(c) for c in df.columns])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

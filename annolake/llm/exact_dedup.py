@@ -8,7 +8,7 @@ once, are then checked on their full bytes; where two texts share a digest, rows
 
 Null text counts as empty. Rows with equal id and equal text are repeats of one row: all are reported and counted, one
 is kept. Rows with a null id are grouped like any other. An empty table gives an empty result. Extra columns are
-ignored.
+ignored, whatever their names; ``without_duplicates`` gives them back as they are.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annolake.llm.common import shared_path, stored
+from annolake.llm.common import named, shared_path, stored, whole_row
 
 #: State lives in RocksDB on the executors' disks; all stores of an executor share one bound of native memory, and none
 #: reserves disk before it has rows (4 MB a partition otherwise).
@@ -41,8 +41,8 @@ def landed(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column
     """(id, digest, locator, row), what the stream needs of each row, in the shared folder; and where."""
     path = shared_path(docs.sparkSession, "arrivals")
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        digest(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"),
+        named(id_col).cast("long").alias("id"),
+        digest(F.coalesce(named(text_col), F.lit(""))).alias("digest"),
         F.input_file_name().alias("locator"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -121,8 +121,8 @@ def exact_duplicates(
         return df.join(hot, "digest", "left").withColumn("salt", F.explode(salts)).drop("hot")
 
     hits = on_all_salts(state.where("group_size > 1").select("digest"))
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    content = docs.select(F.col(id_col).cast("long").alias("id"), digest(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"), text.alias("bytes"))
+    text = F.coalesce(named(text_col), F.lit(""))
+    content = docs.select(named(id_col).cast("long").alias("id"), digest(text).alias("digest"), text.cast("binary").alias("bytes"))
     bytes_of_hits = salted(content, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(hits, ["digest", "salt"])
     parts = bytes_of_hits.groupBy("digest", "salt").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
     differing = parts.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
@@ -145,7 +145,7 @@ def exact_duplicates(
 
 def without_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its own columns, one row of each group of equal texts."""
-    kept = exact_duplicates(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
-    named = docs.withColumn("_key", sha256_of(F.coalesce(F.col(text_col), F.lit(""))))
-    on = (F.col("_key") == F.col("_digest")) & F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-    return named.join(kept, on, "left_semi").dropDuplicates([id_col, "_key"]).select(*docs.columns)
+    kept = exact_duplicates(docs, id_col=id_col, text_col=text_col).where("kept").select(F.struct("id", "digest").alias("key"))
+    key = F.struct(named(id_col).cast("long").alias("id"), sha256_of(F.coalesce(named(text_col), F.lit(""))).alias("digest"))
+    rows = docs.select(whole_row(docs).alias("doc"), key.alias("key"))  # joins match structs of null
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("doc.*")

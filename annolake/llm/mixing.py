@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annolake.llm.common import stored
+from annolake.llm.common import named, stored, whole_row
 
 DOMAINS = 4
 ROWS_PER_BUCKET = 4096
@@ -158,8 +158,9 @@ def drawn_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # rows of one id and text are alike but for other columns: the k-th of them takes the k-th draw
     of_draws = W.partitionBy("id", "digest").orderBy(F.desc("copies"))
     drawn = draws.select(F.struct("id", "digest", F.row_number().over(of_draws).alias("nr")).alias("_row"), F.col("copies").alias("_copies"))
-    named = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).cast("long").alias("_id"), digest_of(F.col(text_col)).alias("_digest"))
-    nr = F.row_number().over(W.partitionBy("_id", "_digest").orderBy(F.xxhash64(*[f"_doc.`{c}`" for c in docs.columns])))
-    named = named.select("_doc", F.struct(F.col("_id").alias("id"), F.col("_digest").alias("digest"), nr.alias("nr")).alias("_row"))
-    joined = named.join(drawn, "_row").select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return joined.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    # maps have no hash: their JSON stands for them
+    hashed = [F.to_json(F.struct(named(c))) if "map<" in docs.schema[c].dataType.simpleString() else named(c) for c in docs.columns]
+    rows = docs.select(whole_row(docs).alias("doc"), named(id_col).cast("long").alias("id"), digest_of(named(text_col)).alias("digest"), F.xxhash64(*hashed).alias("hash"))
+    nr = F.row_number().over(W.partitionBy("id", "digest").orderBy("hash"))
+    rows = rows.select("doc", F.struct("id", "digest", nr.alias("nr")).alias("_row"))
+    return rows.join(drawn, "_row").select("doc", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("doc.*")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.llm.common import mixed, partitions, prefix_hashes, slices, span_hash, stored, text_buffers
+from annolake.llm.common import mixed, named, partitions, prefix_hashes, slices, span_hash, stored, text_buffers, whole_row
 from annolake.llm.graph import components
 
 LEAST_BITS = 64
@@ -680,5 +680,6 @@ def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", **options) ->
 
     Rows with a null id are no part of any group and stay.
     """
-    gone = near_duplicates(docs, id_col=id_col, **options).where("id <> component_id").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, id_col=id_col, **options).where("id <> component_id").select(F.col("id").alias("key")).distinct()
+    rows = docs.select(whole_row(docs).alias("doc"), named(id_col).cast("long").alias("key"))
+    return rows.join(gone, "key", "left_anti").select("doc.*")

@@ -12,7 +12,7 @@ they are. A byte-pair model's are merge ranks, which cannot be added up: its pie
 then those of the best segmentation under these scores, not those that the model's merges give. A character that no piece holds is given by its bytes at the
 score of the unknown piece, ten below the least; a literal word mark (U+2581) too, so that decoding gives every text
 back exactly. Null text gives null, an empty text no pieces. Repeated rows encode alike, extra columns go through
-untouched and an empty table gives an empty result.
+untouched, one named like the result as ``name_before``, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -137,27 +137,45 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def _renamed(df: DataFrame, taken: str) -> DataFrame:
+    """``df``, its own column of the name ``taken`` under a free one: ``taken_before``."""
+    names = list(df.columns)
+    if taken in names:
+        free = f"{taken}_before"
+        while free in names:
+            free += "_before"
+        names[names.index(taken)] = free
+    return df.toDF(*names)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with plain names, as mapInArrow takes no names with dots."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
 def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", model: str = MODEL) -> DataFrame:
     """``docs`` with ``ids_col``, the piece ids of each whole text."""
     vocabulary = Vocabulary.load(model)
-    kept = [c for c in docs.columns if c != ids_col]
+    docs = _renamed(docs, ids_col)
+    kept, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
         root = vocabulary.trie()
         for batch in batches:
-            texts = batch.column(text_col).to_pylist()
+            texts = batch.column(at).to_pylist()
             for a, b in _blocks(texts):
                 ids = pa.array(encoded_block(texts[a:b], vocabulary, root), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in kept), ids], [*kept, ids_col])
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), ids], [*kept, ids_col])
 
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
-    return docs.select(*kept).mapInArrow(run, schema)
+    return _numbered(docs).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded", model: str = MODEL) -> DataFrame:
     """``encoded`` with ``text_col``, the text that its ids stand for."""
     vocabulary = Vocabulary.load(model)
-    kept = [c for c in encoded.columns if c != text_col]
+    encoded = _renamed(encoded, text_col)
+    kept, at = encoded.columns, encoded.columns.index(ids_col)
 
     def run(batches):
         size = 1 + max(*(i for _, _, i in vocabulary.pieces), *vocabulary.byte_ids)
@@ -167,12 +185,12 @@ def decode(encoded: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded
         for b, i in enumerate(vocabulary.byte_ids):
             spelled[i] = bytes([b])
         for batch in batches:
-            ids = batch.column(ids_col)
+            ids = batch.column(at)
             texts = []
             for k in range(batch.num_rows):
                 row = ids[k].values
                 texts.append(None if row is None else b"".join([spelled[i] for i in row.to_numpy()])[1:].decode())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, text_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, text_col])
 
     schema = T.StructType([*(encoded.schema[c] for c in kept), T.StructField(text_col, T.StringType())])
-    return encoded.select(*kept).mapInArrow(run, schema)
+    return _numbered(encoded).mapInArrow(run, schema)
