@@ -4,8 +4,8 @@ Python workers do nothing but tokenise: each text gives token ids and byte ends
 text (one tokenizer is given the blank, the other adds it). From there on, columns do the work. ``array_intersect`` of
 the two end arrays gives the ends that both share, which cut the tokens into groups. Ends of A, ends of B and shared
 ends are tagged with their positions (``transform``), sorted together as integers, and at each shared end its place in
-the sorted array tells how many tokens of A and of B stand before it. ``sequence`` spans each group's tokens, and all
-pairs of a group are its links, ids packed into a long, counted by sorting them.
+the sorted array tells how many tokens of A and of B stand before it. ``sequence`` spans the tokens of groups of more
+than one token on a side, and all pairs of a group are its links, two ids packed into a long.
 
 ``tokens`` keeps every row, whole texts, repeated rows one by one, null ids as they are. A text that is null or empty,
 or that the tokens of either side do not spell byte by byte after a blank, has no tokens: empty arrays, no group, no
@@ -110,84 +110,87 @@ def tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", b
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, shape)
 
 
-_AT = (1 << 30) - 1
+_AT, _LOW = (1 << 30) - 1, (1 << 32) - 1  # the position of a tagged end; the lower half of a long
+_ONE = (1 << 32) + 1  # one token of either side
 
 
 def _tagged(ends: Column, tag: int) -> Column:
     return F.transform(ends, lambda e, k: F.shiftleft(e.cast("long"), 32).bitwiseOR(F.lit(tag << 30)).bitwiseOR(k.cast("long")))
 
 
-def _item(array: Column, k: Column) -> Column:
-    return F.coalesce(F.get(array, k), F.lit(0))
+def _a(place: Column) -> Column:
+    return F.shiftright(place, 32).cast("int")
+
+
+def _b(place: Column) -> Column:
+    return place.bitwiseAND(F.lit(_LOW)).cast("int")
 
 
 def grouped(found: DataFrame) -> DataFrame:
-    """``tokens`` with ``groups``: (a0, a1, b0, b1), tokens a0 .. a1 of A and b0 .. b1 of B, for each group in order."""
+    """``tokens`` with ``starts`` and ``ends`` of the groups in order.
+
+    Both are places between tokens: how many tokens of A (upper half of the long) and of B (lower half) stand before.
+    """
     shared = found.withColumn("shared", F.array_intersect("a_ends", "b_ends"))
     order = F.sort_array(F.concat(_tagged(F.col("a_ends"), 0), _tagged(F.col("b_ends"), 1), _tagged(F.col("shared"), 2)))
-    ordered = shared.withColumn("ordered", order)
-
-    def cut(x: Column, k: Column) -> Column:
-        """Before the shared end in place k stand k entries: tokens of A, tokens of B (the last just before it), shared ends."""
-        n_b = _item(F.col("ordered"), k - 1).bitwiseAND(F.lit(_AT)) + 1
-        n_a = k - x.bitwiseAND(F.lit(_AT)) - n_b
-        return F.when(x.bitwiseAND(F.lit(2 << 30)) != 0, F.shiftleft(n_a, 32).bitwiseOR(n_b))
+    ordered = shared.select("id", "a_ids", "b_ids", order.alias("ordered"))
+    shared_at = F.transform("ordered", lambda x, k: F.when(x.bitwiseAND(F.lit(2 << 30)) != 0, k))
+    cut = ordered.withColumn("shared_at", F.array_compact(shared_at))
 
-    cuts = ordered.withColumn("cuts", F.array_compact(F.transform("ordered", cut)))
+    def end(k: Column, g: Column) -> Column:
+        """Before the g-th shared end, in place k, stand g shared ends and the tokens that it ends, the last of B just before it."""
+        n_b = F.get(F.col("ordered"), k - 1).bitwiseAND(F.lit(_AT)) + 1
+        return F.shiftleft((k - g).cast("long"), 32) - n_b * F.lit(_LOW)  # n_b leaves the upper half and comes into the lower
 
-    def span(c: Column, k: Column) -> Column:
-        last = F.when(k > 0, _item(F.col("cuts"), k - 1)).otherwise(F.lit(0).cast("long"))
-        half = lambda x, shift: (F.shiftright(x, 32) if shift else x.bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
-        return F.struct(half(last, True).alias("a0"), half(c, True).alias("a1"), half(last, False).alias("b0"), half(c, False).alias("b1"))
+    ends = cut.select("id", "a_ids", "b_ids", F.transform("shared_at", end).alias("ends"))
+    return ends.withColumn("starts", F.concat(F.array(F.lit(0).cast("long")), F.slice("ends", 1, F.greatest(F.size("ends") - 1, F.lit(0)))))
 
-    return cuts.select("id", *COLUMNS, F.transform("cuts", span).alias("groups"))
 
-
-def groups_text(groups: Column, a_ids: Column, b_ids: Column) -> Column:
+def groups_text(a_ids: Column, b_ids: Column) -> Column:
     """``a1,a2|b1;a3|b2,b3``: the ids of each group, A's before B's."""
 
-    def side(ids: Column, first: Column, end: Column) -> Column:
-        several = F.array_join(F.transform(F.sequence(first, end - 1), lambda k: _item(ids, k).cast("string")), ",")
-        return F.when(end - first == 1, _item(ids, first).cast("string")).otherwise(several)
-
-    return F.array_join(F.transform(groups, lambda g: F.concat(side(a_ids, g["a0"], g["a1"]), F.lit("|"), side(b_ids, g["b0"], g["b1"]))), ";")
+    def several(ids: Column, first: Column, end: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(first, end - 1), lambda k: F.get(ids, k).cast("string")), ",")
 
+    def text(p: Column, q: Column) -> Column:
+        one = F.concat(F.get(a_ids, _a(p)).cast("string"), F.lit("|"), F.get(b_ids, _b(p)).cast("string"))
+        return F.when(q - p == _ONE, one).otherwise(F.concat(several(a_ids, _a(p), _a(q)), F.lit("|"), several(b_ids, _b(p), _b(q))))
 
-def packed_links(groups: Column, a_ids: Column, b_ids: Column) -> Column:
-    """All links as sorted longs, the id of A in the upper half."""
-    link = lambda i, j: F.shiftleft(_item(a_ids, i).cast("long"), 32).bitwiseOR(_item(b_ids, j).cast("long"))
+    return F.array_join(F.zip_with("starts", "ends", text), ";")
 
-    def of(g: Column) -> Column:
-        b = F.sequence(g["b0"], g["b1"] - 1)
-        several = F.flatten(F.transform(F.sequence(g["a0"], g["a1"] - 1), lambda i: F.transform(b, lambda j: link(i, j))))
-        return F.when((g["a1"] - g["a0"] == 1) & (g["b1"] - g["b0"] == 1), F.array(link(g["a0"], g["b0"]))).otherwise(several)
 
-    return F.sort_array(F.flatten(F.transform(groups, of)))
+def packed(a: Column, b: Column) -> Column:
+    """Two ids as one long, that of A in the upper half."""
+    return F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long"))
 
 
 def linked(found: DataFrame) -> DataFrame:
-    """``grouped`` with ``n_links`` and ``links``: (pair, n), each distinct id pair and how many links it has in the row."""
-    packed = found.withColumn("packed", packed_links(F.col("groups"), F.col("a_ids"), F.col("b_ids")))
-    last = F.transform("packed", lambda p, k: F.when(~p.eqNullSafe(F.get(F.col("packed"), k + 1)), k))
-    runs = packed.withColumn("runs", F.array_compact(last))
-    counted = F.transform("runs", lambda k, r: F.struct(_item(F.col("packed"), k).alias("pair"), (k - F.coalesce(F.get(F.col("runs"), r - 1), F.lit(-1))).alias("n")))
-    n_links = F.aggregate("groups", F.lit(0).cast("long"), lambda n, g: n + (g["a1"] - g["a0"]).cast("long") * (g["b1"] - g["b0"]))
-    return runs.select("id", *COLUMNS, "groups", n_links.alias("n_links"), counted.alias("links"))
+    """``grouped`` with ``links``, all of them, as packed ids."""
+    a_ids, b_ids = F.col("a_ids"), F.col("b_ids")
+    single = F.zip_with("starts", "ends", lambda p, q: F.when(q - p == _ONE, packed(F.get(a_ids, _a(p)), F.get(b_ids, _b(p)))))
+    wide = F.array_compact(F.zip_with("starts", "ends", lambda p, q: F.when(q - p != _ONE, F.struct(p.alias("p"), q.alias("q")))))
+
+    def pairs(g: Column) -> Column:
+        b = F.sequence(_b(g["p"]), _b(g["q"]) - 1)
+        return F.flatten(F.transform(F.sequence(_a(g["p"]), _a(g["q"]) - 1), lambda i: F.transform(b, lambda j: packed(F.get(a_ids, i), F.get(b_ids, j)))))
+
+    return found.withColumn("links", F.array_compact(F.concat(single, F.flatten(F.transform(wide, pairs)))))
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
     """(pair, count, best) for ``links`` of ``rows``: rows that hold the pair, and the highest count of its id of A."""
-    counts = rows.select(F.explode("links.pair").alias("pair")).groupBy("pair").agg(F.count("*").alias("count"))
+    counts = rows.select(F.explode(F.array_distinct("links")).alias("pair")).groupBy("pair").agg(F.count("*").alias("count"))
     return counts.select("pair", "count", F.max("count").over(W.partitionBy(F.shiftright("pair", 32))).alias("best"))
 
 
 def with_counts(rows: DataFrame) -> DataFrame:
     """``rows`` (with a unique column ``row``, and ``links``) with ``n_best`` and ``count_sum`` in place of ``links``."""
     counts = stored(pair_counts(rows), "pairs")
-    each = rows.select("row", F.explode("links").alias("link")).select("row", "link.pair", "link.n")
+    each = rows.select("row", F.explode("links").alias("pair"), F.lit(1).cast("long").alias("n"))
     if counts.count() <= FEW_PAIRS:
         each = each.join(F.broadcast(counts), "pair")
     else:  # a pair of frequent words stands in nearly every row
+        each = each.groupBy("row", "pair").agg(F.sum("n").alias("n"))
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         each = each.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(counts.withColumn("salt", salts), ["salt", "pair"])
     best = F.sum(F.when(F.col("count") == F.col("best"), F.col("n")).otherwise(0))
@@ -204,8 +207,8 @@ def aligned(docs: DataFrame, *, digest: Callable[[Column], Column] = lambda text
     id of A. count_sum: over all links, how many rows hold their pair.
     """
     found = linked(grouped(tokens(docs, **options)))
-    text = groups_text(F.col("groups"), F.col("a_ids"), F.col("b_ids"))
-    sizes = [F.size(c).cast("long").alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("groups", "n_groups"))]
-    rows = found.select("id", *sizes, "n_links", F.when(F.size("groups") > 0, digest(text)).otherwise("").alias("groups"), "links")
+    text = digest(groups_text(F.col("a_ids"), F.col("b_ids")))
+    sizes = [F.size(c).cast("long").alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("ends", "n_groups"), ("links", "n_links"))]
+    rows = found.select("id", *sizes, F.when(F.size("ends") > 0, text).otherwise("").alias("groups"), "links")
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "aligned")
     return with_counts(rows).drop("row")
