@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annolake.operators.curation import hashed
+from annolake.operators.review import padded
 
 # Fixed values of the annotation format.
 COMMON, PENDING = "common", "pending"
@@ -64,9 +64,7 @@ def class_of_folder(path: Column) -> Column:
 def crop_names(objects: DataFrame, image: str, position: str, value: str, prefix: str) -> DataFrame:
     """Objects of a value of 0 or more with the ``path`` of their picture, numbered within the image."""
     kept = objects.where(F.col(value) >= 0)
-    k = F.row_number().over(W.partitionBy(image).orderBy(position)).cast("string")
-    number = F.lpad(k, 4, "0")
-    number = F.when(F.length(k) > 4, k).otherwise(number)
+    number = padded(F.row_number().over(W.partitionBy(image).orderBy(position)))
     return kept.withColumn("path", F.concat(F.col(value).cast("string"), F.lit("/" + prefix), F.col(image).cast("string"), F.lit("_"), number, F.lit(".jpg")))
 
 
@@ -106,17 +104,6 @@ def halves(width: Column, height: Column) -> Column:
     return F.when(long & (width >= height), wide).when(long, tall).otherwise(F.array(box(0, 0, width, height)))
 
 
-def others_drawn(wanted: DataFrame, pool: DataFrame, without: str, key: str, n: int, seed: int = 0) -> DataFrame:
-    """(without, key): for each row of ``wanted``, the first ``n`` of ``pool`` other than itself, in hashed order.
-
-    Leaving out one row shifts the order by one, so n + 1 candidates serve all rows; the pool is never paired with itself.
-    """
-    first = pool.select(key, hashed(seed, key).alias("_h")).orderBy("_h", key).limit(n + 1)
-    pairs = wanted.select(without).join(F.broadcast(first), F.col(without) != F.col(key))
-    rank = F.row_number().over(W.partitionBy(without).orderBy("_h", key))
-    return pairs.withColumn("_r", rank).where(F.col("_r") <= n).select(without, key)
-
-
 def crop_source(file: Column) -> Column:
     """The image that a crop ``name_p3.jpg`` was cut from; null for other names."""
     return F.nullif(F.regexp_extract(file, r"^(.*)_p\d+\.jpg$", 1), F.lit(""))

@@ -138,19 +138,34 @@ def sample_class(boxes: DataFrame, target: int, reference: int, least: float) ->
     return sizes.join(matched, "image_id", "left").select("image_id", kind.alias("kind"))
 
 
-def review_set(scored: DataFrame, ratio: float, key: str = "image_id") -> DataFrame:
+RANGES = 1024  # ranges of scores to each power of two
+
+
+def review_set(scored: DataFrame, ratio: float, key: str = "image_id", least: float | None = None) -> DataFrame:
     """``scored`` with ``route``: l0 without doubt, review for the top ``ratio`` of doubtful rows, l1 for the others.
 
-    The cut is found from counts of distinct scores, so no window holds all rows; only rows of the score at which the
-    cut falls are put in order, by key; rows of other scores are dealt over parts, where their order does not count.
+    With ``least``, review is for scores of that much and more, whatever their number. Otherwise the cut is found from
+    counts over ranges of scores (RANGES to each power of two), then from the distinct scores of the one range in which
+    it falls, and only rows of the score at the cut are put in order, by key: no window holds all rows or all scores.
     """
-    counts = scored.where("score > 0").groupBy("score").agg(F.count("*").alias("n"))
-    above = W.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)
-    everything = W.partitionBy(F.lit(1))
-    ranked = counts.select("score", "n", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"), F.floor(F.sum("n").over(everything) * ratio).alias("want"))
-    tied = scored.join(ranked, "score", "left")
-    cut = (F.col("before") < F.col("want")) & (F.col("before") + F.col("n") > F.col("want"))
+    doubtful = F.col("score") > 0
+    if least is not None:
+        return scored.withColumn("route", F.when(~doubtful, "l0").when(F.col("score") >= least, "review").otherwise("l1"))
+    span = F.when(doubtful, F.floor(F.log2("score") * RANGES))
+    rows = scored.withColumn("_span", span)
+    above = W.orderBy(F.desc("_span")).rowsBetween(W.unboundedPreceding, -1)
+    spans = rows.where("_span is not null").groupBy("_span").agg(F.count("*").alias("_n"))
+    want = F.floor(F.sum("_n").over(W.partitionBy(F.lit(1))) * ratio)
+    spans = spans.select("_span", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"), "_n", want.alias("_want"))
+    edge = spans.where("_before < _want and _before + _n > _want").select("_span", "_before", "_want")
+    scores = rows.join(edge, "_span").groupBy("_span", "score").agg(F.count("*").alias("_n"), F.first("_before").alias("_start"), F.first("_want").alias("_want"))
+    higher = W.partitionBy("_span").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)
+    scores = scores.select("score", (F.col("_start") + F.coalesce(F.sum("_n").over(higher), F.lit(0))).alias("_first"), F.col("_n").alias("_same"), F.col("_want").alias("_most"))
+    placed = rows.join(spans.select("_span", "_before", "_want"), "_span", "left").join(scores, "score", "left")
+    # rows of other scores are dealt over parts, where their order does not count
+    cut = (F.col("_first") < F.col("_most")) & (F.col("_first") + F.col("_same") > F.col("_most"))
     part = F.when(cut, -1).otherwise(F.pmod(F.xxhash64(key), F.lit(4096)))
     nth = F.row_number().over(W.partitionBy("score", part).orderBy(key))
-    route = F.when(F.col("score") <= 0, "l0").when(F.col("before") >= F.col("want"), "l1").when(F.col("before") + nth <= F.col("want"), "review").otherwise("l1")
-    return tied.withColumn("route", route).select(*scored.columns, "route")
+    inside = F.when(F.col("_first").isNull(), F.col("_before") < F.col("_want")).when(cut, F.col("_first") + nth <= F.col("_most")).otherwise(F.col("_first") < F.col("_most"))
+    route = F.when(~doubtful, "l0").when(inside, "review").otherwise("l1")
+    return placed.withColumn("route", route).select(*scored.columns, "route")

@@ -57,10 +57,16 @@ def mean_boxes(rows: DataFrame, by: list[str], weight: str, least: float = 1.0)
     return rows.groupBy(*by).agg(total.alias("weights"), *means).where(F.col("weights") >= least).withColumn("conf", F.least("weights", F.lit(1.0)))
 
 
+def padded(number: Column, digits: int = 4) -> Column:
+    """A number with leading zeros, whole where it has more digits."""
+    text = number.cast("string")
+    return F.when(F.length(text) >= digits, text).otherwise(F.lpad(text, digits, "0"))
+
+
 def numbered(rows: DataFrame, by: str, order: str) -> DataFrame:
     """Rows with ``part`` (_p0, _p1, ...) and ``serial`` (_0001, ...) by ``order`` within ``by``."""
     k = F.row_number().over(W.partitionBy(by).orderBy(order))
-    return rows.withColumn("part", F.concat(F.lit("_p"), (k - 1).cast("string"))).withColumn("serial", F.concat(F.lit("_"), F.lpad(k.cast("string"), 4, "0")))
+    return rows.withColumn("part", F.concat(F.lit("_p"), (k - 1).cast("string"))).withColumn("serial", F.concat(F.lit("_"), padded(k)))
 
 
 def worst_first(results: DataFrame, truth: str, top: str, conf: str, file: str, sure: float, most: int) -> DataFrame:

@@ -1,34 +1,38 @@
 """Tracks over frames: assignment of ids, pose gating, timelines and presence.
 
-A video is one state: its frames depend on all earlier ones, so trackers run once per video, frame after frame, and
-videos are spread over the cluster. The box tracker's step is shared by the batch and the streaming form; the others
-run in batches only. Everything that does not depend on order of assignment is relational.
+A video is one state: its frames depend on all earlier ones, so trackers go through each video once, frame after frame.
+Frames are shuffled by video and sorted by Spark; a task streams through them in Arrow batches and holds the state of
+one video and the rows of one frame, however long a video is. The step functions are shared by the batch and the
+streaming forms. Everything that does not depend on order of assignment is relational.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def overlap(a: tuple, b: tuple) -> float:
-    """IoU of two (x, y, width, height)."""
-    w = min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0])
-    h = min(a[1] + a[3], b[1] + b[3]) - max(a[1], b[1])
-    shared = max(w, 0.0) * max(h, 0.0)
-    union = a[2] * a[3] + b[2] * b[3] - shared
-    return shared / union if union > 0 else 0.0
+def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """IoU of each (x, y, width, height) of ``a`` with each of ``b``."""
+    low = np.maximum(a[:, None, :2], b[None, :, :2])
+    high = np.minimum(a[:, None, :2] + a[:, None, 2:], b[None, :, :2] + b[None, :, 2:])
+    shared = np.maximum(high - low, 0.0).prod(axis=2)
+    union = a[:, None, 2:].prod(axis=2) + b[None, :, 2:].prod(axis=2) - shared
+    return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
 
 
-def one_to_one(scored: list[tuple[float, int, int]]) -> dict[int, int]:
-    """{left: right} by falling score; equal scores: smaller left, then smaller right."""
-    taken, out = set(), {}
-    for _, i, j in sorted(scored, key=lambda s: (-s[0], s[1], s[2])):
+def one_to_one(scores: np.ndarray, allowed: np.ndarray) -> dict[int, int]:
+    """{left: right} of the ``allowed`` pairs by falling score; equal scores: smaller left, then smaller right."""
+    left, right = np.nonzero(allowed)
+    out, taken = {}, set()
+    for k in np.lexsort((right, left, -scores[left, right])).tolist():
+        i, j = int(left[k]), int(right[k])
         if i not in out and j not in taken:
             out[i] = j
             taken.add(j)
@@ -47,8 +51,11 @@ class BoxTracks:
 
     def step(self, boxes: list[tuple]) -> tuple[list[int], list[int]]:
         """(an id or 0 for each box, ids that ended) for the next frame; class plays no part."""
-        scored = [(v, i, j) for i, b in enumerate(boxes) for j, t in enumerate(self.tracks) if (v := overlap(b, t[1])) >= self.least]
-        match, ids, ended = one_to_one(scored), [], []
+        match = {}
+        if boxes and self.tracks:
+            scores = overlaps(np.array(boxes, float), np.array([t[1] for t in self.tracks], float))
+            match = one_to_one(scores, scores >= self.least)
+        ids, ended = [], []
         hit = set(match.values())
         for i, b in enumerate(boxes):
             if i in match:
@@ -81,35 +88,52 @@ class VectorTracks:
     ttl_s: float = 600.0
     blend: float = 0.5
     next_id: int = 1
-    tracks: dict[int, list] = field(default_factory=dict)  # id: [vector, (x, y), ts_ms]
+    tracks: dict[int, tuple] = field(default_factory=dict)  # id: (unit vector, (x, y), ts_ms)
 
-    def step(self, ts_ms: int, found: list[tuple[list[float], tuple[float, float]]]) -> tuple[list[int], list[int]]:
-        ended = [k for k, t in self.tracks.items() if ts_ms - t[2] > self.ttl_s * 1000]
-        for k in ended:
+    def gone_at(self, track_id: int) -> int:
+        """The first millisecond at which a track that is not seen again no longer lives."""
+        return int(self.tracks[track_id][2] + self.ttl_s * 1000) + 1
+
+    def expired(self, ts_ms: int) -> list[tuple[int, int]]:
+        """(id, when) of the tracks that no longer live at ``ts_ms``, in order; they are forgotten, their ids never come back."""
+        out = sorted(((k, at) for k in self.tracks if (at := self.gone_at(k)) <= ts_ms), key=lambda x: (x[1], x[0]))
+        for k, _ in out:
             del self.tracks[k]
+        return out
+
+    def step(self, ts_ms: int, found: list[tuple]) -> tuple[list[int], list[tuple[int, int]]]:
+        """(an id or 0 for each (vector, centre), tracks that ended) for the next frame; a vector that is null or without length has no id."""
+        ended = self.expired(ts_ms)
         unit = []
         for v, _ in found:
-            n = math.sqrt(sum(x * x for x in v)) if v else 0.0
-            unit.append([x / n for x in v] if n > 0 else None)
-        scored = []
-        for i, (u, (_, at)) in enumerate(zip(unit, found, strict=True)):
-            for k, (w, place, _) in self.tracks.items():
-                if u is not None and math.dist(at, place) <= self.radius and (s := sum(a * b for a, b in zip(u, w, strict=True))) >= self.least:
-                    scored.append((s, i, k))
-        match, ids = one_to_one(scored), []
+            v = np.asarray([] if v is None else v, float)
+            n = float(np.sqrt(v @ v))
+            unit.append(v / n if n > 0 else None)
+        match, known = {}, list(self.tracks)
+        seen = [i for i, u in enumerate(unit) if u is not None]
+        if seen and known:
+            scores, near = np.zeros((len(found), len(known))), np.zeros((len(found), len(known)), bool)
+            places = np.array([self.tracks[k][1] for k in known], float)
+            at = np.array([found[i][1] for i in seen], float)
+            far = np.hypot(at[:, None, 0] - places[None, :, 0], at[:, None, 1] - places[None, :, 1])
+            # to nine decimals, so that equal vectors tie whatever the order of summation
+            scores[seen] = np.round(np.array([unit[i] for i in seen]) @ np.array([self.tracks[k][0] for k in known]).T, 9)
+            near[seen] = (far <= self.radius) & (scores[seen] >= self.least)
+            match = one_to_one(scores, near)
+        ids = []
         for i, (u, (_, at)) in enumerate(zip(unit, found, strict=True)):
             if u is None:
                 ids.append(0)
-            elif i in match:
-                t = self.tracks[match[i]]
-                v = [self.blend * a + (1 - self.blend) * b for a, b in zip(u, t[0], strict=True)]
-                n = math.sqrt(sum(x * x for x in v))
-                self.tracks[match[i]] = [[x / n for x in v] if n > 0 else v, at, ts_ms]
-                ids.append(match[i])
+                continue
+            k = known[match[i]] if i in match else self.next_id
+            if i in match:
+                v = self.blend * u + (1 - self.blend) * np.asarray(self.tracks[k][0])
+                n = float(np.sqrt(v @ v))
+                u = v / n if n > 0 else v
             else:
-                self.tracks[self.next_id] = [u, at, ts_ms]
-                ids.append(self.next_id)
                 self.next_id += 1
+            self.tracks[k] = (u, tuple(at), ts_ms)
+            ids.append(k)
         return ids, ended
 
 
@@ -143,53 +167,114 @@ class PoseGate:
 TRACKED = "video long, frame_idx long, ts_ms long, det_idx long, track_id long, ended boolean"
 
 
-def _tracked(rows: list) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["video", "frame_idx", "ts_ms", "det_idx", "track_id", "ended"])
+def in_frames(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, int, int, pd.DataFrame]]:
+    """(video, frame_idx, ts_ms, rows) of each frame of sorted batches; a frame may begin in one batch and end in another."""
+    rest = None
+    for rows in batches:
+        rows = rows if rest is None else pd.concat([rest, rows], ignore_index=True)
+        keys = rows[["video", "frame_idx", "ts_ms"]].to_numpy()
+        edges = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1] if len(rows) else np.zeros(1, int)
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield (*(int(x) for x in keys[a]), rows.iloc[a:b])
+        rest = rows.iloc[edges[-1] :]
+    if rest is not None and len(rest):
+        yield (*(int(x) for x in rest[["video", "frame_idx", "ts_ms"]].iloc[0]), rest)
+
+
+def _in_order(frames: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[tuple]]) -> DataFrame:
+    """TRACKED rows that ``run`` makes of the frames of each partition, whole videos in order."""
+
+    def batched(batches):
+        out = []
+        for row in run(batches):
+            out.append(row)
+            if len(out) == 10_000:
+                yield pd.DataFrame(out, columns=_FIELDS).astype(_KINDS)
+                out = []
+        yield pd.DataFrame(out, columns=_FIELDS).astype(_KINDS)
+
+    return frames.repartition("video").sortWithinPartitions("video", "ts_ms", "frame_idx", "det_idx").mapInPandas(batched, TRACKED)
+
+
+_FIELDS = ["video", "frame_idx", "ts_ms", "det_idx", "track_id", "ended"]
+_KINDS = {"video": "int64", "frame_idx": "Int64", "ts_ms": "int64", "det_idx": "Int64", "track_id": "int64", "ended": bool}
+
 
+def boxes_of(rows: pd.DataFrame) -> tuple[list[int], list[tuple]]:
+    rows = rows[rows["det_idx"].notna()]
+    return rows["det_idx"].astype("int64").tolist(), list(rows[["x", "y", "width", "height"]].itertuples(index=False, name=None))
 
-def box_frames(key: tuple, frames: pd.DataFrame, state: BoxTracks) -> pd.DataFrame:
-    """Rows of TRACKED for frames in order; a frame without detections has one row with a null det_idx and ages tracks."""
-    rows = []
-    for (frame, ts), part in frames.sort_values(["frame_idx", "det_idx"]).groupby(["frame_idx", "ts_ms"], sort=True):
-        part = part[part["det_idx"].notna()]
-        boxes = list(part[["x", "y", "width", "height"]].itertuples(index=False, name=None))
-        ids, ended = state.step(boxes)
-        rows += [(key[0], frame, ts, int(d), i, False) for d, i in zip(part["det_idx"], ids, strict=True)]
-        rows += [(key[0], frame, ts, None, i, True) for i in ended]
-    return _tracked(rows).astype({"det_idx": "Int64"})
+
+def box_rows(video: int, frame: int, ts: int, dets: list[int], boxes: list[tuple], state: BoxTracks) -> list[tuple]:
+    """Rows of TRACKED for the next frame; a frame without detections ages the tracks."""
+    ids, ended = state.step(boxes)
+    return [(video, frame, ts, d, i, False) for d, i in zip(dets, ids, strict=True)] + [(video, frame, ts, None, i, True) for i in ended]
 
 
 def track_boxes(frames: DataFrame, **options) -> DataFrame:
-    """TRACKED rows for (video, frame_idx, ts_ms, det_idx, x, y, width, height): one for each detection and each end."""
-    return frames.groupBy("video").applyInPandas(lambda key, rows: box_frames(key, rows, BoxTracks(**options)), TRACKED)
+    """TRACKED rows for (video, frame_idx, ts_ms, det_idx, x, y, width, height): one for each detection and each end.
+
+    A frame without detections has one row with a null det_idx.
+    """
+
+    def run(batches):
+        last, state = None, None
+        for video, frame, ts, rows in in_frames(batches):
+            if video != last:
+                last, state = video, BoxTracks(**options)
+            yield from box_rows(video, frame, ts, *boxes_of(rows), state)
+
+    return _in_order(frames.select("video", "frame_idx", "ts_ms", "det_idx", "x", "y", "width", "height"), run)
+
+
+def vector_rows(video: int, frame: int, ts: int, dets: list[int], found: list[tuple], state: VectorTracks) -> list[tuple]:
+    ids, ended = state.step(ts, found)
+    return ended_rows(video, ended) + [(video, frame, ts, d, i, False) for d, i in zip(dets, ids, strict=True)]
 
 
-def track_vectors(frames: DataFrame, **options) -> DataFrame:
-    """TRACKED rows by appearance for (video, frame_idx, ts_ms, det_idx, x, y, width, height, embedding)."""
+def ended_rows(video: int, ended: list[tuple[int, int]]) -> list[tuple]:
+    """Rows of TRACKED: a track ends at the first millisecond beyond its time to live, which is no frame."""
+    return [(video, None, at, None, k, True) for k, at in ended]
 
-    def run(key, rows):
-        state, out = VectorTracks(**options), []
-        for (frame, ts), part in rows.sort_values(["frame_idx", "det_idx"]).groupby(["frame_idx", "ts_ms"], sort=True):
-            part = part[part["det_idx"].notna()]
-            found = [([] if e is None else list(e), (x + w / 2, y + h / 2)) for e, x, y, w, h in part[["embedding", "x", "y", "width", "height"]].itertuples(index=False)]
-            ids, ended = state.step(ts, found)
-            out += [(key[0], frame, ts, int(d), i, False) for d, i in zip(part["det_idx"], ids, strict=True)]
-            out += [(key[0], frame, ts, None, i, True) for i in ended]
-        return _tracked(out).astype({"det_idx": "Int64"})
 
-    return frames.groupBy("video").applyInPandas(run, TRACKED)
+def track_vectors(frames: DataFrame, until_ms: int | None = None, **options) -> DataFrame:
+    """TRACKED rows by appearance for (video, frame_idx, ts_ms, det_idx, x, y, width, height, embedding).
+
+    Tracks end as far as the frames of their own video show, with ``until_ms`` as far as that time. A row for an end
+    has no frame; its ts_ms is when the track's time to live was over.
+    """
+
+    def run(batches):
+        last, state = None, None
+        for video, frame, ts, rows in in_frames(batches):
+            if video != last:
+                if last is not None and until_ms is not None:
+                    yield from ended_rows(last, state.expired(until_ms))
+                last, state = video, VectorTracks(**options)
+            rows = rows[rows["det_idx"].notna()]
+            centres = zip(rows["x"] + rows["width"] / 2, rows["y"] + rows["height"] / 2, strict=True)
+            yield from vector_rows(video, frame, ts, rows["det_idx"].astype("int64").tolist(), list(zip(rows["embedding"], centres, strict=True)), state)
+        if last is not None and until_ms is not None:
+            yield from ended_rows(last, state.expired(until_ms))
+
+    return _in_order(frames.select("video", "frame_idx", "ts_ms", "det_idx", "x", "y", "width", "height", "embedding"), run)
 
 
 def pose_due(observed: DataFrame, **options) -> DataFrame:
     """(video, track_id, frame_idx, due) for (video, track_id, frame_idx, cls, aspect), one state for each track."""
 
-    def run(key, rows):
-        gate = PoseGate(**options)
-        rows = rows.sort_values("frame_idx", kind="stable")
-        due = [gate.step(c, f, a) for c, f, a in rows[["cls", "frame_idx", "aspect"]].itertuples(index=False)]
-        return pd.DataFrame({"video": key[0], "track_id": key[1], "frame_idx": rows["frame_idx"], "due": due})
+    def run(batches):
+        last, gate = None, None
+        for rows in batches:
+            due = []
+            for video, track, cls, frame, aspect in rows[["video", "track_id", "cls", "frame_idx", "aspect"]].itertuples(index=False, name=None):
+                if (video, track) != last:
+                    last, gate = (video, track), PoseGate(**options)
+                due.append(gate.step(cls, frame, aspect))
+            yield rows[["video", "track_id", "frame_idx"]].assign(due=np.array(due, bool))
 
-    return observed.groupBy("video", "track_id").applyInPandas(run, "video long, track_id long, frame_idx long, due boolean")
+    rows = observed.select("video", "track_id", "frame_idx", "cls", "aspect").repartition("video", "track_id")
+    return rows.sortWithinPartitions("video", "track_id", "frame_idx").mapInPandas(run, "video long, track_id long, frame_idx long, due boolean")
 
 
 def timeline(tracked: DataFrame, order: str) -> DataFrame:
@@ -203,6 +288,21 @@ def timeline(tracked: DataFrame, order: str) -> DataFrame:
     )
 
 
+def histories(tracked: DataFrame, **gate) -> DataFrame:
+    """(video, track_id, cls, n_frames, n_objects, first_ms, last_ms, n_poses, last_pose, ended) of each track.
+
+    ``tracked``: rows of TRACKED with cls, aspect and pose, the pose that a run would give. A pose is run when the gate
+    says that it is due; otherwise the last one holds, null if that run gave none.
+    """
+    seen = tracked.where("track_id <> 0 and not ended")
+    due = pose_due(seen, **gate)
+    rows = carried(seen.join(due, ["video", "track_id", "frame_idx"]), ["video", "track_id"], "frame_idx", "due", F.col("pose"), "held")
+    poses = rows.groupBy("video", "track_id").agg(F.count_if("due").alias("n_poses"), F.max_by("held", "frame_idx").alias("last_pose"))
+    ends = tracked.where("ended").select("video", "track_id", F.lit(True).alias("ended"))
+    out = timeline(seen, "det_idx").join(poses, ["video", "track_id"]).join(ends, ["video", "track_id"], "left")
+    return out.withColumn("ended", F.coalesce("ended", F.lit(False)))
+
+
 def per_frame(tracked: DataFrame) -> DataFrame:
     """(video, frame_idx, n_tracks, ids): tracks turned back into frames; ids joined in order."""
     ids = F.array_join(F.array_sort(F.collect_set("track_id")).cast("array<string>"), ",")

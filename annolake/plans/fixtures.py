@@ -40,7 +40,7 @@ sized as (
     (96 + (floor(l_quantity)::bigint * 5) % 160) / 1024.0::double w, (96 + (l_partkey * 11) % 160) / 1024.0::double h,
     ((l_suppkey * 31 + l_partkey * 17 + 7 * src) % 128) / 128.0::double conf
   from lines, (select unnest([0, 1, 2, 3]) src) where (l_partkey + 3 * src) % 5 <> 0),
-boxes as (
+boxes as materialized (
   select image_id, src, row_number() over (partition by image_id, src order by ln) - 1 idx, cls, x1, y1, x1 + w x2, y1 + h y2, conf from sized)"""
 
 IOU = """(case when (a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1)

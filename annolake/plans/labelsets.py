@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annolake.functions import geometry as geo
-from annolake.operators import labelsets
+from annolake.operators import labelsets, sampling
 from annolake.plans.curation import h32
 from annolake.plans.fixtures import BOXES, boxes, table
 from annolake.plans.query import Query
@@ -84,7 +84,17 @@ def half_pictures(spark, d):
 
 def others(spark, d):
     pool = table(spark, d, "supplier").select("s_suppkey")
-    return labelsets.others_drawn(table(spark, d, "part").select("p_partkey"), pool, "p_partkey", "s_suppkey", 3, seed=5)
+    return sampling.others_drawn(table(spark, d, "part").select("p_partkey"), pool, "p_partkey", "s_suppkey", 3, seed=5)
+
+
+def others_again(spark, d):
+    pool = table(spark, d, "supplier").select("s_suppkey")
+    return sampling.others_drawn(table(spark, d, "part").select("p_partkey"), pool, "p_partkey", "s_suppkey", 3, seed=6, replace=True)
+
+
+def drawn_pairs(spark, d):
+    e = table(spark, d, "embeddings")
+    return sampling.pairs_drawn(e.select("vec_id"), e, "vec_id", "vec_id", "label", seed=9).withColumnRenamed("vec_id", "idx")
 
 
 def name_rules(spark, d):
@@ -188,9 +198,35 @@ union all select p_partkey, case when w >= h then w // 2 - ow else 0 end, case w
     ),
     "others_drawn": Query(
         others,
-        f"""with s as (select s_suppkey, {h32(5, 's_suppkey')} h from supplier qualify row_number() over (order by h, s_suppkey) <= 4),
-r as (select p_partkey, s_suppkey, row_number() over (partition by p_partkey order by h, s_suppkey) k from part, s where s_suppkey <> p_partkey)
-select p_partkey, s_suppkey from r where k <= 3""",
+        f"""with recursive dir as (select s_suppkey, row_number() over (order by {h32(5, 's_suppkey')}, s_suppkey) - 1 r from supplier),
+w as (select p_partkey, d.r own, (select count(*) from dir) - (d.r is not null)::int m from part left join dir d on s_suppkey = p_partkey),
+walk as (
+  select p_partkey, own, m, least(3, m) k, 0::bigint j, []::bigint[] got from w
+  union all
+  select p_partkey, own, m, k, j + 1, list_append(got, case when list_contains(got, t) then m - k + j else t end)
+  from (select *, {h32(5, 'p_partkey', 'j')} % (m - k + j + 1) t from walk where j < k)),
+drawn as (select p_partkey, own, unnest(range(k)) draw, unnest(got) t from walk where j = k)
+select p_partkey, draw::int draw, s_suppkey from drawn join dir on r = t + coalesce((t >= own)::int, 0)""",
+    ),
+    "others_drawn_again": Query(
+        others_again,
+        f"""with dir as (select s_suppkey, row_number() over (order by {h32(6, 's_suppkey')}, s_suppkey) - 1 r from supplier),
+w as (select p_partkey, d.r own, (select count(*) from dir) - (d.r is not null)::int m, unnest([0, 1, 2]) j from part left join dir d on s_suppkey = p_partkey),
+drawn as (select p_partkey, own, j, {h32(6, 'p_partkey', 'j')} % m t from w where m > 0)
+select p_partkey, j draw, s_suppkey from drawn join dir on r = t + coalesce((t >= own)::int, 0)""",
+    ),
+    "drawn_pairs": Query(
+        drawn_pairs,
+        f"""with m as (select label, vec_id, row_number() over (partition by label order by {h32(9, 'vec_id')}, vec_id) - 1 r, count(*) over (partition by label) n from embeddings),
+g as (select label, n, row_number() over (order by {h32(9, 'label')}, label) - 1 place from (select distinct label, n from m)),
+c as (select count(*) groups from g),
+x as (select vec_id idx, {h32(9, 'vec_id', "'group'")} % groups at_a, {h32(9, 'vec_id', "'other'")} % greatest(groups - 1, 1) o,
+  {h32(9, 'vec_id', "'first'")} ha, {h32(9, 'vec_id', "'second'")} hb from embeddings, c),
+y as (select idx, at_a, ha, hb, case when idx % 2 = 0 then at_a else o + (o >= at_a)::int end at_b from x),
+z as (select idx, a.label la, b.label lb, ha % a.n ra, case when idx % 2 = 0 then hb % greatest(b.n - 1, 1) else hb % b.n end t, b.n - (idx % 2 = 0)::int has
+  from y join g a on a.place = at_a join g b on b.place = at_b)
+select idx, p.vec_id "first", q.vec_id "second", (idx % 2 = 0)::int alike from z join m p on p.label = la and p.r = ra
+join m q on q.label = lb and q.r = case when idx % 2 = 0 then t + (t >= ra)::int else t end where has > 0""",
     ),
     "name_rules": Query(
         name_rules,

@@ -64,6 +64,17 @@ def pose_gate(spark, d):
     return tracking.pose_due(seen)
 
 
+def track_histories(spark, d):
+    """The whole chain: frames with vectors to tracks by appearance, gated poses and a summary of each track."""
+    v = vectors(spark, d).select(F.col("vec_id").alias("track"), F.col("v").alias("embedding"))
+    rows = detections(spark, d).join(v, "track", "left")
+    rows = rows.withColumn("aspect", 0.3 + F.col("ts_ms") / 3600000 % 8 / 16).withColumn("pose", F.when(F.col("event_id") % 2 == 0, F.col("conf")))
+    until = rows.agg(F.max("ts_ms")).first()[0]
+    tracked = tracking.track_vectors(rows, until_ms=until, ttl_s=36 * 3600.0, least=0.3)
+    seen = tracked.join(rows.select("video", "frame_idx", "det_idx", "cls", "aspect", "pose"), ["video", "frame_idx", "det_idx"], "left")
+    return tracking.histories(seen, key_every=3)
+
+
 def track_summary(spark, d):
     return tracked(spark, d).groupBy("video").agg(F.count_distinct("track_id").alias("n_tracks"), F.count("*").alias("n_objects"), (F.max("ts_ms") - F.min("ts_ms")).alias("duration_ms"))
 
@@ -131,7 +142,22 @@ select image_id, idx, case when owns then ia else old + sum((not owns)::int) ove
     ),
     "iou_track": Query(iou_track),
     "reid_track": Query(reid_track),
-    "pose_gate": Query(pose_gate),
+    "track_histories": Query(track_histories),
+    "pose_gate": Query(
+        pose_gate,
+        f"""with recursive {DETECTIONS},
+seen as (select video, track, frame_idx, arg_min(cls, event_id) cls, 0.3 + min(event_id) % 8 / 16.0::double aspect from detections group by all),
+o as materialized (select *, row_number() over (partition by video, track order by frame_idx) k from seen where cls = 0),
+walk as (
+  select video, track, frame_idx, k, false due, frame_idx last_seen, -1::bigint last_pose, -1.0::double last_aspect from o where k = 1
+  union all
+  select video, track, frame_idx, k, due, frame_idx, case when due then frame_idx else last_pose end, case when due then aspect else last_aspect end
+  from (
+    select o.video, o.track, o.frame_idx, o.k, o.aspect, w.last_pose, w.last_aspect,
+      w.last_pose < 0 or o.frame_idx - w.last_pose >= 5 or abs(o.aspect - w.last_aspect) > 0.3 or o.frame_idx - w.last_seen > 1 due
+    from walk w join o on o.video = w.video and o.track = w.track and o.k = w.k + 1))
+select video, track track_id, frame_idx, due from walk union all select video, track, frame_idx, false from seen where cls <> 0""",
+    ),
     "track_summary": Query(track_summary, f"with {DETECTIONS} select video, count(distinct track) n_tracks, count(*) n_objects, max(ts_ms) - min(ts_ms) duration_ms from detections group by all"),
     "window_tumbling": Query(window_tumbling, "select epoch_ms(date_trunc('hour', ts)) start_ms, event_type, count(*) n from events group by all"),
     "window_sliding": Query(

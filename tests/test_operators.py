@@ -10,18 +10,24 @@ from pyspark.sql import functions as F
 
 from annolake.functions import geometry
 from annolake.operators import labels, matching, tracking
-from annolake.plans import fixtures
 from annolake.sources import formats, sinks
-from annolake.streaming import tracks
 
 BOX = "image_id long, src int, idx long, cls int, x1 double, y1 double, x2 double, y2 double, conf double"
 
 
 def overlap(a, b):
-    return tracking.overlap((a[0], a[1], a[2] - a[0], a[3] - a[1]), (b[0], b[1], b[2] - b[0], b[3] - b[1]))
-
-
-@pytest.mark.parametrize(("a", "b", "expected"), [((0, 0, 0.5, 0.5), (0, 0, 0.5, 0.5), 1), ((0, 0, 0.1, 0.1), (0.9, 0.9, 1, 1), 0), ((0, 0, 0.5, 0.5), (0.1, 0.1, 0.6, 0.6), 0.16 / 0.34), ((0.4, 0.4, 0.6, 0.6), (0, 0, 1, 1), 0.04)])
+    """IoU of two (x1, y1, x2, y2), written out."""
+    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    both = w * h if w > 0 and h > 0 else 0.0
+    whole = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - both
+    return both / whole if whole > 0 else 0.0
+
+
+# areas by hand: 6 and 12 with 2 in common; 8 inside 32; one edge in common; a line in a box; two equal boxes
+@pytest.mark.parametrize(
+    ("a", "b", "expected"),
+    [((0, 0, 3, 2), (2, 0, 5, 4), 2 / 16), ((1, 1, 3, 5), (0, 0, 4, 8), 8 / 32), ((0, 0, 1, 3), (1, 0, 2, 3), 0), ((0, 1, 4, 1), (0, 0, 4, 4), 0), ((2, 3, 7, 4), (2, 3, 7, 4), 1)],
+)
 def test_iou(spark, a, b, expected):
     lit = lambda box: tuple(F.lit(float(v)) for v in box)
     assert spark.range(1).select(geometry.iou(lit(a), lit(b))).first()[0] == pytest.approx(expected)
@@ -89,10 +95,10 @@ def test_box_tracks_keep_and_end_ids():
 
 def test_vector_tracks():
     t = tracking.VectorTracks()
-    assert t.step(0, [([1.0, 0.0], (0.5, 0.5)), ([0.0, 0.0], (0.5, 0.5))]) == ([1, 0], [])
+    assert t.step(0, [([1.0, 0.0], (0.5, 0.5)), ([0.0, 0.0], (0.5, 0.5)), (None, (0.5, 0.5))]) == ([1, 0, 0], [])
     assert t.step(1000, [([0.9, 0.1], (0.5, 0.5)), ([0.0, 1.0], (0.5, 0.5))]) == ([1, 2], [])
     assert t.step(2000, [([1.0, 0.0], (0.95, 0.95))]) == ([3], [])  # too far away
-    assert t.step(700_000, []) == ([], [1, 2, 3])
+    assert t.step(700_000, []) == ([], [(1, 601_001), (2, 601_001), (3, 602_001)])
 
 
 def test_pose_gate():
@@ -101,18 +107,6 @@ def test_pose_gate():
     assert g.step(0, 4, 0.9) and g.step(0, 9, 0.9) and not g.step(1, 10, 0.9)
 
 
-def test_stream_gives_the_batch_tracks(spark, tmp_path):
-    frames = fixtures.detections(spark, "/root/testdata/sf0.001").select("video", "frame_idx", "ts_ms", "det_idx", "x", "y", "width", "height")
-    edge = frames.agg(F.expr("percentile(frame_idx, 0.5)")).first()[0]
-    for k, part in enumerate((frames.where(F.col("frame_idx") <= edge), frames.where(F.col("frame_idx") > edge))):
-        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(frames.schema).parquet(str(tmp_path / "in"))
-        query = tracks.track_boxes(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
-        query.awaitTermination()
-    found = sorted(map(repr, spark.read.parquet(str(tmp_path / "out")).collect()))
-    assert found == sorted(map(repr, tracking.track_boxes(frames).collect()))
-
-
 def test_readers_and_exact_lines(spark, tmp_path):
     (tmp_path / "labels").mkdir()
     (tmp_path / "labels/a.b.txt").write_text("1 0.5 0.6 0.3 0.4\n\n2 0.1 0.1 0.1 0.1\n")
