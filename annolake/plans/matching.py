@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from annolake.operators import evaluation, matching
+from annolake.operators import evaluation, exports, matching
 from annolake.plans.fixtures import BOXES, COVERAGE, GREEDY, IOU, boxes, coverage, pairs_sql
 from annolake.plans.query import Query
 
@@ -62,6 +62,20 @@ def cascade_counts(spark, d):
     return cascade_review(spark, d).groupBy("route").agg(F.count("*").alias("n"))
 
 
+def label_files(spark, d):
+    b = boxes(spark, d)
+    rows = b.where("src = 1").select("image_id", "idx", (F.col("cls") - 1).alias("class_id"), ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"))
+    images = b.select("image_id").distinct().withColumns({"x": F.lit(0.125), "y": F.lit(0.0), "w": F.lit(0.75), "h": F.lit(0.875)})
+    return exports.label_files(images, rows, "image_id", crop=("x", "y", "w", "h")).select("image_id", "content", "n_objects")
+
+
+def mining_report(spark, d):
+    """One row about the routed images and those that a source failed for."""
+    failed = coverage(spark, d).where("not ok").select("image_id").distinct()
+    routed = cascade_review(spark, d).join(failed, "image_id", "left_anti")
+    return exports.mining_report(routed, failed, {"iou": 0.7, "consensus": 3})
+
+
 VOTES = f"""
 near as (
   select distinct a.image_id, a.idx, b.src from boxes a join boxes b on a.image_id = b.image_id and a.src = 0 and b.src in (1, 2, 3) where {IOU} >= 0.7),
@@ -77,6 +91,19 @@ routes as (select image_id, score, case when score <= 0 then 'l0' when r <= floo
 
 QUERIES = {
     "iou_pairs": Query(iou_pairs, f"with {BOXES}, {pairs_sql(0, 1, 0.3)} select * from pairs"),
+    "label_files": Query(
+        label_files,
+        f"""with {BOXES}, s as (select image_id, idx, cls - 1 c, ((x1 + x2) / 2 - 0.125::double) / 0.75::double cx, ((y1 + y2) / 2) / 0.875::double cy, (x2 - x1) / 0.75::double w, (y2 - y1) / 0.875::double h from boxes where src = 1)
+select image_id, coalesce(string_agg(printf('%d %.6f %.6f %.6f %.6f', c, cx, cy, w, h) || chr(10), '' order by idx) filter (where c >= 0), '') content, count(c) n_objects
+from (select distinct image_id from boxes) left join s using (image_id) group by image_id""",
+    ),
+    "mining_report": Query(
+        mining_report,
+        f"""{ROUTES}, {COVERAGE}, failed as (select distinct image_id from coverage where not ok),
+r as (select route from routes where image_id not in (select image_id from failed) union all select 'skipped' from failed)
+select count(*) total, count(*) filter (where route = 'skipped') skipped, count(*) filter (where route = 'l0') l0, count(*) filter (where route = 'l1') l1,
+  count(*) filter (where route = 'review') review, '{{"iou":0.7,"consensus":3}}' settings from r""",
+    ),
     "greedy_match": Query(greedy_match, f"with recursive {BOXES}, {pairs_sql(0, 1, 0.3)}, {GREEDY} select * from matched"),
     "iou_exists_match": Query(
         iou_exists_match,

@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from annolake.operators import similarity
+from annolake.operators import outliers, similarity
 from annolake.plans.fixtures import VECTORS, table, vectors
 from annolake.plans.query import Query
 
@@ -84,6 +84,10 @@ def coreset(spark, d):
     return similarity.core_set(vectors(spark, d), 50)
 
 
+def outlier_scores(spark, d):
+    return outliers.outliers(vectors(spark, d), kept, trees=200, contamination=0.02)
+
+
 def weighted_dbscan(spark, d):
     v = vectors(spark, d)
     items = v.selectExpr("vec_id as id", "0.25D + (vec_id % 4) / 4D as weight")
@@ -121,6 +125,7 @@ select label, arg_min(vec_id, (far, vec_id)) vec_id from d group by label""",
     ),
     "sim_matrix_int": Query(sim_matrix_int, f"with {VECTORS} select a.image_id, a.vec_id a, b.vec_id b, trunc({DOT} * 100)::int percent from vectors a join vectors b on a.image_id = b.image_id and a.vec_id < b.vec_id"),
     "coreset": Query(coreset),
+    "outlier_scores": Query(outlier_scores),
     "weighted_dbscan": Query(
         weighted_dbscan,
         f"""with recursive {VECTORS}, {EDGES.format(0.35).replace('edges as', 'near as')},
