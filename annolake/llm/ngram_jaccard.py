@@ -40,6 +40,7 @@ CHUNK = 1 << 21  # bytes of text hashed at a time
 BLOCK, BLOCK_HASHES = 2048, 1 << 19  # members of a group, and n-grams of them, held against each other at a time
 DEALT = 100_000  # rows of blocks in one task, or n-grams of them times 32
 PAIRS_AT_ONCE = 1 << 15
+TOGETHER, BUCKET_HASHES = 64, 1 << 22  # members of a component of candidates whose sets go to one bucket; n-grams of a bucket
 SIZE_STEP = 1.06
 RUNTIME_BITS = 1 << 24
 LEAST_ID = -(1 << 63)
@@ -565,7 +566,7 @@ def _link_counts(members: DataFrame, t: float, percent: int) -> DataFrame:
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, width: int, salt: int, id_col: str, text_col: str) -> DataFrame:
-    """(cls, hashes): the sets of the classes (cls, rep), from the texts of their representatives, in the shared folder.
+    """(cls, bucket, hashes): the sets of the classes (cls, rep, bucket), from the texts of their representatives, in the shared folder.
 
     Spark's runtime filter, of RUNTIME_BITS whatever the input, drops most other texts before they are shuffled.
     """
@@ -573,39 +574,64 @@ def _sets_of(wanted: DataFrame, docs: DataFrame, width: int, salt: int, id_col:
     prefix = "spark.sql.optimizer.runtime.bloomFilter."
     settings = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g", "expectedNumItems": "4000000", "numBits": str(RUNTIME_BITS)}
     before = {k: spark.conf.get(prefix + k) for k in settings}
-    needed = stored(wanted.select(F.col("rep").alias("id")).distinct(), "needed").where(F.col("id") >= LEAST_ID)  # Spark filters by a side that has a condition
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
+    needed = stored(wanted.select(F.col("rep").alias("id"), "bucket").distinct(), "needed").where(F.col("id") >= LEAST_ID)  # Spark filters by a side that has a condition
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id")
 
     def run(batches):
         for batch in batches:
-            for _, hashes, offsets in shingle_sets(batch.column("text"), width):
+            for a, hashes, offsets in shingle_sets(batch.column("text"), width):
                 sets = [hashes[offsets[r] : offsets[r + 1]].tobytes() for r in range(len(offsets) - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(_class_ids(hashes, offsets, salt)), pa.array(sets, pa.binary())], ["cls", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(_class_ids(hashes, offsets, salt)), batch.column("bucket").slice(a, len(sets)), pa.array(sets, pa.binary())], ["cls", "bucket", "hashes"])
 
     try:
         for k, v in settings.items():
             spark.conf.set(prefix + k, v)
-        return stored(rows.mapInArrow(run, "cls long, hashes binary"), "sets")
+        return stored(rows.mapInArrow(run, "cls long, bucket long, hashes binary"), "sets")
     finally:
         for k, v in before.items():
             spark.conf.set(prefix + k, v)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes whose sets have 100 * intersection >= percent * union."""
+def _alike(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    both = np.count_nonzero(q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p)
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def _in_buckets(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, rep, bucket) of the classes in ``pairs``: those of one small component of candidates share a bucket; -1: a large one's."""
+    roots = stored(components(pairs), "candidate-roots").join(classes.select(F.col("cls").alias("node"), "rep", "n"), "node")
+    sizes = stored(roots.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("grams")), "sizes")
+    load = sizes.agg(F.coalesce(F.sum("grams"), F.lit(0))).first()[0]
+    buckets = max(4 * partitions(pairs.sparkSession), int(load // BUCKET_HASHES))
+    small = (F.col("members") <= TOGETHER) & (F.col("grams") <= BUCKET_HASHES)
+    bucket = F.when(small, F.pmod(F.xxhash64("root"), F.lit(buckets).cast("long"))).otherwise(F.lit(-1).cast("long"))
+    return stored(roots.join(sizes.select("root", bucket.alias("bucket")), "root").select(F.col("node").alias("cls"), "rep", "bucket"), "buckets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes whose sets have 100 * intersection >= percent * union.
+
+    Pairs of small components of candidates are looked at where the sets of their bucket are, so each set is shuffled
+    once however many pairs it is in; for a large component's pairs the sets are joined to each pair.
+    """
+
+    def together(left: pa.Table, right: pa.Table) -> pa.Table:
+        at = {c: k for k, c in enumerate(right.column("cls").to_pylist())}
+        own = right.column("hashes").combine_chunks() if right.num_rows else None
+        found = [(a, b) for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True) if _alike(*(np.frombuffer(own[at[x]].as_buffer(), np.uint64) for x in (a, b)), percent)]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ha"), batch.column("hb"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.count_nonzero(q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p)
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            keep = [_alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column("ha"), batch.column("hb"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a")
-    joined = joined.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b")
-    return joined.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long").distinct()
+    dealt_out = pairs.join(placed.select(F.col("cls").alias("a"), "bucket"), "a")
+    near = dealt_out.where("bucket >= 0").groupBy("bucket").cogroup(sets.where("bucket >= 0").groupBy("bucket")).applyInArrow(together, "a long, b long")
+    rest, own = dealt_out.where("bucket < 0").select("a", "b"), sets.where("bucket < 0")
+    joined = rest.join(own.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a")
+    joined = joined.join(own.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b")
+    return near.union(joined.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")).distinct()
 
 
 def near_duplicates(
@@ -646,9 +672,10 @@ def near_duplicates(
     near = stored(_nearest_partners(members, t, group_limit), "partners")
     small = _within_bound(found.where("kind = 0").select("a", "b").distinct(), classes, t)
     pairs = stored(small.union(near.where("kind = 0").select("a", "b")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "rep"), "cls")
-    sets = _sets_of(wanted, docs, width, salt, id_col, text_col)
-    links = stored(_verified(pairs, sets, percent), "links")
+    placed = _in_buckets(pairs, classes)
+    sets = _sets_of(placed, docs, width, salt, id_col, text_col)
+    links = stored(_verified(pairs, sets, placed, percent), "links")
+    sets = sets.select("cls", "hashes")
     roots = components(links)
 
     # all pairs of the other members of large keys have been looked at; of these, only those in different components matter
