@@ -73,36 +73,32 @@ def consensus(boxes: DataFrame, sources: list[int], least: float, agree: int) ->
 
     Seeds come by falling confidence (then source, idx). Each other source supports a seed with its nearest box not yet
     used (the later of equals); a seed's supporters are used up even where they are too few. supporters: array of
-    (src, idx), the seed first.
+    (src, idx), the seed first. Boxes meet once, in a join that keeps those ``least`` or more alike; what is walked in
+    order, for each image, are the boxes with their short lists of neighbours, nearest first.
     """
-    item = F.struct((-F.col("conf")).alias("k"), "src", "idx", "x1", "y1", "x2", "y2")
-    held = boxes.where(F.col("src").isin(*sources)).groupBy("image_id").agg(F.sort_array(F.collect_list(item)).alias("s"))
+    held = boxes.where(F.col("src").isin(*sources)).select("image_id", F.struct(F.col("src").cast("int").alias("src"), F.col("idx").cast("long").alias("idx")).alias("tag"), "conf", *CORNERS)
+    other = held.select("image_id", F.col("tag").alias("o_tag"), *[F.col(c).alias(f"o_{c}") for c in CORNERS])
+    alike = held.join(other, "image_id").where(F.col("tag.src") != F.col("o_tag.src")).withColumn("v", iou(corners(), corners("o_"))).where(F.col("v") >= least)
+    near = F.struct((-F.col("v")).alias("v"), (-F.col("o_tag.idx")).alias("later"), F.col("o_tag").alias("tag"))
+    near = alike.groupBy("image_id", "tag").agg(F.transform(F.array_sort(F.collect_list(near)), lambda x: x["tag"]).alias("near"))
     kind = "array<struct<src:int,idx:bigint>>"
-    tag = lambda x: F.struct(x["src"].cast("int").alias("src"), x["idx"].cast("long").alias("idx"))
-
-    def is_in(used: Column, x: Column) -> Column:
-        return F.exists(used, lambda u: (u["src"] == x["src"]) & (u["idx"] == x["idx"]))
-
-    def supporters(seed: Column, used: Column) -> Column:
-        def best(src: int) -> Column:
-            free = F.filter("s", lambda x: (x["src"] == src) & ~is_in(used, x) & (iou(fields(seed), fields(x)) >= least))
-            top = F.array_max(F.transform(free, lambda x: F.struct(iou(fields(seed), fields(x)).alias("v"), x["idx"].alias("idx"))))
-            return F.when((seed["src"] != src) & (F.size(free) > 0), F.struct(F.lit(src).cast("int").alias("src"), top["idx"].cast("long").alias("idx")))
-
-        return F.filter(F.array(tag(seed), *[best(src) for src in sources]), lambda x: x.isNotNull())
-
-    start = F.struct(F.array().cast(kind).alias("used"), F.array().cast(f"array<{kind}>").alias("out"))
+    none = F.array().cast(kind)
+    seeds = held.select("image_id", "tag", "conf").join(near, ["image_id", "tag"], "left")
+    item = F.struct((-F.col("conf")).alias("k"), "tag", F.coalesce("near", none).alias("near"))
+    walked = seeds.groupBy("image_id").agg(F.array_sort(F.collect_list(item)).alias("seeds"))
 
     def step(acc: Column, seed: Column) -> Column:
-        own = F.array(supporters(seed, acc["used"]))
-        grown = F.aggregate(
-            own,
+        free = lambda src: F.get(F.filter(seed["near"], lambda x: (x["src"] == src) & ~F.array_contains(acc["used"], x)), 0)
+        group = F.array_compact(F.array(seed["tag"], *[free(src) for src in sources]))
+        taken = F.aggregate(  # binds the group, which is used twice
+            F.array(group),
             acc,
-            lambda a, s: F.struct(F.concat(a["used"], s).alias("used"), F.when(F.size(s) >= agree, F.concat(a["out"], F.array(s))).otherwise(a["out"]).alias("out")),
+            lambda a, g: F.struct(F.concat(a["used"], g).alias("used"), F.when(F.size(g) >= agree, F.concat(a["out"], F.array(g))).otherwise(a["out"]).alias("out")),
         )
-        return F.when(is_in(acc["used"], seed), acc).otherwise(grown)
+        return F.when(F.array_contains(acc["used"], seed["tag"]), acc).otherwise(taken)
 
-    folded = held.select("image_id", F.explode(F.aggregate("s", start, step)["out"]).alias("g"))
+    start = F.struct(none.alias("used"), F.array().cast(f"array<{kind}>").alias("out"))
+    folded = walked.select("image_id", F.explode(F.aggregate("seeds", start, step)["out"]).alias("g"))
     return folded.select("image_id", F.col("g")[0]["src"].alias("seed_src"), F.col("g")[0]["idx"].alias("seed_idx"), F.col("g").alias("supporters"))
 
 
@@ -138,6 +134,7 @@ def sample_class(boxes: DataFrame, target: int, reference: int, least: float) ->
     return sizes.join(matched, "image_id", "left").select("image_id", kind.alias("kind"))
 
 
+CORNERS = ("x1", "y1", "x2", "y2")
 RANGES = 1024  # ranges of scores to each power of two
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from annolake.operators import evaluation, exports, matching
 from annolake.plans.fixtures import BOXES, COVERAGE, GREEDY, IOU, boxes, coverage, pairs_sql
 from annolake.plans.query import Query
+from annolake.plans.storage import kept
 
 WEIGHTS = {1: 0.25, 2: 0.375, 3: 0.375}
 NINE = lambda c: (F.round(c, 9) + 0.0).alias(c)
@@ -38,12 +39,13 @@ def fp_votes(spark, d):
 
 
 def consensus(spark, d):
-    out = matching.consensus(boxes(spark, d), [1, 2, 3], 0.3, 2)
+    out = matching.consensus(kept(boxes(spark, d)), [1, 2, 3], 0.3, 2)
     return out.select("image_id", "seed_src", "seed_idx", F.size("supporters").alias("n_supporters"))
 
 
 def dispute_score(spark, d):
-    return matching.dispute_scores(boxes(spark, d), coverage(spark, d), 0, WEIGHTS, 0.3, 2)
+    out = matching.dispute_scores(kept(boxes(spark, d)), coverage(spark, d), 0, WEIGHTS, 0.3, 2)
+    return out.select("image_id", NINE("score"), "n_fp", "n_fn")
 
 
 def sample_class(spark, d):
@@ -89,6 +91,24 @@ scores as (select image_id, sum(fp) score from votes group by all),
 ranked as (select *, row_number() over (order by score desc, image_id) r, (select count(*) from scores where score > 0) n from scores),
 routes as (select image_id, score, case when score <= 0 then 'l0' when r <= floor(n * 0.3) then 'review' else 'l1' end route from ranked)"""
 
+CONSENSUS = f"""
+s as (select *, src * 1000000 + idx code from boxes where src in (1, 2, 3)),
+alike as (
+  select a.image_id, a.code, list({{'src': b.src, 'code': b.code}} order by {IOU} desc, b.idx desc) near
+  from s a join s b on a.image_id = b.image_id and a.src <> b.src where {IOU} >= 0.3 group by a.image_id, a.code),
+seeds as materialized (
+  select image_id, code, coalesce(near, []) near, row_number() over (partition by image_id order by conf desc, src, idx) k from s left join alike using (image_id, code)),
+walk as (
+  select distinct image_id, 0::bigint k, []::bigint[] used, []::bigint[] got from s
+  union all
+  select image_id, k, case when len(got) > 0 then used || got else used end, got
+  from (
+    select w.image_id, o.k, w.used, case when list_contains(w.used, o.code) then []::bigint[] else list_filter([o.code,
+      list_filter(o.near, lambda x: x.src = 1 and not list_contains(w.used, x.code))[1].code, list_filter(o.near, lambda x: x.src = 2 and not list_contains(w.used, x.code))[1].code,
+      list_filter(o.near, lambda x: x.src = 3 and not list_contains(w.used, x.code))[1].code], lambda c: c is not null) end got
+    from walk w join seeds o on o.image_id = w.image_id and o.k = w.k + 1)),
+groups as materialized (select image_id, got[1] // 1000000 seed_src, got[1] % 1000000 seed_idx, got from walk where len(got) >= 2)"""
+
 QUERIES = {
     "iou_pairs": Query(iou_pairs, f"with {BOXES}, {pairs_sql(0, 1, 0.3)} select * from pairs"),
     "label_files": Query(
@@ -127,8 +147,19 @@ select n_gt, n_det, tp, round(recall, 9) recall, round("precision", 9) "precisio
 select image_id, count(*) sources, sum(coalesce(n, 0))::bigint n_boxes from coverage left join n using (image_id, src) group by image_id having bool_and(ok)""",
     ),
     "fp_votes": Query(fp_votes, f"with {BOXES}, {VOTES} select * from votes"),
-    "consensus": Query(consensus),
-    "dispute_score": Query(dispute_score),
+    "consensus": Query(consensus, f"with recursive {BOXES}, {CONSENSUS} select image_id, seed_src::int seed_src, seed_idx, len(got)::int n_supporters from groups"),
+    "dispute_score": Query(
+        dispute_score,
+        f"""with recursive {BOXES}, {COVERAGE}, {VOTES.replace('0.7', '0.3').replace('< 3', '< 2')}, {CONSENSUS},
+images as (select image_id from coverage group by image_id having bool_and(ok)),
+missed as (
+  select g.image_id, list_sum(list_transform(got, lambda c: case c // 1000000 when 1 then 0.25::double else 0.375::double end)) w
+  from groups g join boxes a on a.image_id = g.image_id and a.src = seed_src and a.idx = seed_idx
+  where not exists (select 1 from boxes b where b.image_id = a.image_id and b.src = 0 and {IOU} >= 0.3)),
+fp as (select image_id, sum(fp) fp, count(*) filter (where n_votes < 2) n_fp from votes group by image_id),
+fn as (select image_id, sum(w) fn, count(*) n_fn from missed group by image_id)
+select image_id, round(coalesce(fp, 0) + coalesce(fn, 0), 9) score, coalesce(n_fp, 0) n_fp, coalesce(n_fn, 0) n_fn from images left join fp using (image_id) left join fn using (image_id)""",
+    ),
     "sample_class": Query(
         sample_class,
         f"""with recursive {BOXES}, {pairs_sql(0, 1, 0.3)}, {GREEDY},

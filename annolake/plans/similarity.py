@@ -2,37 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from annolake.operators import outliers, similarity
 from annolake.plans.fixtures import VECTORS, table, vectors
 from annolake.plans.query import Query
+from annolake.plans.storage import kept
 
 LEAST = 0.4
-_own: list[str] = []
-
-
-def kept(df):
-    """``df`` written to the folder that driver and executors share, and read again."""
-    spark = df.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="annolake-"))
-            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
-        base = f"file://{_own[0]}"
-    path = f"{base.rstrip('/')}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def cosine_pairs(spark, d):
     return similarity.similar_pairs(vectors(spark, d), LEAST).select("a", "b", (F.round("sim", 6) + 0.0).alias("sim"))
 
