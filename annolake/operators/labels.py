@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 from annolake.functions.geometry import clamped
 
-# fixed values: banknote denominations, largest first, and bbox keys in order of preference
-DENOMINATIONS = ("100", "50", "20", "10", "5", "1")
+# fixed values: the pattern of banknote denominations that stand by themselves, and bbox keys in order of preference
+DENOMINATION = r"(?<!\d)(100|50|20|10|5|1)(?!\d)"
 BBOX_KEYS = ("bbox", "bbox_2d", "box", "rectangle", "box_2d")
 
 
-def darknet_lines(files: DataFrame, text: str = "text", strict: bool = True) -> DataFrame:
+def darknet_lines(files: DataFrame, text: str = "text", strict: bool = True, more: bool = True) -> DataFrame:
     """``files`` with one row for each label line: line_no, class_id, x_center, y_center, width, height.
 
-    Strict: five numbers or an error. Otherwise lines of five or more are read by their first five, others skipped.
+    Strict: five numbers or an error. Otherwise lines of five or more are read by their first five, others skipped;
+    without ``more``, only lines of just five are read.
     """
     lines = files.select(*[c for c in files.columns if c != text], F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "_line"))
     lines = lines.withColumn("_f", F.split(F.trim(F.regexp_replace("_line", "\\s+", " ")), " ")).where("trim(_line) <> ''")
     number = lambda k: F.expr(f"try_cast(_f[{k}] as double)")
-    right = (F.size("_f") == 5) if strict else (F.size("_f") >= 5)
+    right = (F.size("_f") >= 5) if more and not strict else (F.size("_f") == 5)
     for k in range(5):
         right = right & number(k).isNotNull()
     if strict:
@@ -38,7 +39,7 @@ def yolo_text(cls: Column, box: tuple[Column, ...]) -> Column:
 
 def canonical_class(name: Column, money: bool = True) -> Column:
     """The denomination that a class name speaks of, standing by itself; with ``money`` only where yuan or rmb is named."""
-    found = F.regexp_extract(F.lower(name), r"(?<!\d)(" + "|".join(DENOMINATIONS) + r")(?!\d)", 1)
+    found = F.regexp_extract(F.lower(name), DENOMINATION, 1)
     right = F.lower(name).rlike("yuan|rmb") if money else F.lit(True)
     return F.when((found != "") & right, found)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +42,66 @@ def meta(spark: SparkSession, path: str) -> DataFrame:
     return inherited(rows.select(F.col("name").alias("meta"), F.posexplode("properties").alias("position", "p")).select("meta", "position", "p.name", "p.values"), "meta", "position")
 
 
+def _scalars(line: str) -> list[str]:
+    """The words and marks of one line of settings: quoted words whole, marks ``[ ] { } , : -`` by themselves, comments left out."""
+    out, at = [], 0
+    while at < len(line):
+        c = line[at]
+        if c == "#" and (at == 0 or line[at - 1] in " \t"):
+            break
+        if c in "'\"":
+            end = at + 1
+            while end < len(line) and line[end] != c:
+                end += 1
+            out.append("=" + line[at + 1 : end])
+            at = end + 1
+        elif c in "[]{}," or (c in ":-" and (at + 1 == len(line) or line[at + 1] in " \t")):
+            out.append(c)
+            at += 1
+        elif c in " \t":
+            at += 1
+        else:
+            end = at
+            while end < len(line) and line[end] not in "[]{},#" and not (line[end] == ":" and (end + 1 == len(line) or line[end + 1] in " \t")):
+                end += 1
+            out.append("=" + line[at : max(end, at + 1)].rstrip())
+            at = max(end, at + 1)
+    return out
+
+
 def names_of_yaml(text: str) -> list[str]:
-    """Class names of a small settings file: ``names: [a, b]``, or a list or a map below ``names:``; else none."""
-    line = re.search(r"^names:\s*\[(.*)\]\s*$", text, re.MULTILINE)
-    if line:
-        items = line.group(1).split(",")
+    """Class names of a settings file: the list, or the values of the map by their numbers, under ``names``; else none.
+
+    Lists and maps may stand in brackets, over several lines too, or one entry a line. Words may be quoted; comments and
+    empty lines do not count.
+    """
+    lines = [(len(x) - len(x.lstrip()), _scalars(x)) for x in text.splitlines()]
+    lines = [(deep, marks) for deep, marks in lines if marks]
+    start = next((k for k, (deep, marks) in enumerate(lines) if deep == 0 and marks[:2] == ["=names", ":"]), None)
+    if start is None:
+        return []
+    inline = lines[start][1][2:]
+    if inline[:1] in (["["], ["{"]):
+        marks, closing = [], "]" if inline[0] == "[" else "}"
+        for part in [inline[1:], *(m for _, m in lines[start + 1 :])]:
+            marks += part
+            if closing in part:
+                marks = marks[: marks.index(closing)]
+                break
+        entries, own = [], []
+        for mark in [*marks, ","]:
+            if mark == ",":
+                entries.append(own)
+                own = []
+            else:
+                own.append(mark)
     else:
-        block = re.search(r"^names:[ \t]*\n((?:(?:[ \t]*-|[ \t]+\w+:)[ \t]+\S.*(?:\n|$))+)", text, re.MULTILINE)
-        items = [re.sub(r"^\s*(?:-|\w+:)\s+", "", x) for x in block.group(1).splitlines()] if block else []
-    return [x.strip().strip("'\"") for x in items if x.strip()]
+        entries = []
+        for deep, marks in lines[start + 1 :]:
+            if deep == 0 and marks[0] != "-":
+                break
+            entries.append(marks[1:] if marks[0] == "-" else marks)
+    words = [[m[1:] for m in e if m.startswith("=")] for e in entries]
+    if all(len(w) == 2 and w[0].isdigit() and ":" in e for w, e in zip(words, entries, strict=True) if e):
+        return [w[1] for w in sorted((w for w in words if w), key=lambda w: int(w[0]))]
+    return [w[0] if len(w) == 1 else w[1] for w in words if w and w[-1]]
