@@ -36,14 +36,19 @@ def neighbours(rows: DataFrame, sequence: str, order: str, value: str) -> DataFr
     return out.where("_r > 1").drop("_r")
 
 
-def merged(sources: dict[str, DataFrame], classes: DataFrame) -> DataFrame:
-    """(stem, cls, source) of all sources; ``classes`` (source, cls, to) renumbers, what it lacks is dropped, and an
-    image whose boxes are all dropped is gone. Stems carry their source's name."""
+def merged(sources: dict[str, DataFrame], classes: DataFrame, split: str | None = None) -> DataFrame:
+    """(stem, cls, source[, split]) of all sources; ``classes`` (source, cls, to) renumbers, what it lacks is dropped, and
+    an image whose boxes are all dropped is gone. Stems carry their source's name. ``split`` names a column of the
+    sources: test goes to valid, and rows of no known split are left out."""
     every = None
     for name, rows in sources.items():
-        own = rows.select(F.concat(F.lit(name + "_"), F.col("stem").cast("string")).alias("stem"), "cls", F.lit(name).alias("source"))
+        kept = []
+        if split is not None:
+            rows = rows.where(F.col(split).isin("train", "valid", "test"))
+            kept = [F.when(F.col(split) == "train", "train").otherwise("valid").alias("split")]
+        own = rows.select(F.concat(F.lit(name + "_"), F.col("stem").cast("string")).alias("stem"), "cls", F.lit(name).alias("source"), *kept)
         every = own if every is None else every.unionByName(own)
-    return every.join(classes, ["source", "cls"]).select("stem", F.col("to").alias("cls"), "source")
+    return every.join(classes, ["source", "cls"]).select("stem", F.col("to").alias("cls"), "source", *(["split"] if split else []))
 
 
 def pooled(images: dict[str, DataFrame], labels: dict[str, DataFrame]) -> DataFrame:
@@ -108,6 +113,19 @@ def combinations(classes: DataFrame, name: str, most: int = 3) -> DataFrame:
     return out
 
 
+def combination_members(combos: DataFrame, members: DataFrame, cls: str, key: str, pool: int, seed: int) -> DataFrame:
+    """(combo, cls, key): for each class of a combination of ``combinations`` one of the first ``pool`` members of the class, by key.
+
+    A class without members has no combination, so combinations that name one are left out.
+    """
+    ranked = members.select(cls, key, F.row_number().over(W.partitionBy(cls).orderBy(key)).alias("_r")).where(F.col("_r") <= pool)
+    sizes = ranked.groupBy(cls).agg(F.max("_r").alias("_n"))
+    parts = combos.select("combo", "r", F.explode(F.split("combo", r"\+")).alias(cls)).join(sizes, cls)
+    whole = parts.withColumn("_have", F.count("*").over(W.partitionBy("combo"))).where(F.col("_have") == F.col("r"))
+    drawn = whole.select("combo", cls, (hashed(seed, "combo", cls) % F.col("_n") + 1).cast("int").alias("_r"))
+    return drawn.join(ranked, [cls, "_r"]).select("combo", cls, key)
+
+
 def paged(rows: DataFrame, by: str, order: list[str], size: int) -> DataFrame:
     at = F.row_number().over(W.partitionBy(by).orderBy(*order)) - 1
     return rows.withColumn("page", F.floor(at / size)).withColumn("slot", (at % size).cast("long"))

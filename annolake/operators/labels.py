@@ -107,12 +107,29 @@ def frame_times(frames: Column, fps: Column, sample_fps: Column) -> Column:
     return F.transform(picked, lambda i: F.struct(i.cast("long").alias("frame_idx"), F.bround(i / fps * 1000).cast("long").alias("ts_ms")))
 
 
-def grid_boxes(values: Column, cols: int, cell: int, reach: int, width: int, height: int) -> Column:
-    """Boxes of a detector's grid: cell centres and four distances each, cut at the picture's edges."""
+def grid_boxes(left: Column, top: Column, right: Column, bottom: Column, cols: int, cell: int, reach: int, width: int, height: int) -> Column:
+    """Boxes of a detector's grid, row by row: how far each cell's box reaches to its four sides, cut at the picture's edges."""
 
     def box(v: Column, k: Column) -> Column:
         cx, cy = (k % cols) * cell + 0.5, F.floor(k / cols) * cell + 0.5
         cut = lambda x, m: F.greatest(F.lit(0.0), F.least(F.lit(float(m)), x))
-        return F.struct(cut(cx - v * reach, width).alias("x1"), cut(cy - v * reach, height).alias("y1"), cut(cx + v * reach, width).alias("x2"), cut(cy + v * reach, height).alias("y2"))
+        side = lambda plane: F.get(plane, k) * reach
+        return F.struct(cut(cx - v * reach, width).alias("x1"), cut(cy - side(top), height).alias("y1"), cut(cx + side(right), width).alias("x2"), cut(cy + side(bottom), height).alias("y2"))
 
-    return F.transform(values, box)
+    return F.transform(left, box)
+
+
+def sharpness(pixels: Column, width: int) -> Column:
+    """Variance of the second differences of a grey picture, row by row in ``pixels``; edges are mirrored without being doubled."""
+    height = F.floor(F.size(pixels) / width).cast("int")
+    mirrored = lambda k, n: F.when(k < 0, F.least(F.lit(1), n - 1)).when(k >= n, F.greatest(n - 2, F.lit(0))).otherwise(k)
+    at = lambda x, y: F.get(pixels, (mirrored(y, height) * width + mirrored(x, F.lit(width))).cast("int"))
+
+    def bend(v: Column, k: Column) -> Column:
+        x, y = k % width, F.floor(k / width)
+        return at(x - 1, y) + at(x + 1, y) + at(x, y - 1) + at(x, y + 1) - 4 * v
+
+    bends = F.transform(pixels, bend)
+    n = F.size(pixels)
+    mean = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b) / n
+    return mean(F.transform(bends, lambda b: b * b)) - mean(bends) * mean(bends)

@@ -56,6 +56,37 @@ def label_path(image: Column, format_name: str, meta_id: int) -> Column:
     return F.regexp_replace(image, r"^(.*/)?[^/]+/([^/]+?)(\.[^./]*)?$", f"$1{format_name}_m{meta_id}/$2.json")
 
 
+def image_of_label(label: Column, extension: str) -> Column:
+    """The picture of a label file ``name_s31.lbl``: what comes before the last _, with ``extension``; null without a _."""
+    return F.when(label.contains("_"), F.concat(F.regexp_extract(label, r"^(.*)_[^_]*$", 1), F.lit(extension)))
+
+
+def darknet_label_path(image: Column) -> Column:
+    """``root/labels/name.txt`` for ``root/images/name.jpg``."""
+    return F.regexp_replace(image, r"^(.*/)?[^/]+/([^/]+?)(\.[^./]*)?$", "$1labels/$2.txt")
+
+
+def union_boxes(objects: DataFrame, by: str, cls: str = "cls") -> DataFrame:
+    """(by, x1, y1, x2, y2): the box around all objects of a class of 0 or more, for each image that has one."""
+    return objects.where(F.col(cls) >= 0).groupBy(by).agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
+
+
+def beyond_the_end(events: DataFrame, end_s: str, duration_s: str) -> DataFrame:
+    """Events that end after their video; an event that ends with it is right."""
+    return events.where(F.col(end_s) > F.col(duration_s))
+
+
+def local_time(iso: Column, zone: str) -> Column:
+    """An ISO time with its own offset (none: UTC) as ``yyyy-MM-dd HH:mm:ss`` in ``zone``; null for what is no time."""
+    at = F.coalesce(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")), F.try_to_timestamp(F.concat(iso, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")))
+    return F.date_format(F.from_utc_timestamp(F.to_utc_timestamp(at, F.current_timezone()), zone), "yyyy-MM-dd HH:mm:ss")
+
+
+def changed_on(files: DataFrame, modified: str, day: str, zone: str) -> DataFrame:
+    """Files last changed on a day of ``zone``."""
+    return files.where(F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(F.col(modified), F.current_timezone()), zone)) == F.lit(day).cast("date"))
+
+
 def class_of_folder(path: Column) -> Column:
     """The number that the folder of a picture is named by; null where it is not a number."""
     return F.regexp_extract(path, r"/(\d+)/[^/]*$", 1).try_cast("int")

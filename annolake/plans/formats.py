@@ -6,15 +6,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annolake.functions import affine, tables
-from annolake.operators import conversions, stages
+from annolake.operators import conversions, curation, labels, labelsets, stages
+from annolake.plans.curation import h32
 from annolake.plans.fixtures import BOXES, VECTORS, boxes, table, vectors
 from annolake.plans.query import Query
 
 NAMES = ["car", "van"]  # class 2 has no name
 
 
-def nine(c, name):
-    return (F.round(c, 9) + 0.0).alias(name)
+def nine(c, name, digits=9):
+    return (F.round(c, digits) + 0.0).alias(name)
 
 
 def affine_points(spark, d):
@@ -23,11 +24,11 @@ def affine_points(spark, d):
     w, h = (F.col("x2") - F.col("x1")) * 640, (F.col("y2") - F.col("y1")) * 480
     cx, cy, sw, sh = affine.padded_box(w, h)
     fw, _ = affine.fitted(sw, sh, 192, 256)
-    rows = b.select("image_id", "idx", (w * F.col("conf") * 0.97).alias("px"), (h * 0.31).alias("py"), affine.top_down(cx, cy, F.when(F.col("idx") == 3, 0.0).otherwise(fw), 192, 256).alias("m"))
+    rows = b.select("image_id", "idx", (w * F.col("conf") * 0.7310585786).alias("px"), (h * 0.2689414213).alias("py"), affine.top_down(cx, cy, F.when(F.col("idx") == 3, 0.0).otherwise(fw), 192, 256).alias("m"))
     x, y = affine.moved(F.col("m"), F.col("px"), F.col("py"))
     bx, by = affine.moved(affine.inverse(F.col("m")), x, y)
     same = affine.product(affine.inverse(F.col("m")), F.col("m"))
-    return rows.select("image_id", "idx", nine(x, "x"), nine(y, "y"), nine(bx, "back_x"), nine(by, "back_y"), nine(same["a"] + same["e"] - 2 + same["b"] + same["c"] + same["d"] + same["f"], "apart"))
+    return rows.select("image_id", "idx", nine(x, "x", 6), nine(y, "y", 6), nine(bx, "back_x", 6), nine(by, "back_y", 6), nine(same["a"] + same["e"] - 2 + same["b"] + same["c"] + same["d"] + same["f"], "apart"))
 
 
 def label_forms(spark, d):
@@ -103,13 +104,100 @@ def stage_scores(spark, d):
     return out.select(F.col("own").alias("vec_id"), nine(F.col("result"), "score"), "error")
 
 
+def grid_decode(spark, d):
+    """Vectors as an 8 by 8 grid of four planes, decoded to boxes of a picture of 128 by 128."""
+    v = vectors(spark, d)
+    plane = lambda k: F.transform(F.concat(F.slice("v", k + 1, 64 - k), F.slice("v", 1, k)) if k else F.col("v"), lambda x: F.abs(x))
+    found = labels.grid_boxes(*[plane(k) for k in (0, 5, 11, 23)], 8, 16, 35, 128, 128)
+    rows = v.select("vec_id", F.posexplode(found).alias("k", "b"))
+    return rows.where("k % 9 = 4").select("vec_id", "k", *[nine(F.col("b")[c], c) for c in ("x1", "y1", "x2", "y2")])
+
+
+def sharpness(spark, d):
+    return vectors(spark, d).select("vec_id", nine(labels.sharpness(F.transform("v", lambda x: x * 8), 8), "sharpness"))
+
+
+def union_boxes(spark, d):
+    return labelsets.union_boxes(boxes(spark, d).where("src = 1").withColumn("cls", F.col("cls") - 1), "image_id")
+
+
+def label_places(spark, d):
+    p = table(spark, d, "part")
+    name = F.concat_ws("_", F.lit("/2021/a"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_partkey").cast("string")), F.lit("s31.lbl"))
+    name = F.when(F.col("p_partkey") % 7 == 0, F.lit("plain.lbl")).otherwise(name)
+    image = F.concat(F.lit("set/images/x."), F.col("p_partkey").cast("string"), F.lit(".jpg"))
+    return p.select("p_partkey", labelsets.image_of_label(name, ".jpg").alias("image"), labelsets.darknet_label_path(image).alias("darknet"))
+
+
+def merged_splits(spark, d):
+    b = boxes(spark, d)
+    split = F.when(F.col("idx") == 0, "train").when(F.col("idx") == 1, "valid").when(F.col("idx") == 2, "test").otherwise("other")
+    source = lambda k: b.where(F.col("src") == k).select(F.col("image_id").alias("stem"), "cls", split.alias("part"))
+    classes = spark.createDataFrame([("a", 0, 5), ("a", 1, 6), ("b", 2, 5)], "source string, cls int, to int")
+    return curation.merged({"a": source(1), "b": source(2)}, classes, "part")
+
+
+def combo_members(spark, d):
+    nations = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).where("r_name <> 'ASIA'")
+    return curation.combination_members(curation.combinations(table(spark, d, "region"), "r_name"), nations, "r_name", "n_name", 3, 7)
+
+
+def late_events(spark, d):
+    e = table(spark, d, "events").select("event_id", (F.col("event_id") % 100 / 4).alias("end_s"), (F.col("user_id") % 20).cast("double").alias("duration_s"))
+    return labelsets.beyond_the_end(e, "end_s", "duration_s").select("event_id")
+
+
+def local_times(spark, d):
+    o = table(spark, d, "orders")
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    iso = F.when(F.col("o_orderkey") % 3 == 0, F.concat(iso, F.lit("+02:00"))).when(F.col("o_orderkey") % 3 == 1, iso).otherwise("yesterday")
+    return o.select("o_orderkey", labelsets.local_time(iso, "Asia/Shanghai").alias("local"))
+
+
 QUERIES = {
+    "grid_decode": Query(
+        grid_decode,
+        f"""with {VECTORS}, c as (select vec_id, v, unnest([4, 13, 22, 31, 40, 49, 58])::int k from vectors),
+p as (select vec_id, k, k % 8 * 16 + 0.5::double cx, k // 8 * 16 + 0.5::double cy, abs(v[k + 1]) * 35 l, abs(v[(k + 5) % 64 + 1]) * 35 t, abs(v[(k + 11) % 64 + 1]) * 35 r, abs(v[(k + 23) % 64 + 1]) * 35 b from c)
+select vec_id, k, round(greatest(0, least(128, cx - l)), 9) x1, round(greatest(0, least(128, cy - t)), 9) y1, round(greatest(0, least(128, cx + r)), 9) x2, round(greatest(0, least(128, cy + b)), 9) y2 from p""",
+    ),
+    "sharpness": Query(
+        sharpness,
+        f"""with {VECTORS}, c as (select vec_id, list_transform(v, lambda x: x * 8) v, unnest(range(64)) k from vectors),
+n as (select vec_id, v, k, k % 8 x, k // 8 y from c),
+m as (select vec_id, v[k + 1] own, v[y * 8 + abs(x - 1) + 1] w, v[y * 8 + 7 - abs(7 - x - 1) + 1] e, v[abs(y - 1) * 8 + x + 1] u, v[(7 - abs(7 - y - 1)) * 8 + x + 1] b from n)
+select vec_id, round(var_pop(w + e + u + b - 4 * own), 9) sharpness from m group by vec_id""",
+    ),
+    "union_boxes": Query(union_boxes, f"with {BOXES} select image_id, min(x1) x1, min(y1) y1, max(x2) x2, max(y2) y2 from boxes where src = 1 and cls >= 1 group by image_id"),
+    "label_places": Query(
+        label_places,
+        """select p_partkey, case when p_partkey % 7 > 0 then '/2021/a' || case when p_partkey % 3 > 0 then '_' || p_partkey else '' end || '.jpg' end image, 'set/labels/x.' || p_partkey || '.txt' darknet from part""",
+    ),
+    "merged_splits": Query(
+        merged_splits,
+        f"""with {BOXES}, renumber as (select * from (values ('a', 1, 0, 5), ('a', 1, 1, 6), ('b', 2, 2, 5)) t(origin, s, k, goes))
+select origin || '_' || image_id stem, goes cls, origin source, case when idx = 0 then 'train' else 'valid' end split from boxes join renumber on src = s and cls = k where idx in (0, 1, 2)""",
+    ),
+    "combo_members": Query(
+        combo_members,
+        f"""with m as (select r_name, n_name, row_number() over (partition by r_name order by n_name) r from nation join region on n_regionkey = r_regionkey where r_name <> 'ASIA'),
+p as (select * from m where r <= 3), n as (select r_name, max(r) n from p group by r_name), g as (select r_name from region),
+c as (select a.r_name || '+' || b.r_name combo, [a.r_name, b.r_name] names from g a join g b on b.r_name > a.r_name
+  union all select a.r_name || '+' || b.r_name || '+' || c.r_name, [a.r_name, b.r_name, c.r_name] from g a join g b on b.r_name > a.r_name join g c on c.r_name > b.r_name),
+x as (select combo, unnest(names) r_name from c where not list_contains(names, 'ASIA'))
+select combo, x.r_name, n_name from x join n on n.r_name = x.r_name join p on p.r_name = x.r_name and p.r = {h32(7, 'combo', 'x.r_name')} % n.n + 1""",
+    ),
+    "late_events": Query(late_events, "select event_id from events where event_id % 100 / 4.0::double > user_id % 20"),
+    "local_times": Query(
+        local_times,
+        "select o_orderkey, case o_orderkey % 3 when 0 then strftime(o_orderdate + interval 6 hours, '%Y-%m-%d %H:%M:%S') when 1 then strftime(o_orderdate + interval 8 hours, '%Y-%m-%d %H:%M:%S') end \"local\" from orders",
+    ),
     "affine_points": Query(
         affine_points,
         f"""with {BOXES}, s as (select image_id, idx, (x2 - x1) * 640 w, (y2 - y1) * 480 h, conf from boxes where src = 0),
-p as (select image_id, idx, w, h, w * conf * 0.97::double px, h * 0.31::double py, case when idx = 3 then 0 when w * 1.25::double * 256 > h * 1.25::double * 192 then w * 1.25::double else h * 1.25::double * 192 / 256 end f from s)
-select image_id, idx, round(case when f > 0 then (px - w / 2) * 192 / f + 96 else px end, 9) x, round(case when f > 0 then (py - h / 2) * 192 / f + 128 else py end, 9) y,
-  round(px, 9) back_x, round(py, 9) back_y, 0.0::double apart from p""",
+p as (select image_id, idx, w, h, w * conf * 0.7310585786::double px, h * 0.2689414213::double py, case when idx = 3 then 0 when w * 1.25::double * 256 > h * 1.25::double * 192 then w * 1.25::double else h * 1.25::double * 192 / 256 end f from s)
+select image_id, idx, round(case when f > 0 then (px - w / 2) * 192 / f + 96 else px end, 6) x, round(case when f > 0 then (py - h / 2) * 192 / f + 128 else py end, 6) y,
+  round(px, 6) back_x, round(py, 6) back_y, 0.0::double apart from p""",
     ),
     "label_forms": Query(
         label_forms,
