@@ -523,6 +523,23 @@ def _linked(table: pa.Table, group: np.ndarray, n: np.ndarray, t: float, percent
             yield i[link], j[link]
 
 
+def _across(members: DataFrame, t: float) -> DataFrame:
+    """The members (key, node, n, root) that the sketches allow a link with a member of their key in another component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table, group, c = in_order(table, "key")
+        sketches = _Sketches(table.column("sketch").to_pylist())
+        n, root, marked = c["n"], c["root"], np.zeros(len(group), bool)
+        for i, j in _pairs_by_size(group, n, t):
+            other = (root[i] != root[j]) & apart(c, i, j) & ~(marked[i] & marked[j])
+            i, j = i[other], j[other]
+            near = np.isfinite(sketches.within(i, j, ((1 - t) * (n[i] + n[j]) + 1e-9) / (1 + t)))
+            marked[i[near]] = marked[j[near]] = True
+        return pa.table({k: c[k][marked] for k in ("key", "node", "n", "root")})
+
+    return dealt(members, "key", ["root", "sketch"]).groupBy("bucket").applyInArrow(run, "key long, node long, n long, root long").distinct()
+
+
 def _forests(members: DataFrame, t: float, percent: int) -> DataFrame:
     """(a, b): links that join components, a spanning forest from each pair of blocks of a key; members have their sets."""
 
@@ -685,6 +702,8 @@ def near_duplicates(
     split = many.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     many = stored(many.join(split.select("key"), "key"), "apart")
     if not many.isEmpty():
+        # sketches are small: only members that they allow a link across components come with their sets
+        many = stored(_across(many.join(classes.select(F.col("cls").alias("node"), "sketch"), "node"), t), "across")
         late = stored(_forests(many.join(sets.withColumnRenamed("cls", "node"), "node"), t, percent), "links")
         if not late.isEmpty():
             roots = components(links.union(late))
