@@ -523,6 +523,14 @@ def _linked(table: pa.Table, group: np.ndarray, n: np.ndarray, t: float, percent
             yield i[link], j[link]
 
 
+def _one_key_of_each_set(members: DataFrame) -> DataFrame:
+    """``members`` of one key for each set of nodes: copies share many n-grams, and keys of the same nodes give the same pairs."""
+    known = stored(members.distinct(), "members")
+    both = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
+    marks = known.groupBy("key").agg(F.count("*").alias("m"), *both)
+    return known.join(marks.groupBy("m", "h1", "h2").agg(F.min("key").alias("key")).select("key"), "key")
+
+
 def _across(members: DataFrame, t: float) -> DataFrame:
     """The members (key, node, n, root) that the sketches allow a link with a member of their key in another component."""
 
@@ -700,7 +708,7 @@ def near_duplicates(
     many = many.join(classes.select(F.col("cls").alias("node"), "n"), "node").join(roots, "node", "left")
     many = many.select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     split = many.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    many = stored(many.join(split.select("key"), "key"), "apart")
+    many = stored(_one_key_of_each_set(many.join(split.select("key"), "key")), "apart")
     if not many.isEmpty():
         # sketches are small: only members that they allow a link across components come with their sets
         many = stored(_across(many.join(classes.select(F.col("cls").alias("node"), "sketch"), "node"), t), "across")
