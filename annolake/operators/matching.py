@@ -1,16 +1,21 @@
 """Matching of boxes between sources, consensus among sources, and scoring of their disputes.
 
 Boxes are rows (image_id, src, idx, cls, x1, y1, x2, y2, conf). Joins are on the image first, so boxes of different
-images never meet; what one image holds is small and is folded with higher-order functions, without Python.
+images never meet. Pairs are joins and higher-order functions; the walk over seeds, whose steps depend on each other,
+goes through batches of whole images as arrays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annolake.functions.geometry import corners, fields, iou
+from annolake.functions.geometry import corners, iou
 
 
 def iou_pairs(boxes: DataFrame, src_a: int, src_b: int, least: float) -> DataFrame:
@@ -68,54 +73,157 @@ def votes(boxes: DataFrame, target: int, weights: dict[int, float], least: float
     return out.select("image_id", "idx", "n_votes", F.when(F.col("n_votes") < agree, doubt).otherwise(F.lit(0.0)).alias("fp"))
 
 
+PAIRS = 2_000_000  # pairs of boxes that a task compares at once
+
+
+def _alike(left: np.ndarray, right: np.ndarray, start: np.ndarray, end: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, iou) of the corners of one side and those from ``start`` to ``end`` of the other that are ``least`` or more alike.
+
+    However many boxes an image has, PAIRS of them, or those of one box, are held at once.
+    """
+    total = np.r_[0, np.cumsum(end - start)]
+    i = 0
+    while i < len(left):
+        k = max(i + 1, int(np.searchsorted(total, total[i] + PAIRS, "right")) - 1)
+        a = np.repeat(np.arange(i, k), (end - start)[i:k])
+        b = np.arange(total[i], total[k]) - total[a] + start[a]
+        x, y = left[a], right[b]
+        sides = np.maximum(0.0, np.minimum(x[:, 2:], y[:, 2:]) - np.maximum(x[:, :2], y[:, :2]))
+        shared = sides[:, 0] * sides[:, 1]
+        union = (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1]) + (y[:, 2] - y[:, 0]) * (y[:, 3] - y[:, 1]) - shared
+        v = np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
+        keep = v >= least
+        yield a[keep], b[keep], v[keep]
+        i = k
+
+
+def _groups(owner: np.ndarray, src: np.ndarray, idx: np.ndarray, corners: np.ndarray, sources: int, least: float, agree: int) -> tuple[np.ndarray, np.ndarray]:
+    """(members, group of each): boxes on which ``agree`` sources or more agree, each group's seed first.
+
+    Boxes come by image and, in it, in the order of seeds; ``src`` is a source's place among the ``sources``. All images
+    of a batch take their next seed together.
+    """
+    after = np.arange(1, len(owner) + 1)
+    found = [(a[m], b[m], v[m]) for a, b, v in _alike(corners, corners, after, np.searchsorted(owner, owner, "right"), least) for m in [src[a] != src[b]]]
+    a, b, v = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    a, b, v = np.r_[a, b], np.r_[b, a], np.r_[v, v]
+    order = np.lexsort((-idx[b], -v, a))
+    a, b = a[order], b[order]
+    first = np.searchsorted(a, np.arange(len(owner) + 1))
+    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    turns = np.argsort(rank, kind="stable")
+    edges = np.r_[0, np.cumsum(np.bincount(rank))] if len(rank) else np.zeros(1, int)
+    used, members, groups = np.zeros(len(owner), bool), [], []
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        seeds = turns[lo:hi]
+        seeds = seeds[~used[seeds]]
+        sizes = first[seeds + 1] - first[seeds]
+        nth = np.repeat(np.arange(len(seeds)), sizes)
+        near = b[np.arange(len(nth)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[seeds][nth]]
+        free = ~used[near]
+        nth, near = nth[free], near[free]
+        _, nearest = np.unique(nth * sources + src[near], return_index=True)
+        nth, near = nth[nearest], near[nearest]
+        used[seeds], used[near] = True, True
+        enough = 1 + np.bincount(nth, minlength=len(seeds)) >= agree
+        of = np.r_[np.flatnonzero(enough), nth[enough[nth]]]
+        box = np.r_[seeds[enough], near[enough[nth]]]
+        by_group = np.argsort(of, kind="stable")
+        members.append(box[by_group])
+        groups.append(seeds[of[by_group]])
+    none = np.zeros(0, int)
+    return np.concatenate(members or [none]), np.concatenate(groups or [none])
+
+
+def _in_turn(boxes: DataFrame, sources: list[int]) -> DataFrame:
+    """(image_id, nth, src, idx, corners) of the sources' boxes, image by image in the order of seeds."""
+    rows = boxes.where(F.col("src").isin(*sources)).withColumns({"src": F.col("src").cast("int"), "idx": F.col("idx").cast("long")})
+    turn = W.partitionBy("image_id").orderBy(F.desc_nulls_first("conf"), "src", "idx")
+    return rows.select("image_id", F.row_number().over(turn).alias("nth"), "src", "idx", *CORNERS)
+
+
+def _whole_images(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(ids of images, place of its image for each box, src, idx, corners) of rows of _in_turn; an image may go on in the next batch."""
+    held = []
+
+    def arrays() -> tuple:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        first = rows.column("nth").to_numpy() == 1
+        src, idx, *sides = (rows.column(c).to_numpy() for c in ("src", "idx", *CORNERS))
+        return rows.column("image_id").combine_chunks().take(pa.array(np.flatnonzero(first))), np.cumsum(first) - 1, src, idx, np.stack(sides, axis=1)
+
+    for rows in batches:
+        starts = np.flatnonzero(rows.column("nth").to_numpy() == 1)
+        if held and len(starts):
+            held.append(rows.slice(0, starts[-1]))
+            yield arrays()
+            held, rows = [], rows.slice(starts[-1])
+        held.append(rows)
+    if sum(x.num_rows for x in held):
+        yield arrays()
+
+
+def _places(src: np.ndarray, sources: list[int]) -> np.ndarray:
+    """The place of each source among ``sources``, -1 for others."""
+    out = np.full(len(src), -1)
+    for k, x in enumerate(sources):
+        out[src == x] = k
+    return out
+
+
 def consensus(boxes: DataFrame, sources: list[int], least: float, agree: int) -> DataFrame:
     """(image_id, seed_src, seed_idx, supporters): positions on which ``agree`` sources or more have a box.
 
     Seeds come by falling confidence (then source, idx). Each other source supports a seed with its nearest box not yet
     used (the later of equals); a seed's supporters are used up even where they are too few. supporters: array of
-    (src, idx), the seed first. Boxes meet once, in a join that keeps those ``least`` or more alike; what is walked in
-    order, for each image, are the boxes with their short lists of neighbours, nearest first.
+    (src, idx), the seed first. The boxes of an image are brought together once; no pairs of boxes are rows.
     """
-    held = boxes.where(F.col("src").isin(*sources)).select("image_id", F.struct(F.col("src").cast("int").alias("src"), F.col("idx").cast("long").alias("idx")).alias("tag"), "conf", *CORNERS)
-    other = held.select("image_id", F.col("tag").alias("o_tag"), *[F.col(c).alias(f"o_{c}") for c in CORNERS])
-    alike = held.join(other, "image_id").where(F.col("tag.src") != F.col("o_tag.src")).withColumn("v", iou(corners(), corners("o_"))).where(F.col("v") >= least)
-    near = F.struct((-F.col("v")).alias("v"), (-F.col("o_tag.idx")).alias("later"), F.col("o_tag").alias("tag"))
-    near = alike.groupBy("image_id", "tag").agg(F.transform(F.array_sort(F.collect_list(near)), lambda x: x["tag"]).alias("near"))
-    kind = "array<struct<src:int,idx:bigint>>"
-    none = F.array().cast(kind)
-    seeds = held.select("image_id", "tag", "conf").join(near, ["image_id", "tag"], "left")
-    item = F.struct((-F.col("conf")).alias("k"), "tag", F.coalesce("near", none).alias("near"))
-    walked = seeds.groupBy("image_id").agg(F.array_sort(F.collect_list(item)).alias("seeds"))
-
-    def step(acc: Column, seed: Column) -> Column:
-        free = lambda src: F.get(F.filter(seed["near"], lambda x: (x["src"] == src) & ~F.array_contains(acc["used"], x)), 0)
-        group = F.array_compact(F.array(seed["tag"], *[free(src) for src in sources]))
-        taken = F.aggregate(  # binds the group, which is used twice
-            F.array(group),
-            acc,
-            lambda a, g: F.struct(F.concat(a["used"], g).alias("used"), F.when(F.size(g) >= agree, F.concat(a["out"], F.array(g))).otherwise(a["out"]).alias("out")),
-        )
-        return F.when(F.array_contains(acc["used"], seed["tag"]), acc).otherwise(taken)
-
-    start = F.struct(none.alias("used"), F.array().cast(f"array<{kind}>").alias("out"))
-    folded = walked.select("image_id", F.explode(F.aggregate("seeds", start, step)["out"]).alias("g"))
-    return folded.select("image_id", F.col("g")[0]["src"].alias("seed_src"), F.col("g")[0]["idx"].alias("seed_idx"), F.col("g").alias("supporters"))
+    held = _in_turn(boxes, sources)
+    kind = held.schema["image_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, owner, src, idx, corners in _whole_images(batches):
+            members, groups = _groups(owner, _places(src, sources), idx, corners, len(sources), least, agree)
+            starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if len(groups) else np.zeros(0, int)
+            tags = pa.StructArray.from_arrays([pa.array(src[members], pa.int32()), pa.array(idx[members], pa.int64())], ["src", "idx"])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(members)], pa.int32()), tags)
+            seeds = groups[starts]
+            columns = [ids.take(pa.array(owner[seeds])), pa.array(src[seeds], pa.int32()), pa.array(idx[seeds], pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["image_id", "seed_src", "seed_idx", "supporters"])
+
+    return held.mapInArrow(run, f"image_id {kind}, seed_src int, seed_idx long, supporters array<struct<src:int,idx:bigint>>")
 
 
 def dispute_scores(boxes: DataFrame, coverage: DataFrame, target: int, weights: dict[int, float], least: float, agree: int) -> DataFrame:
-    """(image_id, score, n_fp, n_fn) for images that every source covers: doubted target boxes plus missed consensus."""
-    whole = sum(weights.values()) or 1.0
-    weight = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
-    images = null_aware_join(boxes, coverage).select("image_id")
-    fp = votes(boxes, target, weights, least, agree).groupBy("image_id").agg(F.sum("fp").alias("fp"), F.count_if(F.col("n_votes") < agree).alias("n_fp"))
-    seeds = consensus(boxes, list(weights), least, agree).select("image_id", F.col("seed_src").alias("src"), F.col("seed_idx").alias("idx"), "supporters")
-    placed = seeds.join(boxes.select("image_id", "src", "idx", "x1", "y1", "x2", "y2"), ["image_id", "src", "idx"])
-    mine = boxes.where(F.col("src") == target).select("image_id", *[F.col(c).alias(f"t_{c}") for c in ("x1", "y1", "x2", "y2")])
-    covered = placed.join(mine, "image_id").where(iou(corners("t_"), corners()) >= least).select("image_id", "src", "idx").distinct()
-    share = F.aggregate("supporters", F.lit(0.0), lambda a, s: a + F.element_at(weight, s["src"])) / whole
-    fn = placed.join(covered, ["image_id", "src", "idx"], "left_anti").groupBy("image_id").agg(F.sum(share).alias("fn"), F.count("*").alias("n_fn"))
-    joined = images.join(fp, "image_id", "left").join(fn, "image_id", "left").na.fill(0)
-    return joined.select("image_id", (F.col("fp") + F.col("fn")).alias("score"), "n_fp", "n_fn")
+    """(image_id, score, n_fp, n_fn) for images that every source covers: doubted target boxes plus missed consensus.
+
+    The boxes of an image are brought together once; votes, consensus and what it lacks are found from that one row.
+    """
+    sources, whole = list(weights), sum(weights.values()) or 1.0
+    weight = np.array([weights[x] for x in sources], float)
+    images = coverage.groupBy("image_id").agg(F.count("*").alias("sources"), F.count_if("ok").alias("ran")).where("ran = sources").select("image_id")
+    held = _in_turn(boxes, sorted({target, *sources}))
+    kind = held.schema["image_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, image, src, idx, corners in _whole_images(batches):
+            n, place, aim = len(ids), _places(src, sources), src == target
+            mine, targets, own = image[aim], corners[aim], place >= 0
+            owner, place, idx, corners = image[own], place[own], idx[own], corners[own]
+            voted, covered = np.zeros((len(mine), len(sources)), bool), np.zeros(len(owner), bool)
+            for t, b, _ in _alike(targets, corners, np.searchsorted(owner, mine), np.searchsorted(owner, mine, "right"), least):
+                voted[t, place[b]], covered[b] = True, True
+            doubted = voted.sum(axis=1) < agree
+            fp = np.bincount(mine[doubted], ((whole - voted @ weight) / whole)[doubted], n)
+            members, groups = _groups(owner, place, idx, corners, len(sources), least, agree)
+            missed = ~covered[groups]
+            fn = np.bincount(owner[groups[missed]], weight[place[members[missed]]] / whole, n)
+            n_fn = np.bincount(owner[groups[missed & (members == groups)]], minlength=n)
+            columns = [ids, pa.array(fp + fn, pa.float64()), pa.array(np.bincount(mine[doubted], minlength=n), pa.int64()), pa.array(n_fn, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["image_id", "score", "n_fp", "n_fn"])
+
+    scored = held.mapInArrow(run, f"image_id {kind}, score double, n_fp long, n_fn long")
+    return images.join(scored, "image_id", "left").na.fill(0)
 
 
 def sample_class(boxes: DataFrame, target: int, reference: int, least: float) -> DataFrame:

@@ -15,19 +15,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(image_id, src, idx, cls, x1, y1, x2, y2, conf) of four sources, 0 being the target."""
-    first = F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))
-    lines = table(spark, sf_dir, "lineitem").select("*", first.alias("rn")).where("rn = 1")
-    rows = lines.withColumn("src", F.explode(F.array(*[F.lit(k) for k in range(4)]))).where("(l_partkey + 3 * src) % 5 <> 0")
-    rows = rows.selectExpr(
-        "l_orderkey as image_id", "src", "l_linenumber as ln", "cast(l_partkey % 3 as int) as cls",
+    """(image_id, src, idx, cls, x1, y1, x2, y2, conf) of four sources, 0 being the target.
+
+    Lines are dealt by order and sorted once, before they become boxes; what groups by image needs no further shuffle.
+    """
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    first = F.row_number().over(W.partitionBy(*order[:2]).orderBy(*order[2:]))
+    lines = table(spark, sf_dir, "lineitem").select(*order).repartition("l_orderkey").select("*", first.alias("rn")).where("rn = 1")
+    held = [F.expr(f"(l_partkey + {3 * k}) % 5 <> 0") for k in range(4)]
+    earlier = W.partitionBy("l_orderkey").orderBy("l_linenumber").rowsBetween(W.unboundedPreceding, 0)
+    places = [F.when(h, F.struct(F.lit(k).alias("src"), (F.count_if(h).over(earlier) - 1).alias("idx"))).alias(f"p{k}") for k, h in enumerate(held)]
+    rows = lines.select("*", *places).withColumn("p", F.explode(F.array_compact(F.array("p0", "p1", "p2", "p3"))))
+    rows = rows.select("*", "p.src", "p.idx").selectExpr(
+        "l_orderkey as image_id", "src", "idx", "cast(l_partkey % 3 as int) as cls",
         "((l_partkey * 37) % 640 + (l_suppkey + 13 * src) % 33) / 1024D as x1",
         "((l_suppkey * 53 + l_linenumber * 17) % 640 + (l_partkey + 7 * src) % 33) / 1024D as y1",
         "(96 + (cast(l_quantity as bigint) * 5) % 160) / 1024D as w", "(96 + (l_partkey * 11) % 160) / 1024D as h",
         "((l_suppkey * 31 + l_partkey * 17 + 7 * src) % 128) / 128D as conf",
     )
-    idx = (F.row_number().over(W.partitionBy("image_id", "src").orderBy("ln")) - 1).cast("long")
-    return rows.select("image_id", "src", idx.alias("idx"), "cls", "x1", "y1", (F.col("x1") + F.col("w")).alias("x2"), (F.col("y1") + F.col("h")).alias("y2"), "conf")
+    return rows.select("image_id", "src", "idx", "cls", "x1", "y1", (F.col("x1") + F.col("w")).alias("x2"), (F.col("y1") + F.col("h")).alias("y2"), "conf")
 
 
 BOXES = """

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from annolake.operators import evaluation, exports, matching
 from annolake.plans.fixtures import BOXES, COVERAGE, GREEDY, IOU, boxes, coverage, pairs_sql
 from annolake.plans.query import Query
-from annolake.plans.storage import kept
 
 WEIGHTS = {1: 0.25, 2: 0.375, 3: 0.375}
 NINE = lambda c: (F.round(c, 9) + 0.0).alias(c)
@@ -39,12 +38,12 @@ def fp_votes(spark, d):
 
 
 def consensus(spark, d):
-    out = matching.consensus(kept(boxes(spark, d)), [1, 2, 3], 0.3, 2)
+    out = matching.consensus(boxes(spark, d), [1, 2, 3], 0.3, 2)
     return out.select("image_id", "seed_src", "seed_idx", F.size("supporters").alias("n_supporters"))
 
 
 def dispute_score(spark, d):
-    out = matching.dispute_scores(kept(boxes(spark, d)), coverage(spark, d), 0, WEIGHTS, 0.3, 2)
+    out = matching.dispute_scores(boxes(spark, d), coverage(spark, d), 0, WEIGHTS, 0.3, 2)
     return out.select("image_id", NINE("score"), "n_fp", "n_fn")
 
 

@@ -137,3 +137,30 @@ def test_text_rules(spark):
         assert one.select(labels.event_span(F.lit(bad))).first()[0] is None
     with pytest.raises(Exception, match="must be positive"):
         one.select(labels.uniform_times(F.lit(1.0), F.lit(0))).collect()
+
+
+def test_consensus_and_disputes_bring_the_boxes_of_an_image_together_once(spark, capsys):
+    df, cover = spark.createDataFrame(random_boxes(5), BOX), spark.createDataFrame([(1, 0, True)], "image_id long, src int, ok boolean")
+    dealt = df.repartition(7, "image_id")
+    for found, most in ((matching.consensus(dealt, [1, 2, 3], 0.3, 2), 1), (matching.dispute_scores(dealt, cover, 0, {1: 0.5, 2: 0.5}, 0.3, 2), 4)):
+        capsys.readouterr()
+        found.explain()
+        assert capsys.readouterr().out.count("Exchange ") <= most
+
+
+def test_images_that_span_batches_of_arrow_stay_whole(spark):
+    rows = random_boxes(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = sorted((r.image_id, tuple((s.src, s.idx) for s in r.supporters)) for r in matching.consensus(spark.createDataFrame(rows, BOX), [1, 2, 3], 0.3, 2).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == consensus_spec(rows, [1, 2, 3], 0.3, 2)
+
+
+def test_boxes_are_dealt_and_sorted_once(spark, capsys):
+    from annolake.plans.fixtures import boxes
+
+    boxes(spark, "/root/testdata/sf0.001").groupBy("image_id").count().explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
