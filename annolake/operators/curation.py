@@ -39,7 +39,8 @@ def neighbours(rows: DataFrame, sequence: str, order: str, value: str) -> DataFr
 def merged(sources: dict[str, DataFrame], classes: DataFrame, split: str | None = None) -> DataFrame:
     """(stem, cls, source[, split]) of all sources; ``classes`` (source, cls, to) renumbers, what it lacks is dropped, and
     an image whose boxes are all dropped is gone. Stems carry their source's name. ``split`` names a column of the
-    sources: test goes to valid, and rows of no known split are left out."""
+    sources: test goes to valid, and rows of no known split are left out. ``classes`` is broadcast: dealt by
+    class, the boxes of a frequent class would be sorted in one task."""
     every = None
     for name, rows in sources.items():
         kept = []
@@ -48,7 +49,7 @@ def merged(sources: dict[str, DataFrame], classes: DataFrame, split: str | None
             kept = [F.when(F.col(split) == "train", "train").otherwise("valid").alias("split")]
         own = rows.select(F.concat(F.lit(name + "_"), F.col("stem").cast("string")).alias("stem"), "cls", F.lit(name).alias("source"), *kept)
         every = own if every is None else every.unionByName(own)
-    return every.join(classes, ["source", "cls"]).select("stem", F.col("to").alias("cls"), "source", *(["split"] if split else []))
+    return every.join(F.broadcast(classes), ["source", "cls"]).select("stem", F.col("to").alias("cls"), "source", *(["split"] if split else []))
 
 
 def pooled(images: dict[str, DataFrame], labels: dict[str, DataFrame]) -> DataFrame:

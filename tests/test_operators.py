@@ -164,3 +164,16 @@ def test_boxes_are_dealt_and_sorted_once(spark, capsys):
     boxes(spark, "/root/testdata/sf0.001").groupBy("image_id").count().explain()
     plan = capsys.readouterr().out
     assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
+
+
+def test_merged_boxes_are_not_dealt_by_class(spark, capsys):
+    from annolake.operators import curation
+
+    rows = spark.range(1000).selectExpr("id as stem", "cast(id % 2 as int) as cls")
+    classes = spark.createDataFrame([("a", 0, 5), ("a", 1, 6), ("b", 1, 5)], "source string, cls int, to int")
+    out = curation.merged({"a": rows, "b": rows}, classes)
+    assert out.count() == 1500
+    capsys.readouterr()
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
