@@ -109,17 +109,8 @@ class VectorTracks:
             v = np.asarray([] if v is None else v, float)
             n = float(np.sqrt(v @ v))
             unit.append(v / n if n > 0 else None)
-        match, known = {}, list(self.tracks)
-        seen = [i for i, u in enumerate(unit) if u is not None]
-        if seen and known:
-            scores, near = np.zeros((len(found), len(known))), np.zeros((len(found), len(known)), bool)
-            places = np.array([self.tracks[k][1] for k in known], float)
-            at = np.array([found[i][1] for i in seen], float)
-            far = np.hypot(at[:, None, 0] - places[None, :, 0], at[:, None, 1] - places[None, :, 1])
-            # to nine decimals, so that equal vectors tie whatever the order of summation
-            scores[seen] = np.round(np.array([unit[i] for i in seen]) @ np.array([self.tracks[k][0] for k in known]).T, 9)
-            near[seen] = (far <= self.radius) & (scores[seen] >= self.least)
-            match = one_to_one(scores, near)
+        known = list(self.tracks)
+        match = self.matched(unit, [at for _, at in found], known) if known else {}
         ids = []
         for i, (u, (_, at)) in enumerate(zip(unit, found, strict=True)):
             if u is None:
@@ -137,6 +128,69 @@ class VectorTracks:
         return ids, ended
 
 
+    def matched(self, unit: list, centres: list, known: list[int]) -> dict[int, int]:
+        """{detection: place in ``known``} by falling likeness, as if all pairs were ranked.
+
+        Vectors that are alike to nine decimals come first in that order. They lie within SAME of each other, so also
+        along any one direction, and are found by a sorted column. Only what they leave free meets pair by pair, in
+        blocks and in single precision with room for its error; likeness itself is summed for the pairs that pass.
+        """
+        seen = np.array([i for i, u in enumerate(unit) if u is not None], int)
+        if not len(seen):
+            return {}
+        vectors, tracks = np.array([unit[i] for i in seen]), np.array([self.tracks[k][0] for k in known])
+        at, places = np.array([centres[i] for i in seen], float), np.array([self.tracks[k][1] for k in known], float)
+
+        def close(i: np.ndarray, j: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            # to nine decimals, so that equal vectors tie whatever the order of summation
+            score = np.round(np.einsum("ij,ij->i", vectors[i], tracks[j]), 9)
+            ok = (score >= least) & (np.hypot(at[i, 0] - places[j, 0], at[i, 1] - places[j, 1]) <= self.radius)
+            return i[ok], j[ok], score[ok]
+
+        axis = np.cos(np.arange(1, vectors.shape[1] + 1) ** 2)  # any fixed direction
+        axis /= np.sqrt(axis @ axis)
+        along, order = vectors @ axis, np.argsort(tracks @ axis, kind="stable")
+        line = (tracks @ axis)[order]
+        start, end = np.searchsorted(line, along - SAME), np.searchsorted(line, along + SAME, "right")
+        total, n = np.r_[0, np.cumsum(end - start)], len(seen)
+        out, taken = {}, np.zeros(len(known), bool)
+        if self.least <= 1.0:
+            same = [np.zeros(0, int)] * 2
+            for lo, hi in _blocks(total):
+                i = np.repeat(np.arange(lo, hi), (end - start)[lo:hi])
+                j = order[np.arange(total[lo], total[hi]) - total[i] + start[i]]
+                i, j, _ = close(i, j, 1.0)
+                same = [np.r_[same[0], i], np.r_[same[1], j]]
+            for k in np.lexsort((same[1], same[0])).tolist():
+                i, j = int(same[0][k]), int(same[1][k])
+                if i not in out and not taken[j]:
+                    out[i], taken[j] = j, True
+        left, free = np.array([i for i in range(n) if i not in out], int), np.flatnonzero(~taken)
+        rest = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        short, other = vectors[left].astype(np.float32), tracks[free].astype(np.float32).T
+        for lo, hi in _blocks(np.arange(len(left) + 1) * len(free)):
+            i, j = np.divmod(np.flatnonzero(short[lo:hi] @ other >= self.least - 1e-4), max(1, len(free)))
+            rest.append(close(left[lo + i], free[j], self.least))
+        i, j, score = (np.concatenate(c) for c in zip(*rest, strict=True))
+        for k in np.lexsort((j, i, -score)).tolist():
+            if int(i[k]) not in out and not taken[j[k]]:
+                out[int(i[k])], taken[j[k]] = int(j[k]), True
+        return {int(seen[i]): j for i, j in out.items()}
+
+
+SAME = 1e-4  # unit vectors whose product is 1 to nine decimals differ by less than 3.2e-5
+PAIRS = 4_000_000  # pairs of detections and tracks that are compared at once
+
+
+def _blocks(total: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold PAIRS pairs or fewer, or are one row; ``total`` counts the pairs before each row."""
+    lo = 0
+    while lo < len(total) - 1:
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + PAIRS, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 @dataclass
 class PoseGate:
     """Whether a pose is due for one track: first sighting, key frame, changed shape, or return after absence."""
@@ -182,7 +236,11 @@ def in_frames(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, int, int,
 
 
 def _in_order(frames: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[tuple]]) -> DataFrame:
-    """TRACKED rows that ``run`` makes of the frames of each partition, whole videos in order."""
+    """TRACKED rows that ``run`` makes of the frames of each partition, whole videos in order.
+
+    The number of partitions is fixed, so that small videos are not put together in one task that takes long.
+    """
+    parts = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def batched(batches):
         out = []
@@ -193,7 +251,7 @@ def _in_order(frames: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterato
                 out = []
         yield pd.DataFrame(out, columns=_FIELDS).astype(_KINDS)
 
-    return frames.repartition("video").sortWithinPartitions("video", "ts_ms", "frame_idx", "det_idx").mapInPandas(batched, TRACKED)
+    return frames.repartition(parts, "video").sortWithinPartitions("video", "ts_ms", "frame_idx", "det_idx").mapInPandas(batched, TRACKED)
 
 
 _FIELDS = ["video", "frame_idx", "ts_ms", "det_idx", "track_id", "ended"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from annolake.operators import matching, tracking
 from annolake.plans.fixtures import BOXES, DETECTIONS, boxes, detections, pairs_sql, table, vectors
 from annolake.plans.query import Query
+from annolake.plans.storage import kept
 
 
 def tracked(spark, d):
@@ -70,7 +71,7 @@ def track_histories(spark, d):
     rows = detections(spark, d).join(v, "track", "left")
     rows = rows.withColumn("aspect", 0.3 + F.col("ts_ms") / 3600000 % 8 / 16).withColumn("pose", F.when(F.col("event_id") % 2 == 0, F.col("conf")))
     until = rows.agg(F.max("ts_ms")).first()[0]
-    tracked = tracking.track_vectors(rows, until_ms=until, ttl_s=36 * 3600.0, least=0.3)
+    tracked = kept(tracking.track_vectors(rows, until_ms=until, ttl_s=36 * 3600.0, least=0.3))  # read by each branch of histories
     seen = tracked.join(rows.select("video", "frame_idx", "det_idx", "cls", "aspect", "pose"), ["video", "frame_idx", "det_idx"], "left")
     return tracking.histories(seen, key_every=3)
 

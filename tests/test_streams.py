@@ -209,3 +209,28 @@ def test_windows_and_sessions_over_a_stream(spark, tmp_path, state_store):
         found = spark.read.parquet(f"{tmp_path}/out{k}")
         closed = whole(e).where(F.col("end") <= F.lit(end) - F.expr("interval 1 hour"))
         assert found.count() and same(found, closed, found.columns)
+
+
+def test_matching_in_tiers_is_that_of_all_pairs_in_bounded_blocks(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(tracking, "PAIRS", 50)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(40, 8))
+    state, seen = tracking.VectorTracks(least=0.2, radius=0.5), {}
+    for frame in range(12):
+        found = [(None if w == 7 else v[w] * (1 + w), (float(w % 5) / 8, float(w % 3) / 8)) for w in rng.integers(0, 40, 30).tolist()]
+        unit = [None if x is None else x / math.sqrt(x @ x) for x, _ in found]
+        pairs = []
+        for i, u in enumerate(unit):
+            for j, (t, at, _) in enumerate(state.tracks.values()):
+                if u is not None and round(float(u @ t), 9) >= 0.2 and math.dist(at, found[i][1]) <= 0.5:
+                    pairs.append((-round(float(u @ t), 9), i, j))
+        known, expected = list(state.tracks), {}
+        for _, i, j in sorted(pairs):
+            if i not in expected and j not in expected.values():
+                expected[i] = j
+        before = state.next_id
+        ids, _ = state.step(frame * 1000, found)
+        assert {i: k for i, k in enumerate(ids) if 0 < k < before} == {i: known[j] for i, j in expected.items()}
+    assert list(tracking._blocks(np.array([0, 20, 40, 60, 160]))) == [(0, 2), (2, 3), (3, 4)]
