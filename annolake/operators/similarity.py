@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 
 from annolake.functions.vectors import dot, normalised, squared_distance
 
-BLOCK = 4096  # vectors to a block
+BLOCK = 4096  # vectors to a block, as long as there are few blocks
+LARGE = 65536  # vectors to a block at most
+BLOCKS = 12  # blocks that many vectors are dealt into; each vector is shuffled once for each block
+
+
+def _blocks(n: int) -> int:
+    """Blocks for all pairs of ``n`` vectors: BLOCKS while these hold BLOCK to LARGE vectors, so that what is shuffled
+    grows as the vectors do; only beyond BLOCKS * LARGE vectors are there more, so that a task stays bounded."""
+    return max(1, min(-(-n // BLOCK), BLOCKS), -(-n // LARGE))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -26,7 +34,7 @@ def similar_pairs(vectors: DataFrame, least: float, key: str = "vec_id", vector:
     and only pairs that pass are ever rows. Rows without a vector are left out.
     """
     rows = vectors.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
-    blocks = max(1, -(-rows.count() // BLOCK))
+    blocks = _blocks(rows.count())
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = dealt.select(F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "v")
@@ -36,8 +44,9 @@ def similar_pairs(vectors: DataFrame, least: float, key: str = "vec_id", vector:
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
         left, right = np.flatnonzero(side == x), np.flatnonzero(side == y)
         found = []
-        for k in range(0, len(left), 512):
-            sims = v[left[k : k + 512]] @ v[right].T
+        others = v[right].T
+        for k in range(0, len(left), 256):
+            sims = v[left[k : k + 256]] @ others
             i, j = np.nonzero(sims >= least - 1e-9)
             found.append((ids[left[k + i]], ids[right[j]], sims[i, j]))
         a, b, s = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
@@ -147,6 +156,6 @@ def density_clusters(items: DataFrame, pairs: DataFrame, least_weight: float, ke
     mass = both.join(w.select(F.col("a").alias("b"), "w"), "b").groupBy("a").agg(F.sum("w").alias("mass"))
     cores = keep(mass.where(F.col("mass") >= least_weight).select("a"))
     linked = both.join(cores, "a").join(cores.select(F.col("a").alias("b")), "b").select("a", "b")
-    roots = components(linked, keep)
+    roots = components(linked.where("a <= b"), keep)  # which adds the other direction itself
     reach = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("cluster"))
     return reach.select(F.col("a").alias(key), "cluster")

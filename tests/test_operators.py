@@ -177,3 +177,9 @@ def test_merged_boxes_are_not_dealt_by_class(spark, capsys):
     out.explain()
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_many_vectors_are_dealt_into_as_many_blocks_as_few():
+    from annolake.operators import similarity
+
+    assert [similarity._blocks(n) for n in (0, 1, 4096, 4097, 50_000, 600_000, 786_432, 786_433)] == [1, 1, 1, 2, 12, 12, 12, 13]
