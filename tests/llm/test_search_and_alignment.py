@@ -218,3 +218,21 @@ def test_byte_level_ids_are_those_of_the_model():
     texts += ["<|endoftext|>", "x" * 500, " " * 300 + "y", base64.b64encode(bytes(range(256)) * 8).decode()]
     assert [x.tolist() for x in encode(texts)] == [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
     assert all(b"".join(spelled[i] for i in x.tolist()) == t.encode() for x, t in zip(encode(texts), texts, strict=True))
+
+
+@vocabularies
+def test_alignment_of_one_wide_group():
+    """The links of a group of many tokens are counted, not made one by one."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = 20_000
+    a, b = np.arange(n) % 3, np.arange(2 * n) % 5
+    ends_a, ends_b = np.arange(1, n + 1) * 8 - 1, np.arange(1, 2 * n + 1) * 4
+    ends_a[-1] = ends_b[-1]
+    block = alignment.Block(pa.array([7]), (a, b), (ends_a, ends_b), (np.array([0, n]), np.array([0, 2 * n])))
+    text, end_a, end_b = alignment.cuts(block)
+    assert (text.tolist(), end_a.tolist(), end_b.tolist()) == ([0], [n], [2 * n])
+    own, pair, times = alignment.link_counts(block, text, end_a, end_b)
+    expected = {x << 32 | y: p * q for x, p in Counter(a.tolist()).items() for y, q in Counter(b.tolist()).items()}
+    assert own.tolist() == [0] * 15 and dict(zip(pair.tolist(), times.tolist(), strict=True)) == expected
