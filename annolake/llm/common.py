@@ -90,6 +90,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 BASE = 0x9E3779B97F4A7C15
+BASES, POWERS = 6, 1 << 20  # bases and powers of each that a worker keeps; runs draw new bases, workers live on
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -100,7 +101,10 @@ def powers(base: int, n: int) -> np.ndarray:
         factors = np.full(max(n, 1 << 16), base, np.uint64)
         factors[0] = 1
         have = np.multiply.accumulate(factors)
-        if len(have) <= 1 << 23:
+        if len(have) <= POWERS:
+            _powers.pop(base, None)
+            while len(_powers) >= BASES:
+                del _powers[next(iter(_powers))]
             _powers[base] = have
     return have[:n]
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import mixed, partitions, prefix_hashes, slices, span_hash, stored, text_buffers
 
-CHUNK = 1 << 20
+CHUNK = 1 << 17  # bytes of text hashed at a time, at some 150 bytes of arrays each
 GRAM = 32
 HOT = 2000  # borders
 MANY = 64  # pointers of one gram and batch

@@ -63,3 +63,23 @@ def test_repeated_rows_extra_columns_and_empty_table(spark):
     out = suffix_dedup.without_repeats(df).collect()
     assert [(r.id, len(r.spans)) for r in out] == [(1, 0), (1, 0)]
     assert suffix_dedup.without_repeats(df.limit(0)).count() == 0
+
+
+def test_hashing_holds_little_and_forgets_bases():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from annolake.llm import common
+
+    texts = pa.record_batch([pa.array(range(40)), pa.array([" ".join(f"{i * k % 9973}" for k in range(10_000)) for i in range(1, 41)])], ["id", "text"])
+    data, offsets = common.text_buffers(texts.column(1))
+    tracemalloc.start()
+    for _ in range(4):  # every run draws bases of its own
+        bases = suffix_dedup.new_bases()
+        for a, b in common.slices(offsets, suffix_dedup.CHUNK):
+            suffix_dedup.pointers(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], 200, bases)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    assert len(common._powers) <= common.BASES
