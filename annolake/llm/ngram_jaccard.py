@@ -36,7 +36,8 @@ from annolake.llm.common import mixed, named, partitions, prefix_hashes, slices,
 from annolake.llm.graph import components
 
 LEAST_BITS = 64
-CHUNK = 1 << 21  # bytes of text hashed at a time
+CHUNK = 1 << 18  # bytes of text hashed at a time, at some 50 bytes of arrays each
+KEYS_AT_ONCE = 1 << 19  # keys packed at a time
 BLOCK, BLOCK_HASHES = 2048, 1 << 19  # members of a group, and n-grams of them, held against each other at a time
 DEALT = 100_000  # rows of blocks in one task, or n-grams of them times 32
 PAIRS_AT_ONCE = 1 << 15
@@ -129,6 +130,16 @@ def distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _frequent(parts: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that the parts hold ``least`` times or more, and how often; empties ``parts``, and sorts in place."""
+    held = np.concatenate(parts or [np.zeros(0, np.uint64)])
+    parts.clear()
+    held.sort()
+    values = held[: max(len(held) - least + 1, 0)]
+    values = np.unique(values[values == held[least - 1 :]])
+    return values, np.searchsorted(held, values, "right") - np.searchsorted(held, values)
+
+
 def describe(docs: DataFrame, width: int, salt: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n, cls, sums, sketch) per row, and (hash, n) rows with kind 1 for n-grams that are frequent within a batch."""
     names = ["kind", "id", "n", "cls", "sums", "sketch"]
@@ -150,14 +161,13 @@ def describe(docs: DataFrame, width: int, salt: int, id_col: str, text_col: str)
                     ],
                     names,
                 )
-            values, counts = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.uint64), return_counts=True)
-            often = counts >= max(16, batch.num_rows // 500)
-            k = int(often.sum())
+            values, counts = _frequent(tokens, max(16, batch.num_rows // 500))
+            k = len(values)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.ones(k, np.int32)),
-                    pa.array(values[often].view(np.int64)),
-                    pa.array(counts[often].astype(np.int64)),
+                    pa.array(values.view(np.int64)),
+                    pa.array(counts),
                     pa.nulls(k, pa.int64()),
                     pa.nulls(k, pa.int64()),
                     pa.nulls(k, pa.binary()),
@@ -282,7 +292,7 @@ def _key_blocks(docs: DataFrame, width: int, t: float, salt: int, id_col: str, t
 
     def run(batches):
         for batch in batches:
-            keys, sizes, classes = [], [], []
+            keys, sizes, classes, held = [], [], [], 0
             for _, hashes, offsets in shingle_sets(batch.column(1), width):
                 cls = _class_ids(hashes, offsets, salt)
                 _, firsts = np.unique(cls, return_index=True)
@@ -295,6 +305,10 @@ def _key_blocks(docs: DataFrame, width: int, t: float, salt: int, id_col: str, t
                 keys.append(k)
                 classes.append(cls[o])
                 sizes.append(_size_steps(np.diff(offsets))[o])
+                held += len(k)
+                if held >= KEYS_AT_ONCE:
+                    yield key_blocks(np.concatenate(keys), np.concatenate(classes), np.concatenate(sizes), buckets, limit)
+                    keys, sizes, classes, held = [], [], [], 0
             if keys:
                 yield key_blocks(np.concatenate(keys), np.concatenate(classes), np.concatenate(sizes), buckets, limit)
 

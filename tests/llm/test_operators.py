@@ -355,3 +355,26 @@ def test_pipeline_stages(spark, tmp_path):
     left = stages["near_dedup"](spark, docs, "/root/testdata/sf0.001")
     groups = components([tuple(r) for r in docs.select("doc_id", "text").collect()])
     assert sorted(r.doc_id for r in left.collect()) == sorted(i for i, (_, root) in groups.items() if i == root) and left.columns == docs.columns
+
+
+def _peak(run):
+    import tracemalloc
+
+    tracemalloc.start()
+    out = run()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    return out, peak
+
+
+def test_shingles_hold_little_of_a_batch():
+    import pyarrow as pa
+
+    texts = pa.array([" ".join(f"{i * k % 9973}" for k in range(10_000)) for i in range(1, 101)])
+    found, peak = _peak(lambda: sum(len(hashes) for _, hashes, _ in ngram_jaccard.shingle_sets(texts, 5)))
+    assert found > 900_000
+    assert peak < 40 << 20
+    parts = [np.array([5, 7, 5], np.uint64), np.array([7, 7, 9, 5], np.uint64)]
+    values, counts = ngram_jaccard._frequent(parts, 3)
+    assert (values.tolist(), counts.tolist(), parts) == ([5, 7], [3, 3], [])
+    assert [len(x) for x in ngram_jaccard._frequent([], 3)] == [0, 0]
