@@ -27,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from annolake.llm.common import slices, text_buffers
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 ZIPF = 100.0
-BLOCK = 1 << 23  # characters of text whose words are sorted together
+BLOCK = 1 << 19  # bytes of text whose words are sorted together
+KNOWN = 1 << 16  # words whose ids are kept from block to block
 _WORDS = re.compile(r" *[^ \n]+| +|\n+")
 
 
@@ -110,10 +113,13 @@ def segmented(words: list[str], vocabulary: Vocabulary, root: dict) -> Iterator[
         previous = word
 
 
-def encoded_block(texts: list[str | None], vocabulary: Vocabulary, root: dict) -> list[np.ndarray | None]:
+def encoded_block(texts: list[str | None], vocabulary: Vocabulary, root: dict, known: dict[str, list[int]]) -> list[np.ndarray | None]:
+    """Ids of each text; ``known`` has ids of words of earlier blocks and takes those of this one, as long as they are few."""
     split = [None if t is None else _WORDS.findall(f" {t}") if t else [] for t in texts]
-    distinct = sorted({w for words in split if words for w in words})
-    ids = dict(segmented(distinct, vocabulary, root))
+    distinct = {w for words in split if words for w in words}
+    if len(known) > KNOWN:
+        known.clear()
+    known.update(segmented(sorted(distinct.difference(known)), vocabulary, root))
     out = []
     for words in split:
         if words is None:
@@ -121,20 +127,17 @@ def encoded_block(texts: list[str | None], vocabulary: Vocabulary, root: dict) -
             continue
         flat: list[int] = []
         for w in words:
-            flat += ids[w]
+            flat += known[w]
         out.append(np.array(flat, np.int32))
     return out
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size >= BLOCK:
-            yield first, k + 1
-            first, size = k + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def encoded_batch(texts: pa.Array, vocabulary: Vocabulary, root: dict) -> Iterator[pa.Array]:
+    """Ids of the texts, block by block: what a worker holds does not grow with the batch."""
+    known: dict[str, list[int]] = {}
+    _, offsets = text_buffers(texts)
+    for a, b in slices(offsets, BLOCK):
+        yield pa.array(encoded_block(texts.slice(a, b - a).to_pylist(), vocabulary, root, known), pa.list_(pa.int32()))
 
 
 def _renamed(df: DataFrame, taken: str) -> DataFrame:
@@ -162,10 +165,10 @@ def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", mod
     def run(batches):
         root = vocabulary.trie()
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for a, b in _blocks(texts):
-                ids = pa.array(encoded_block(texts[a:b], vocabulary, root), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), ids], [*kept, ids_col])
+            a = 0
+            for ids in encoded_batch(batch.column(at), vocabulary, root):
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, len(ids)) for c in batch.columns), ids], [*kept, ids_col])
+                a += len(ids)
 
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     return _numbered(docs).mapInArrow(run, schema)

@@ -378,3 +378,19 @@ def test_shingles_hold_little_of_a_batch():
     values, counts = ngram_jaccard._frequent(parts, 3)
     assert (values.tolist(), counts.tolist(), parts) == ([5, 7], [3, 3], [])
     assert [len(x) for x in ngram_jaccard._frequent([], 3)] == [0, 0]
+
+
+def test_encoding_holds_little_of_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    v = sp_viterbi.Vocabulary.load()
+    root, texts = v.trie(), pa.array([" ".join(f"w{i * k % 997}" for k in range(10_000)) for i in range(1, 81)])
+    ids, peak = _peak(lambda: [x.value_lengths().to_pylist() for x in sp_viterbi.encoded_batch(texts, v, root)])
+    assert len(sum(ids, [])) == 80
+    assert peak < 40 << 20
+    some = pa.array(["a b", None, "", "the cat", "a cat", "b the"])
+    whole = [x for part in sp_viterbi.encoded_batch(some, v, root) for x in part.to_pylist()]
+    for known in (1, 0):
+        monkeypatch.setattr(sp_viterbi, "KNOWN", known)
+        monkeypatch.setattr(sp_viterbi, "BLOCK", 3)
+        assert [x for part in sp_viterbi.encoded_batch(some, v, root) for x in part.to_pylist()] == whole
