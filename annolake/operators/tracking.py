@@ -19,23 +19,83 @@ from pyspark.sql import functions as F
 
 
 def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """IoU of each (x, y, width, height) of ``a`` with each of ``b``."""
-    low = np.maximum(a[:, None, :2], b[None, :, :2])
-    high = np.minimum(a[:, None, :2] + a[:, None, 2:], b[None, :, :2] + b[None, :, 2:])
-    shared = np.maximum(high - low, 0.0).prod(axis=2)
-    union = a[:, None, 2:].prod(axis=2) + b[None, :, 2:].prod(axis=2) - shared
+    """IoU of each (x, y, width, height) of ``a`` with the one of ``b`` beside it; the four are the first axis."""
+    wide = np.maximum(np.minimum(a[0] + a[2], b[0] + b[2]) - np.maximum(a[0], b[0]), 0.0)
+    high = np.maximum(np.minimum(a[1] + a[3], b[1] + b[3]) - np.maximum(a[1], b[1]), 0.0)
+    shared = wide * high
+    union = a[2] * a[3] + b[2] * b[3] - shared
     return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
 
 
-def one_to_one(scores: np.ndarray, allowed: np.ndarray) -> dict[int, int]:
-    """{left: right} of the ``allowed`` pairs by falling score; equal scores: smaller left, then smaller right."""
-    left, right = np.nonzero(allowed)
-    out, taken = {}, set()
-    for k in np.lexsort((right, left, -scores[left, right])).tolist():
-        i, j = int(left[k]), int(right[k])
-        if i not in out and j not in taken:
-            out[i] = j
-            taken.add(j)
+TIERS = (0.97, 0.9, 0.75, 0.5)  # overlaps down to which pairs are looked for, one after the other
+HELD = 500_000  # pairs of boxes that are compared at once, and those that are ranked at once
+
+
+def _near(a: np.ndarray, b: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, IoU) of the pairs with ``least`` or more, in blocks of whole boxes of ``a``; ``b`` is in order of x.
+
+    Boxes of IoU t share t of either's width and height, so they begin no further apart than the part that is not
+    shared. Where rounding may count, because a box is tiny for its place or is none, it is compared with all.
+    """
+    t, n = least - 0.01, b.shape[1]  # room for rounding
+    every = ~((a[2:] > 1e-9 * np.abs(a[:2])) & (t > 0)).all(axis=0)
+    spare = np.where(every, 0.0, (1 - t) * a[2:])
+    low, high = a[:2] - spare / max(t, 0.01), a[:2] + spare
+    start = np.where(every, 0, np.searchsorted(b[0], low[0]))
+    count = np.where(every, n, np.maximum(np.searchsorted(b[0], high[0], "right") - start, 0))
+    total = np.r_[0, np.cumsum(count)]
+    for lo, hi in _blocks(total, HELD):
+        i = np.repeat(np.arange(lo, hi), count[lo:hi])
+        j = np.arange(total[lo], total[hi]) - total[i] + start[i]
+        y = b[1][j]
+        ok = every[i] | (y >= low[1][i]) & (y <= high[1][i])
+        i, j = i[ok], j[ok]
+        score = overlaps(a[:, i], b[:, j])
+        ok = score >= least
+        yield i[ok], j[ok], score[ok]
+
+
+def _ranked(blocks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(i, j, score) by falling score, then i: all of them, or of more than 2 * HELD the first HELD with all that tie with the last of these; whether all."""
+    i, j, score, last = np.zeros(0, int), np.zeros(0, int), np.zeros(0), None
+    for block in blocks:
+        i, j, score = (np.concatenate(c) for c in zip((i, j, score), block, strict=True))
+        if len(i) > 2 * HELD:
+            k = np.lexsort((i, -score))[HELD - 1]
+            last = score[k], i[k]
+            ok = (score > last[0]) | (score == last[0]) & (i <= last[1])
+            i, j, score = i[ok], j[ok], score[ok]
+    if last is not None:
+        ok = (score > last[0]) | (score == last[0]) & (i <= last[1])
+        i, j, score = i[ok], j[ok], score[ok]
+    order = np.lexsort((i, -score))
+    return i[order], j[order], score[order], last is None
+
+
+def one_to_one(boxes: np.ndarray, tracks: np.ndarray, least: float) -> dict[int, int]:
+    """{box: track} by falling IoU of ``least`` or more; equal IoU: smaller box, then smaller track. As if all pairs were ranked.
+
+    Tracks with equal boxes wait in one line, the smallest first. Pairs are ranked tier by tier from the closest down, a
+    bounded number at a time, and each time among what is still free: what comes before a pair never depends on it.
+    """
+    a, order = boxes.T, np.lexsort(tracks.T[::-1])
+    b = tracks[order]
+    head = np.flatnonzero(np.r_[True, (b[1:] != b[:-1]).any(axis=1)])
+    b, head, end, order = b[head].T, head.tolist(), [*head[1:].tolist(), len(b)], order.tolist()
+    out: dict[int, int] = {}
+    for tier in (*(t for t in TIERS if t > least and a.shape[1] * b.shape[1] * 100 > HELD), least):
+        whole = False
+        while not whole:
+            left = np.array([i for i in range(a.shape[1]) if i not in out], int)
+            lines = np.array([j for j in range(b.shape[1]) if head[j] < end[j]], int)
+            i, j, score, whole = _ranked(_near(a[:, left], b[:, lines], tier))
+            edges = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (score[1:] != score[:-1]), True]).tolist() if len(i) else []
+            i, j = left[i].tolist(), lines[j].tolist()
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if i[lo] not in out and (waiting := [k for k in j[lo:hi] if head[k] < end[k]]):
+                    k = min(waiting, key=lambda k: order[head[k]])
+                    out[i[lo]] = order[head[k]]
+                    head[k] += 1
     return out
 
 
@@ -53,8 +113,7 @@ class BoxTracks:
         """(an id or 0 for each box, ids that ended) for the next frame; class plays no part."""
         match = {}
         if boxes and self.tracks:
-            scores = overlaps(np.array(boxes, float), np.array([t[1] for t in self.tracks], float))
-            match = one_to_one(scores, scores >= self.least)
+            match = one_to_one(np.array(boxes, float), np.array([t[1] for t in self.tracks], float), self.least)
         ids, ended = [], []
         hit = set(match.values())
         for i, b in enumerate(boxes):
@@ -182,11 +241,11 @@ SAME = 1e-4  # unit vectors whose product is 1 to nine decimals differ by less t
 PAIRS = 4_000_000  # pairs of detections and tracks that are compared at once
 
 
-def _blocks(total: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold PAIRS pairs or fewer, or are one row; ``total`` counts the pairs before each row."""
-    lo = 0
+def _blocks(total: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold ``most`` pairs (PAIRS) or fewer, or are one row; ``total`` counts the pairs before each row."""
+    lo, most = 0, most or PAIRS
     while lo < len(total) - 1:
-        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + PAIRS, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + most, "right")) - 1)
         yield lo, hi
         lo = hi
 

@@ -234,3 +234,40 @@ def test_matching_in_tiers_is_that_of_all_pairs_in_bounded_blocks(monkeypatch):
         ids, _ = state.step(frame * 1000, found)
         assert {i: k for i, k in enumerate(ids) if 0 < k < before} == {i: known[j] for i, j in expected.items()}
     assert list(tracking._blocks(np.array([0, 20, 40, 60, 160]))) == [(0, 2), (2, 3), (3, 4)]
+
+
+def test_boxes_in_tiers_are_matched_as_if_all_pairs_were_ranked(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    kinds = (
+        lambda n: np.c_[rng.integers(0, 60, (n, 2)) / 1024, np.full(n, 96 / 1024), np.full(n, 192 / 1024)],  # many ties
+        lambda n: np.c_[rng.integers(0, 3, (n, 2)), np.full(n, 2), rng.integers(0, 3, n)].astype(float),  # many equal boxes, some without area
+        lambda n: np.c_[rng.random((n, 2)), rng.random((n, 2)) * 0.5],
+        lambda n: np.c_[1e16 + 2 * rng.integers(0, 5, (n, 2)), rng.choice([1.0, 1.5, 2.0, 3.0], (n, 2))],  # rounding makes overlaps above 1
+    )
+    for draw in kinds:
+        for held in (1, 20, 500, tracking.HELD):
+            for least in (0.3, 0.9, 1.0, 0.0):
+                boxes, tracks = draw(30), draw(40)
+                monkeypatch.setattr(tracking, "HELD", held)
+                expected = picked([(-s, i, j) for i, b in enumerate(boxes.tolist()) for j, t in enumerate(tracks.tolist()) if (s := iou(b, t)) >= least])
+                assert tracking.one_to_one(boxes, tracks, least) == expected
+                monkeypatch.undo()
+
+
+@pytest.mark.parametrize("spread", [40, 1])
+def test_a_frame_of_boxes_is_matched_in_bounded_memory(spread):
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    boxes = [((u * 97 % 800 + u % 8) / 1024, (u * 61 % 600 + u % 5) / 1024, 96 / 1024, 192 / 1024) for u in (rng.integers(0, 240, 5000) // spread * 10).tolist()]
+    state = tracking.BoxTracks()
+    assert state.step(boxes[:3000]) == (list(range(1, 3001)), [])
+    tracemalloc.start()
+    ids, _ = state.step(boxes[3000:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(ids)) == len(ids) == 2000 and peak < 100e6  # a number for each of the 6,000,000 pairs takes 48 MB, the steps over them 300
