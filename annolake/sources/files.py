@@ -98,9 +98,15 @@ class FolderWrite:
         self.abort([])
 
     def abort(self, messages: list) -> None:
+        """The folder goes under another name first: tasks that still run would put files into it while it is deleted, which then fails."""
         store, folder = store_of(self.path)
-        if store.get_file_info(f"{folder}/{self.staging}").type == fs.FileType.Directory:
-            store.delete_dir(f"{folder}/{self.staging}")
+        own = f"{folder}/{self.staging}"
+        if store.get_file_info(own).type == fs.FileType.Directory:
+            try:
+                store.move(own, gone := f"{own}-gone")
+            except (OSError, NotImplementedError):  # a store of objects moves no folders
+                gone = own
+            store.delete_dir(gone)
 
 
 class NamedFilesWriter(FolderWrite, DataSourceWriter):

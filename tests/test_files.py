@@ -100,3 +100,28 @@ def test_a_task_that_fails_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="not a name below"):
         files.write_named(spark.createDataFrame([("new.txt", "t"), ("..", "t")], "name string, content string"), f"{tmp_path}/out", replace=True)
     assert len(tree(tmp_path / "out")) == 21  # what was there stays
+
+
+def test_a_write_that_is_given_up_while_tasks_go_on_leaves_nothing(tmp_path):
+    import threading
+
+    for n in range(40):
+        writer = files.NamedFilesWriter({"path": f"{tmp_path}/{n}"}, False, "named files")
+        store, folder = files.store_of(writer.path)
+        begun = threading.Barrier(4)
+
+        def task(own):
+            store.create_dir(own, recursive=False)
+            begun.wait()
+            with pytest.raises(OSError):
+                for k in range(1_000_000):
+                    store.open_output_stream(f"{own}/x{k}.txt").close()
+
+        tasks = [threading.Thread(target=task, args=(f"{folder}/{writer.staging}/{k}",)) for k in range(3)]
+        for t in tasks:
+            t.start()
+        begun.wait()
+        writer.abort([])
+        for t in tasks:
+            t.join()
+        assert os.listdir(writer.path) == []
