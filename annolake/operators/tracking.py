@@ -77,13 +77,23 @@ def one_to_one(boxes: np.ndarray, tracks: np.ndarray, least: float) -> dict[int,
 
     Tracks with equal boxes wait in one line, the smallest first. Pairs are ranked tier by tier from the closest down, a
     bounded number at a time, and each time among what is still free: what comes before a pair never depends on it.
+    Few pairs are ranked at once.
     """
+    out: dict[int, int] = {}
+    if len(boxes) * len(tracks) * 100 <= HELD:
+        scores, taken = overlaps(boxes.T[:, :, None], tracks.T[:, None, :]), set()
+        i, j = np.nonzero(scores >= least)
+        for k in np.lexsort((j, i, -scores[i, j])).tolist():
+            box, track = int(i[k]), int(j[k])
+            if box not in out and track not in taken:
+                out[box] = track
+                taken.add(track)
+        return out
     a, order = boxes.T, np.lexsort(tracks.T[::-1])
     b = tracks[order]
     head = np.flatnonzero(np.r_[True, (b[1:] != b[:-1]).any(axis=1)])
     b, head, end, order = b[head].T, head.tolist(), [*head[1:].tolist(), len(b)], order.tolist()
-    out: dict[int, int] = {}
-    for tier in (*(t for t in TIERS if t > least and a.shape[1] * b.shape[1] * 100 > HELD), least):
+    for tier in (*(t for t in TIERS if t > least), least):
         whole = False
         while not whole:
             left = np.array([i for i in range(a.shape[1]) if i not in out], int)
